@@ -1 +1,167 @@
-"""Model and clustering queries."""
+"""Registered feature, model, path and clustering queries.
+
+Fits are shared per (application, dataset) so the many result tables of
+one job come from one set of fits.  Feature-level queries (slots, level
+index, standardisation, correlations) have DuckDB oracles; the fitted
+models are checked by row counts and invariants in ``tests/``.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..functions.derive import add_action_group
+from ..operators import archetypes as C
+from ..operators import features as FE
+from ..operators import path as PT
+from ..schema import CATEGORICAL_FEATURES, HEADLINE_PENALTY
+from . import clustering as CL
+from . import modelling as MO
+from .queries import COLS, SHARES, fingerprint, processed, query
+
+SPLIT_KEYS = ["GAME_ID", "QUARTER"]  # the view's unique row key (order, line)
+
+
+def model_run(spark, sf):
+    return MO.memo_run(spark, f"model:{sf}",
+                       lambda: MO.prepare(processed(spark, sf), COLS, split_keys=SPLIT_KEYS))
+
+
+def archetype_run(spark, sf):
+    return CL.memo_archetypes(spark, f"arch:{sf}",
+                              lambda: CL.run_archetypes(fingerprint(spark, sf), COLS))
+
+
+# ------------------------------------------------------------ features M1-M5
+@query("index_levels")
+def q_index_levels(spark, sf):
+    """M1: level order of every categorical feature (frequency, then name)."""
+    df = add_action_group(processed(spark, sf), COLS)
+    return FE.level_index(df, CATEGORICAL_FEATURES)
+
+
+@query("feature_slots")
+def q_feature_slots(spark, sf):
+    """M1-M5: fit the feature stages on the processed table, name every slot."""
+    df = add_action_group(processed(spark, sf), COLS)
+    fm = FE.fit_features(df)
+    return FE.slot_table(spark, FE.slot_names(fm.transform(df)))
+
+
+@query("standardise")
+def q_standardise(spark, sf):
+    """Z-scores of the six shares per entity-season (MLlib StandardScaler)."""
+    fp = C.assemble(fingerprint(spark, sf), SHARES)
+    _, scaled = C.standardise(fp)
+    arr = vector_to_array("scaled")
+    return scaled.select(COLS.entity, COLS.season,
+                         *[F.round(arr[i], 6).alias("z_" + s) for i, s in enumerate(SHARES)])
+
+
+@query("feature_corr")
+def q_feature_corr(spark, sf):
+    """PCA input check: pairwise correlation of the shares, one aggregate pass."""
+    fp = fingerprint(spark, sf)
+    pairs = [(a, b) for i, a in enumerate(SHARES) for b in SHARES[i + 1:]]
+    one = fp.agg(*[F.round(F.corr(a, b), 6).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    parts = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
+    return one.select(F.expr(f"stack({len(pairs)}, {parts}) AS (feature_a, feature_b, corr)"))
+
+
+# ------------------------------------------------------------ models M6-M14
+@query("lasso_path")
+def q_lasso_path(spark, sf):
+    return model_run(spark, sf).path()
+
+
+@query("headline_coefs")
+def q_headline(spark, sf):
+    return MO.headline(model_run(spark, sf), HEADLINE_PENALTY)
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    return model_run(spark, sf).comparison()
+
+
+@query("path_active_counts")
+def q_active(spark, sf):
+    return PT.active_counts(model_run(spark, sf).path())
+
+
+@query("path_monotone")
+def q_monotone(spark, sf):
+    return PT.monotone_steps(PT.active_counts(model_run(spark, sf).path()))
+
+
+@query("path_wide")
+def q_path_wide(spark, sf):
+    run = model_run(spark, sf)
+    return PT.path_wide(run.path(), run.names)
+
+
+@query("path_top_features")
+def q_path_top(spark, sf):
+    return PT.top_features(model_run(spark, sf).path(), 8)
+
+
+@query("path_entry_order")
+def q_entry(spark, sf):
+    return PT.entry_order(model_run(spark, sf).path())
+
+
+@query("path_summary")
+def q_path_summary(spark, sf):
+    return PT.path_summary(model_run(spark, sf).path(), 8)
+
+
+@query("coef_table")
+def q_coef_table(spark, sf):
+    return PT.coefficient_table(MO.headline(model_run(spark, sf), HEADLINE_PENALTY))
+
+
+# ------------------------------------------------------------ clusters C1-C10
+@query("pca_loadings")
+def q_loadings(spark, sf):
+    return archetype_run(spark, sf).loadings()
+
+
+@query("explained_variance")
+def q_explained(spark, sf):
+    return archetype_run(spark, sf).explained()
+
+
+@query("k_sweep")
+def q_k_sweep(spark, sf):
+    return archetype_run(spark, sf).sweep()
+
+
+@query("cluster_profiles")
+def q_cluster_profiles(spark, sf):
+    return archetype_run(spark, sf).profile()
+
+
+@query("cluster_by_era")
+def q_cluster_by_era(spark, sf):
+    return archetype_run(spark, sf).by_era()
+
+
+@query("archetype_names")
+def q_archetype_names(spark, sf):
+    return archetype_run(spark, sf).names()
+
+
+@query("archetype_shift")
+def q_archetype_shift(spark, sf):
+    return archetype_run(spark, sf).shift()
+
+
+@query("archetypes")
+def q_archetypes(spark, sf):
+    return archetype_run(spark, sf).assignments()
+
+
+@query("centroids")
+def q_centroids(spark, sf):
+    return archetype_run(spark, sf).centroids()

@@ -83,8 +83,9 @@ _CONF = """conf AS (
 
 
 def with_ctes(body: str) -> str:
+    """Prefix the shared CTEs; a body starting with ``,`` adds its own CTEs."""
     ctes = [duckdb_view_sql(), _PROCESSED, _FP, _RATES, _YOY, _CELLS, _PRED, _CONF]
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    return "WITH " + ",\n".join(ctes) + ("" if body.startswith(",") else "\n") + body
 
 
 def sql(name: str, body: str) -> None:
@@ -244,6 +245,33 @@ sql("auc_exact", """SELECT round(CAST(sum(2 * pos * neg_below + pos * neg) AS DO
    CAST(count_if(SHOT_MADE_INT = 0) AS BIGINT) AS neg FROM pred GROUP BY score))""")
 
 
+# ------------------------------------------------------------------ features
+_CATS = ["BASIC_ZONE", "SHOT_TYPE", "ZONE_RANGE", "ACTION_GROUP"]
+_LVL = ("lvl AS (SELECT column_name, pos, level, n, CAST(row_number() OVER (PARTITION BY column_name "
+        "ORDER BY n DESC, level) - 1 AS INT) AS level_index FROM (\n"
+        + _union([f"SELECT '{c}' AS column_name, {i} AS pos, CAST({c} AS VARCHAR) AS level, "
+                  f"CAST(count(*) AS BIGINT) AS n FROM pa WHERE {c} IS NOT NULL GROUP BY {c}"
+                  for i, c in enumerate(_CATS)]) + "))")
+_PA = f"pa AS (SELECT *, {_ACTION_GROUP} AS ACTION_GROUP FROM processed)"
+sql("index_levels", f""", {_PA}, {_LVL}
+SELECT column_name, level, n, level_index FROM lvl""".replace("\n, ", "", 1))
+_NUMERIC_SLOTS = _union([f"SELECT {i} AS slot, '{c}' AS feature" for i, c in enumerate(_num)])
+sql("feature_slots", f""", {_PA}, {_LVL},
+cnt AS (SELECT column_name, pos, count(*) AS nl FROM lvl GROUP BY column_name, pos),
+off AS (SELECT column_name, coalesce(sum(nl) OVER (ORDER BY pos
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM cnt)
+SELECT CAST({len(_num)} + o + level_index AS INT) AS slot, lvl.column_name || '_ohe_' || level AS feature
+FROM lvl JOIN off ON lvl.column_name = off.column_name
+UNION ALL
+{_NUMERIC_SLOTS}""")
+sql("standardise", "SELECT PLAYER_ID, SEASON_1, " + ", ".join(
+    f"round(({s} - avg({s}) OVER ()) / stddev_samp({s}) OVER (), 6) AS z_{s}" for s in _SHARES)
+    + " FROM fp")
+_pairs = [(a, b) for i, a in enumerate(_SHARES) for b in _SHARES[i + 1:]]
+sql("feature_corr", _union([f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS corr FROM fp"
+                            for a, b in _pairs]))
+
+
 def oracle_sql() -> dict[str, str]:
     from . import io_oracle  # noqa: F401  (registration of IO / feature queries)
     return dict(ORACLE)
