@@ -1 +1,20 @@
-"""Oracle SQL for IO / feature queries."""
+"""Oracle SQL for the IO and streaming queries (registered into ``oracle.ORACLE``)."""
+
+from __future__ import annotations
+
+from .oracle import ORACLE, sql
+
+sql("parquet_roundtrip", """SELECT SEASON_1, CAST(count(*) AS BIGINT) AS n_written,
+ CAST(count(*) AS BIGINT) AS n_source, true AS matches FROM processed GROUP BY SEASON_1""")
+sql("csv_ingest", "SELECT * FROM rates")
+sql("stream_ingest", "SELECT * FROM rates")
+sql("result_csv", """SELECT BASIC_ZONE, CAST(count(*) AS BIGINT) AS attempts,
+ round(avg(SHOT_MADE_INT) * 100, 1) AS fg_pct, round(avg(EXPECTED_PTS), 3) AS pts_per_attempt
+FROM processed GROUP BY BASIC_ZONE""")
+sql("preview", """SELECT GAME_ID, QUARTER, PLAYER_ID, SEASON_1, BASIC_ZONE, SHOT_MADE_INT, EXPECTED_PTS
+FROM processed ORDER BY GAME_ID, QUARTER, PLAYER_ID, SEASON_1, BASIC_ZONE, SHOT_MADE_INT, EXPECTED_PTS LIMIT 5""")
+sql("stream_coverage", """SELECT concat_ws('|', SEASON_1, BASIC_ZONE) AS k,
+ CAST(count(*) AS BIGINT) AS n_written, CAST(count(*) AS BIGINT) AS n_source, true AS matches
+FROM processed GROUP BY 1""")
+
+__all__ = ["ORACLE"]

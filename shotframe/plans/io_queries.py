@@ -1 +1,102 @@
-"""IO queries (registered in queries.REGISTRY)."""
+"""Registered IO queries (S1-S8) and the streaming ingest.
+
+Each writes under the session's shared folder (``spark.checkpoint.dir``),
+reads the written data back and returns a table the oracle can check.
+"""
+
+from __future__ import annotations
+
+import threading
+
+from pyspark.sql import functions as F
+
+from ..operators import aggregate as A
+from ..schema import ZONE_TABLE_SCHEMA
+from ..session import scratch_path
+from ..sources import files as IO
+from ..streaming import ingest as ST
+from .queries import COLS, processed, q_zone_efficiency, query, shots
+
+_CSV: dict = {}
+_LOCK = threading.Lock()
+
+
+def raw_csv_dir(spark, sf):
+    """The raw shot view written once per session as header CSV files
+    (the reference's input format), rebalanced by season."""
+    key = (spark.sparkContext.applicationId, sf)
+    with _LOCK:
+        if key not in _CSV:
+            path = scratch_path(spark, "raw-csv")
+            shots(spark, sf).hint("rebalance", COLS.season).write.option("header", True).csv(path)
+            _CSV[key] = path
+        return _CSV[key]
+
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf):
+    """S2 + S3 + S7: write the processed table partitioned by season, read it
+    back (partition discovery), compare rows per season with the source."""
+    path = scratch_path(spark, "processed")
+    src = processed(spark, sf)
+    IO.write_partitioned(src, path, COLS.season)
+    return IO.roundtrip_counts(IO.read_table(spark, path), src, COLS.season)
+
+
+@query("csv_ingest")
+def q_csv_ingest(spark, sf):
+    """Glob scan of the raw CSV files with an explicit schema, then the
+    processing steps and the season table."""
+    schema = shots(spark, sf).schema
+    raw = IO.read_raw_csv(spark, raw_csv_dir(spark, sf) + "/part-*.csv", schema)
+    from ..functions.derive import derive_shots
+    from ..operators.select import exclude_value
+    df = exclude_value(derive_shots(raw, COLS), COLS.zone, "Backcourt")
+    return A.rate_by_period(df, COLS.season)
+
+
+@query("result_csv")
+def q_result_csv(spark, sf):
+    """S4 + S6: the zone table through a one-file CSV and back."""
+    path = scratch_path(spark, "zone-table")
+    IO.write_small_csv(q_zone_efficiency(spark, sf), path)
+    return IO.read_result_csv(spark, path, ZONE_TABLE_SCHEMA)
+
+
+@query("preview")
+def q_preview(spark, sf):
+    """First rows of the processed table in key order."""
+    cols = ["GAME_ID", "QUARTER", "PLAYER_ID", "SEASON_1", "BASIC_ZONE", "SHOT_MADE_INT",
+            "EXPECTED_PTS"]
+    return IO.preview(processed(spark, sf).select(*cols), cols, 5)
+
+
+@query("schema_table")
+def q_schema_table(spark, sf):
+    """Schema of the processed table after the Parquet round trip."""
+    path = scratch_path(spark, "processed-schema")
+    IO.write_partitioned(processed(spark, sf), path, COLS.season)
+    return IO.schema_table(IO.read_table(spark, path))
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf):
+    """Structured Streaming ingest of the raw CSV files (availableNow), then
+    the season table from the streamed Parquet table."""
+    schema = shots(spark, sf).schema
+    table = scratch_path(spark, "stream-table")
+    ST.ingest(spark, raw_csv_dir(spark, sf), table, scratch_path(spark, "stream-ckpt"),
+              schema, COLS)
+    return A.rate_by_period(IO.read_table(spark, table), COLS.season)
+
+
+@query("stream_coverage")
+def q_stream_coverage(spark, sf):
+    """Rows per season and zone in the streamed table vs the batch table."""
+    schema = shots(spark, sf).schema
+    table = scratch_path(spark, "stream-table")
+    ST.ingest(spark, raw_csv_dir(spark, sf), table, scratch_path(spark, "stream-ckpt"),
+              schema, COLS)
+    streamed = IO.read_table(spark, table).withColumn("k", F.concat_ws("|", "SEASON_1", "BASIC_ZONE"))
+    batch = processed(spark, sf).withColumn("k", F.concat_ws("|", "SEASON_1", "BASIC_ZONE"))
+    return IO.roundtrip_counts(streamed, batch, "k")

@@ -20,7 +20,10 @@ from . import clustering as CL
 from . import modelling as MO
 from .queries import COLS, SHARES, fingerprint, processed, query
 
-SPLIT_KEYS = ["GAME_ID", "QUARTER"]  # the view's unique row key (order, line)
+# The split hashes the whole raw row: the view has no unique key column, and
+# identical rows landing on the same side is harmless.
+SPLIT_KEYS = ["SEASON_1", "PLAYER_ID", "GAME_ID", "GAME_DATE", "QUARTER", "MINS_LEFT",
+              "SECS_LEFT", "LOC_X", "LOC_Y", "ACTION_TYPE", "BASIC_ZONE", "SHOT_MADE"]
 
 
 def model_run(spark, sf):
