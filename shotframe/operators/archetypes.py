@@ -35,13 +35,15 @@ ARCHETYPE_SIGNATURES = [
 VERSATILE_NAME = "Modern Versatile Scorer"
 
 
-def stable_order(df: DataFrame, keys, partitions: int = 8) -> DataFrame:
+def stable_order(df: DataFrame, keys, partitions: int | None = None) -> DataFrame:
     """Hash-partition by key and sort within partitions.
 
     Row placement then depends only on the keys and ``partitions``, so the
-    seeded k-means|| start and sampling steps repeat run to run.
+    seeded k-means|| start and sampling steps repeat run to run (for a
+    fixed ``partitions``; the default is the cluster's parallelism).
     """
-    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
 
 
 def assemble(df: DataFrame, features, out: str = "features") -> DataFrame:
@@ -84,7 +86,7 @@ def _kmeans(k: int, vec: str, pred: str, seed: int):
 
 
 def k_sweep(df: DataFrame, ks=K_RANGE, vec: str = "pca_features", seed: int = SEED,
-            parallelism: int = 3) -> DataFrame:
+            parallelism: int = 6) -> DataFrame:
     """Silhouette (squared Euclidean) and training cost for each k."""
     ev = ClusteringEvaluator(featuresCol=vec, predictionCol="prediction",
                              metricName="silhouette")

@@ -31,7 +31,7 @@ def _fit_l1(train: DataFrame, label: str, features: str, reg: float, max_iter: i
 
 def penalty_path(spark: SparkSession, train: DataFrame, names, label: str,
                  penalties=LASSO_PENALTIES, features: str = "features",
-                 max_iter: int = 50, parallelism: int = 3) -> DataFrame:
+                 max_iter: int = 50, parallelism: int = 6) -> DataFrame:
     """M6 + M7: L1 logistic fits at each penalty; long table (regParam, feature, coefficient).
 
     Coefficients are on the original feature scale (MLlib standardises

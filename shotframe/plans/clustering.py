@@ -71,7 +71,7 @@ class ArchetypeRun:
 
 def run_archetypes(fingerprint: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS,
                    k: int = CHOSEN_K, ks=K_RANGE, n_pca: int = N_PCA, seed: int = SEED,
-                   partitions: int = 8) -> ArchetypeRun:
+                   partitions: int | None = 8) -> ArchetypeRun:
     shares = A.share_columns(cols)
     keys = [cols.entity, cols.entity_name, cols.season]
     fp = C.stable_order(fingerprint, keys, partitions)

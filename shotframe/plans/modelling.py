@@ -37,6 +37,7 @@ class ModelRun:
     _path_rows: list | None = None
     _comparison_rows: list | None = None
     _lock: threading.Lock = field(default_factory=threading.Lock)
+    _cmp_lock: threading.Lock = field(default_factory=threading.Lock)
 
     def path(self) -> DataFrame:
         spark = self.train.sparkSession
@@ -49,18 +50,39 @@ class ModelRun:
 
     def comparison(self) -> DataFrame:
         spark = self.train.sparkSession
-        with self._lock:
+        with self._cmp_lock:
             if self._comparison_rows is None:
                 df = M.compare_classifiers(self.train, self.test, self.label)
                 self._comparison_rows = (df.schema, [tuple(r) for r in df.collect()])
         schema, rows = self._comparison_rows
         return spark.createDataFrame(rows, schema)
 
+    def run_all(self) -> None:
+        """Fit the path and the classifiers concurrently (their jobs overlap)."""
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(self.path), pool.submit(self.comparison)]:
+                f.result()
+
     def release(self) -> None:
         self.train.unpersist()
         self.test.unpersist()
 
 
+def spread(df: DataFrame, minimum: int | None = None) -> DataFrame:
+    """Give a to-be-cached ML input at least the cluster's parallelism.
+
+    Every optimiser step scans the cached rows; an input with fewer
+    partitions than cores (one large file, one row group) would run each
+    step on a few cores.  Inputs that are already wide are left alone, so
+    at scale this adds no shuffle.
+    """
+    target = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def prepare(shots: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS, split_keys=None,
             weights=(0.8, 0.2), seed: int = SEED, numeric=NUMERIC_FEATURES,
             categorical=CATEGORICAL_FEATURES) -> ModelRun:
@@ -71,9 +93,9 @@ def prepare(shots: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS, split_keys=No
     else:
         train, test = random_split(df, weights, seed)
     fm = FE.fit_features(train, numeric, categorical)
-    tr = fm.transform(train).select("features", cols.made_int) \
+    tr = spread(fm.transform(train).select("features", cols.made_int)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
-    te = fm.transform(test).select("features", cols.made_int) \
+    te = spread(fm.transform(test).select("features", cols.made_int)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     names = FE.slot_names(tr)
     return ModelRun(tr, te, names, fm, cols.made_int)
