@@ -182,6 +182,17 @@ def centroids(df: DataFrame, group: str, coords, digits: int | None = None) -> D
     return mean_profile(df, group, coords, digits, count_name="n")
 
 
+def relative_to(table: DataFrame, key: str, value: str, base, digits: int = 3) -> DataFrame:
+    """Each row's ``value`` as a ratio to the row whose ``key`` is ``base``,
+    and as percent more/less.  ``table`` is a small result table (one row per
+    key); the base value is a window max over it.
+    """
+    b = F.max(F.when(F.col(key) == base, F.col(value))).over(Window.partitionBy())
+    ratio = F.try_divide(F.col(value), b)
+    return table.select(key, value, F.round(ratio, digits).alias("ratio_to_base"),
+                        F.round((ratio - 1) * 100, 1).alias("pct_vs_base"))
+
+
 # ---------------------------------------------------------------- A13, A14
 def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Tn, fp, fn, tp in one aggregate (zeros when a cell is empty)."""

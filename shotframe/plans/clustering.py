@@ -2,9 +2,11 @@
 
 The fingerprint aggregate is the only step that touches the fact table
 (one scan, one shuffle on (entity, season) after map-side partial counts);
-everything after it runs on one row per entity-season, persisted once
-(MEMORY_AND_DISK) before the scaler so the scaler, PCA, the k sweep and the
-final fit do not recompute the aggregate.
+everything after it runs on one row per entity-season.  The fingerprint is
+written once as a reliable checkpoint under the shared folder
+(``spark.checkpoint.dir``) before the scaler: lineage is cut there, so a
+lost executor during the many scaler / PCA / k-sweep / K-Means passes
+re-reads the small checkpoint instead of re-aggregating the fact table.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import aggregate as A
 from ..operators import archetypes as C
 from ..schema import CHOSEN_K, DEFAULT_COLUMNS, K_RANGE, N_PCA, SEED, ShotColumns
+from ..session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -74,14 +77,14 @@ def run_archetypes(fingerprint: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS,
                    partitions: int | None = 8) -> ArchetypeRun:
     shares = A.share_columns(cols)
     keys = [cols.entity, cols.entity_name, cols.season]
+    ensure_checkpoint_dir(fingerprint.sparkSession)
     fp = C.stable_order(fingerprint, keys, partitions)
-    fp = C.assemble(fp, shares).persist(StorageLevel.MEMORY_AND_DISK)
+    fp = C.assemble(fp, shares).checkpoint(eager=True)
     scaler_model, scaled = C.standardise(fp)
     pca_model, points = C.pca(scaled, n_pca)
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     km_model, assigned = C.fit_clusters(points, k, seed=seed)
     assigned = assigned.persist(StorageLevel.MEMORY_AND_DISK)
-    fp.unpersist()
     return ArchetypeRun(points, assigned, scaler_model, pca_model, km_model, shares,
                         [cols.entity_name, cols.season, "ERA"], list(ks), seed)
 

@@ -97,6 +97,9 @@ def prepare(shots: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS, split_keys=No
         .persist(StorageLevel.MEMORY_AND_DISK)
     te = spread(fm.transform(test).select("features", cols.made_int)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
+    # materialise both caches once, before concurrent fits read them
+    tr.count()
+    te.count()
     names = FE.slot_names(tr)
     return ModelRun(tr, te, names, fm, cols.made_int)
 

@@ -272,6 +272,22 @@ sql("feature_corr", _union([f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, rou
                             for a, b in _pairs]))
 
 
+# ------------------------------------------------------------------ W4, generic tables
+sql("zone_relative_gap", """SELECT BASIC_ZONE, pts_per_attempt,
+ round(pts_per_attempt / base, 3) AS ratio_to_base, round((pts_per_attempt / base - 1) * 100, 1) AS pct_vs_base
+FROM (SELECT *, max(CASE WHEN BASIC_ZONE = 'Mid-Range' THEN pts_per_attempt END) OVER () AS base FROM (
+ SELECT BASIC_ZONE, round(avg(EXPECTED_PTS), 3) AS pts_per_attempt FROM processed GROUP BY BASIC_ZONE))""")
+ORACLE["events_breakdown"] = """SELECT event_type, n, round(CAST(n AS DOUBLE) / sum(n) OVER () * 100, 1) AS pct
+FROM (SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type)"""
+_EV = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+ORACLE["events_nulls"] = _union(
+    [f"SELECT '{c}' AS column_name, 'present' AS status, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count"
+     f" FROM events" for c in _EV])
+ORACLE["lineitem_quantiles"] = """SELECT min(l_quantity) AS min, quantile_cont(l_quantity, 0.25) AS p25,
+ quantile_cont(l_quantity, 0.5) AS p50, quantile_cont(l_quantity, 0.75) AS p75, max(l_quantity) AS max
+FROM lineitem"""
+
+
 def oracle_sql() -> dict[str, str]:
     from . import io_oracle  # noqa: F401  (registration of IO / feature queries)
     return dict(ORACLE)

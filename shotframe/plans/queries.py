@@ -342,6 +342,43 @@ def q_auc(spark, sf):
     return E.auc_rank(_with_prediction(processed(spark, sf)), COLS.made_int, "score")
 
 
+# ------------------------------------------------------- W4, F4, generic tables
+@query("zone_relative_gap")
+def q_zone_gap(spark, sf):
+    """Points per attempt of each zone relative to the mid-range base
+    ("32 % more"); the base value comes from a window over the zone table."""
+    return A.relative_to(q_zone_efficiency(spark, sf), COLS.zone, "pts_per_attempt", "Mid-Range")
+
+
+@query("sampled_zone_efficiency")
+def q_sampled(spark, sf):
+    """the zone table on a repeatable 5 % sample (hash of the row key)."""
+    df = S.key_sample(processed(spark, sf), ["GAME_ID", "QUARTER", "PLAYER_ID", "SECS_LEFT", "LOC_X"],
+                      0.05, 42)
+    return A.efficiency_by(df, COLS.zone)
+
+
+@query("events_breakdown")
+def q_events_breakdown(spark, sf):
+    """Q7 + Q8 on another fact table: events per type with share of total."""
+    from ..sources.shot_view import read_table
+    return Q.breakdown(read_table(spark, sf, "events"), "event_type")
+
+
+@query("events_nulls")
+def q_events_nulls(spark, sf):
+    """Q2 on another fact table: NULLs per column of ``events``."""
+    from ..sources.shot_view import read_table
+    return Q.null_profile(read_table(spark, sf, "events"))
+
+
+@query("lineitem_quantiles")
+def q_lineitem_quantiles(spark, sf):
+    """Q14 on another fact table: exact quantiles of l_quantity."""
+    from ..sources.shot_view import read_table
+    return Q.quantile_summary(read_table(spark, sf, "lineitem"), "l_quantity")
+
+
 def queries() -> dict[str, QueryFn]:
     # Import for registration side effects (model / clustering / IO queries).
     from . import ml_queries  # noqa: F401
