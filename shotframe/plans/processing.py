@@ -6,8 +6,8 @@ aggregate that reads only the zone column (``Observation`` metrics would
 ride on the write job instead, but in Spark 4.1 they leave the session
 unable to serialize later RDD-backed evaluators).  The zone and season tables
 come from one grouped pass over the *written* Parquet (five columns read,
-columnar) through the additive cell table, and the round-trip check counts
-rows per partition value only.
+columnar) through the additive cell table, which also gives the
+round-trip check its rows per season.
 """
 
 from __future__ import annotations
@@ -53,9 +53,10 @@ def run_processing(raw: DataFrame, table_path: str, cols: ShotColumns = DEFAULT_
                                 "EXPECTED_PTS").cache()
     zone_t = A.efficiency_from_cells(cells, cols.zone)
     season_t = A.rate_from_cells(cells, cols.season)
-    per_season = written.groupBy(cols.season).agg(F.count(F.lit(1)).alias("n_written")) \
+    # S7 from the same cells: rows per season as read back from the table
+    per_season = cells.groupBy(cols.season).agg(F.sum("attempts").cast("long").alias("n_written")) \
         .orderBy(cols.season)
-    n_written = per_season.agg(F.sum("n_written")).first()[0] or 0
+    n_written = cells.agg(F.sum("attempts")).first()[0] or 0
     if tables_path:
         IO.write_small_csv(zone_t, f"{tables_path}/fg_pct_by_zone")
         IO.write_small_csv(season_t, f"{tables_path}/three_pt_rate_by_season")
