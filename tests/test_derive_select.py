@@ -103,8 +103,14 @@ def test_text_shaping(spark):
 
 
 def test_derive_is_one_projection(spark):
+    import contextlib
+    import io
     df = D.derive_shots(frame(spark, [shot()]))
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Project") == 1
-    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(extended=True)
+    text = buf.getvalue()
+    optimized = text.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimized.count("Project") == 1
+    assert "PythonUDF" not in text and "BatchEvalPython" not in text
     assert F  # keep import used
