@@ -23,16 +23,20 @@ from pyspark.sql import types as T
 from ..schema import K_RANGE, SEED
 from .trend import cumulative
 
-# Archetype names and the share signatures they are read off,
-# in assignment priority.  A cluster matching no signature best is the
-# versatile one.
+# The archetype names, in the reference's cluster-id order.
+ARCHETYPE_NAMES = ["Modern Versatile Scorer", "Rim-Dominant Big", "Floor-Spacing Specialist",
+                   "High-Volume Perimeter", "Mid-Range Specialist"]
+
+# Our naming rule (the reference names clusters by id): the share signature
+# each name is read off.  The first name has none: it goes to the cluster
+# that no signature claims.
+VERSATILE_NAME = ARCHETYPE_NAMES[0]
 ARCHETYPE_SIGNATURES = [
-    ("Rim-Dominant Big", ["rim_share", "paint_share"]),
-    ("Mid-Range Specialist", ["mid_share"]),
-    ("Floor-Spacing Specialist", ["lc3_share", "rc3_share"]),
-    ("High-Volume Perimeter", ["atb3_share"]),
+    (ARCHETYPE_NAMES[1], ["rim_share", "paint_share"]),
+    (ARCHETYPE_NAMES[2], ["lc3_share", "rc3_share"]),
+    (ARCHETYPE_NAMES[3], ["atb3_share"]),
+    (ARCHETYPE_NAMES[4], ["mid_share"]),
 ]
-VERSATILE_NAME = "Modern Versatile Scorer"
 
 
 def stable_order(df: DataFrame, keys, partitions: int | None = None) -> DataFrame:

@@ -83,9 +83,16 @@ def breakdown(df: DataFrame, col: str, digits: int = 1, top: int | None = None)
     return out.limit(top) if top else out
 
 
-def distinct_counts(df: DataFrame, columns) -> DataFrame:
-    """Q11: distinct values per column, NULL counted as a value (like ``distinct().count()``)."""
-    aggs = [(F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).cast("long")
+def distinct_counts(df: DataFrame, columns, exact: bool = True, rsd: float = 0.01) -> DataFrame:
+    """Q11: distinct values per column, NULL counted as a value (like ``distinct().count()``).
+
+    Exact counting shuffles every distinct value (fine for categoricals);
+    ``exact=False`` uses HyperLogLog++ (``approx_count_distinct``) with fixed
+    memory per column for unbounded domains.
+    """
+    def nd(c):
+        return F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), rsd)
+    aggs = [(nd(c) + F.max(F.col(c).isNull().cast("int"))).cast("long")
             .alias(f"n{i}") for i, c in enumerate(columns)]
     parts = ", ".join(f"{_sql_str(c)}, n{i}" for i, c in enumerate(columns))
     return df.agg(*aggs).select(
