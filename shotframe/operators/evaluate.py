@@ -51,8 +51,15 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def auc_rank(df: DataFrame, label: str, score: str, digits: int | None = 10,
              buckets: int = 64) -> DataFrame:
-    """Exact ROC-AUC with ties counted one half; one row (auc, n_pos, n_neg)."""
-    g = score_counts(df, label, score)
+    """Exact ROC-AUC with ties counted one half; one row (auc, n_pos, n_neg).
+
+    The per-score counts (one row per distinct score) are checkpointed to
+    the shared folder: the bucket fit and both prefix-sum branches then read
+    that small table, and the fact table is scanned once.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    g = score_counts(df, label, score).checkpoint(eager=True)
     g = prefix_sum_exclusive(g, score, "neg", out="neg_below", buckets=buckets)
     dec = "decimal(38,0)"
     num = F.sum(F.col("pos").cast(dec) * F.col("neg_below").cast(dec) * 2

@@ -55,8 +55,14 @@ def q_feature_slots(spark, sf):
 
 @query("standardise")
 def q_standardise(spark, sf):
-    """Z-scores of the six shares per entity-season (MLlib StandardScaler)."""
-    fp = C.assemble(fingerprint(spark, sf), SHARES)
+    """Z-scores of the six shares per entity-season (MLlib StandardScaler).
+
+    The fingerprint is checkpointed first (as in the archetype plan), so the
+    scaler's fit and transform read it instead of aggregating the fact table twice.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    fp = C.assemble(fingerprint(spark, sf), SHARES).checkpoint(eager=True)
     _, scaled = C.standardise(fp)
     arr = vector_to_array("scaled")
     return scaled.select(COLS.entity, COLS.season,
