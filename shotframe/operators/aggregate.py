@@ -76,8 +76,9 @@ def efficiency_from_cells(cells: DataFrame, zone: str = "BASIC_ZONE") -> DataFra
     """A1 from the cell table (same numbers as ``efficiency_by``)."""
     return (cells.groupBy(zone)
             .agg(F.sum("attempts").cast("long").alias("attempts"),
-                 F.round(F.sum("made") / F.sum("made_n") * 100, 1).alias("fg_pct"),
-                 F.round(F.sum("points") / F.sum("points_n"), 3).alias("pts_per_attempt"))
+                 F.round(F.try_divide(F.sum("made"), F.sum("made_n")) * 100, 1).alias("fg_pct"),
+                 F.round(F.try_divide(F.sum("points"), F.sum("points_n")), 3)
+                 .alias("pts_per_attempt"))
             .orderBy(F.desc("pts_per_attempt"), F.asc(zone)))
 
 
@@ -86,8 +87,10 @@ def rate_from_cells(cells: DataFrame, period: str = "SEASON_1") -> DataFrame:
     return (cells.groupBy(period)
             .agg(F.sum("attempts").cast("long").alias("total_attempts"),
                  F.sum("flagged").cast("long").alias("three_pt_attempts"),
-                 F.round(F.sum("flagged") / F.sum("attempts") * 100, 1).alias("three_pt_rate_pct"),
-                 F.round(F.sum("made") / F.sum("made_n") * 100, 1).alias("overall_fg_pct"))
+                 F.round(F.try_divide(F.sum("flagged"), F.sum("attempts")) * 100, 1)
+                 .alias("three_pt_rate_pct"),
+                 F.round(F.try_divide(F.sum("made"), F.sum("made_n")) * 100, 1)
+                 .alias("overall_fg_pct"))
             .orderBy(period))
 
 
