@@ -121,3 +121,21 @@ def test_path_summaries_small_path(spark):
     assert (wide.a, wide.b, wide.c) == (0.0, 0.5, -0.1)
     mono = PT.monotone_steps(PT.active_counts(path)).collect()
     assert all(r.non_decreasing for r in mono)
+
+
+def test_shot_view_matches_expected_tables(spark):
+    """FIXTURES.md section 3: expected zone and season tables of the shot view at sf0.01."""
+    from conftest import SF_ORACLE
+    from shotframe.plans.queries import queries
+    q = queries()
+    z = {r.BASIC_ZONE: (r.attempts, r.fg_pct, r.pts_per_attempt)
+         for r in q["zone_efficiency"](spark, SF_ORACLE).collect()}
+    assert z == {"Restricted Area": (4828, 70.8, 1.416), "Left Corner 3": (1806, 41.8, 1.254),
+                 "Above the Break 3": (14293, 40.2, 1.206), "Right Corner 3": (1886, 40.0, 1.199),
+                 "In The Paint (Non-RA)": (11716, 59.4, 1.187), "Mid-Range": (25280, 52.6, 1.051)}
+    s = {r.SEASON_1: (r.total_attempts, r.three_pt_attempts, r.three_pt_rate_pct)
+         for r in q["rate_by_season"](spark, SF_ORACLE).collect()}
+    assert s == {1995: (8815, 1949, 22.1), 1996: (8901, 2236, 25.1), 1997: (8687, 2469, 28.4),
+                 1998: (8876, 2703, 30.5), 1999: (8559, 2827, 33.0), 2000: (8733, 3112, 35.6),
+                 2001: (7238, 2689, 37.2)}
+    assert q["share_fingerprint"](spark, SF_ORACLE).count() == 700
