@@ -22,6 +22,7 @@ from ..functions.derive import add_action_group
 from ..operators import features as FE
 from ..operators import models as M
 from ..operators.select import key_split, random_split
+from ..session import ensure_checkpoint_dir
 from ..schema import (CATEGORICAL_FEATURES, DEFAULT_COLUMNS, HEADLINE_PENALTY, LASSO_PENALTIES,
                       NUMERIC_FEATURES, SEED, ShotColumns)
 
@@ -88,12 +89,19 @@ def spread(df: DataFrame, minimum: int | None = None) -> DataFrame:
 
 def prepare(shots: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS, split_keys=None,
             weights=(0.8, 0.2), seed: int = SEED, numeric=NUMERIC_FEATURES,
-            categorical=CATEGORICAL_FEATURES, min_partitions: int | None = None) -> ModelRun:
+            categorical=CATEGORICAL_FEATURES, min_partitions: int | None = None,
+            reliable: bool = True) -> ModelRun:
     """Split, fit feature stages on train, cache (features, label) for both parts.
 
     The model input (feature, label and key columns only) is computed from
     the fact table once and held MEMORY_AND_DISK while the indexer is fitted
     and both parts are transformed; the feature caches replace it after.
+
+    With ``reliable`` (default) the (features, label) tables are written as
+    a checkpoint under the shared folder before they are cached: the ~400
+    optimiser passes of a path then have a lineage that ends at that small
+    checkpoint, so a lost executor re-reads its partitions instead of
+    re-scanning and re-joining the fact table.
     """
     FE.check_no_leakage(list(numeric) + list(categorical))
     keys = list(split_keys or [])
@@ -106,15 +114,18 @@ def prepare(shots: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS, split_keys=No
     else:
         train, test = random_split(base, weights, seed)
     fm = FE.fit_features(train, numeric, categorical)
-    tr = fm.transform(train).select("features", cols.made_int) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    te = fm.transform(test).select("features", cols.made_int) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    tr = fm.transform(train).select("features", cols.made_int)
+    te = fm.transform(test).select("features", cols.made_int)
+    names = FE.slot_names(tr)
+    if reliable:
+        ensure_checkpoint_dir(shots.sparkSession)
+        tr, te = tr.checkpoint(eager=True), te.checkpoint(eager=True)
+    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
+    te = te.persist(StorageLevel.MEMORY_AND_DISK)
     # materialise both caches once, before concurrent fits read them
     tr.count()
     te.count()
     base.unpersist()
-    names = FE.slot_names(tr)
     return ModelRun(tr, te, names, fm, cols.made_int)
 
 
