@@ -1,11 +1,11 @@
 """Batch jobs with the same inputs and outputs as the reference's five steps.
 
-    spark-submit -m shotframe.jobs verify     --raw 'hdfs:///raw/NBA_*_Shots.csv' --out hdfs:///tables
-    spark-submit -m shotframe.jobs process    --raw 'hdfs:///raw/NBA_*_Shots.csv' \
+    spark-submit --py-files shotframe.zip run_job.py verify     --raw 'hdfs:///raw/NBA_*_Shots.csv' --out hdfs:///tables
+    spark-submit --py-files shotframe.zip run_job.py process    --raw 'hdfs:///raw/NBA_*_Shots.csv' \
                                               --table hdfs:///processed/shots --out hdfs:///tables
-    spark-submit -m shotframe.jobs model      --table hdfs:///processed/shots --out hdfs:///tables
-    spark-submit -m shotframe.jobs archetypes --table hdfs:///processed/shots --out hdfs:///tables
-    spark-submit -m shotframe.jobs era        --out hdfs:///tables
+    spark-submit --py-files shotframe.zip run_job.py model      --table hdfs:///processed/shots --out hdfs:///tables
+    spark-submit --py-files shotframe.zip run_job.py archetypes --table hdfs:///processed/shots --out hdfs:///tables
+    spark-submit --py-files shotframe.zip run_job.py era        --out hdfs:///tables
 
 Each job writes its result tables under ``--out`` (small tables as one
 header CSV each, the per-entity assignment table as Parquet) and returns
