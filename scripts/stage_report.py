@@ -52,27 +52,26 @@ def main():
     files.sort(key=lambda p: (len(p), p))
     lines = (line for p in files for line in open(p))
     for line in lines:
-        if True:
-            ev = json.loads(line)
-            kind = ev.get("Event")
-            if kind == "SparkListenerJobStart":
-                g = (ev.get("Properties") or {}).get("spark.jobGroup.id")
-                job_group[ev["Job ID"]] = g
-                for s in ev.get("Stage IDs", []):
-                    stage_job[s] = ev["Job ID"]
-            elif kind == "SparkListenerTaskEnd":
-                g = job_group.get(stage_job.get(ev["Stage ID"]))
-                if g not in names:
-                    continue
-                m = ev.get("Task Metrics") or {}
-                st = stats.setdefault(g, {"tasks": 0, "input": 0, "records": 0, "shuffle_write": 0,
-                                         "max_task_ms": 0})
-                st["tasks"] += 1
-                st["input"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
-                st["records"] += (m.get("Input Metrics") or {}).get("Records Read", 0)
-                st["shuffle_write"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
-                info = ev.get("Task Info") or {}
-                st["max_task_ms"] = max(st["max_task_ms"], info.get("Finish Time", 0) - info.get("Launch Time", 0))
+        ev = json.loads(line)
+        kind = ev.get("Event")
+        if kind == "SparkListenerJobStart":
+            g = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+            job_group[ev["Job ID"]] = g
+            for s in ev.get("Stage IDs", []):
+                stage_job[s] = ev["Job ID"]
+        elif kind == "SparkListenerTaskEnd":
+            g = job_group.get(stage_job.get(ev["Stage ID"]))
+            if g not in names:
+                continue
+            m = ev.get("Task Metrics") or {}
+            st = stats.setdefault(g, {"tasks": 0, "input": 0, "records": 0, "shuffle_write": 0,
+                                     "max_task_ms": 0})
+            st["tasks"] += 1
+            st["input"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
+            st["records"] += (m.get("Input Metrics") or {}).get("Records Read", 0)
+            st["shuffle_write"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+            info = ev.get("Task Info") or {}
+            st["max_task_ms"] = max(st["max_task_ms"], info.get("Finish Time", 0) - info.get("Launch Time", 0))
     print(f"{'query':26s} {'tasks':>6s} {'input rows':>11s} {'shuffle KB':>11s} {'max task ms':>12s}")
     for n in names:
         st = stats.get(n, {})
