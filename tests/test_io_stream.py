@@ -42,3 +42,20 @@ def test_stream_ingest_exactly_once_on_restart(spark):
     out = IO.read_table(spark, table)
     assert out.count() == 30
     assert sorted(r.SEASON_1 for r in out.select("SEASON_1").distinct().collect()) == [2000, 2001, 2002]
+
+
+def test_stream_ingest_picks_up_only_new_files(spark):
+    src = scratch_path(spark, "stream-inc-src")
+    frame(spark, [shot(GAME_ID=i, SEASON_1=2001) for i in range(10)]) \
+        .write.option("header", True).csv(src + "/batch1")
+    table, ckpt = scratch_path(spark, "stream-inc-out"), scratch_path(spark, "stream-inc-ckpt")
+    ST.ingest(spark, src + "/*", table, ckpt)
+    assert IO.read_table(spark, table).count() == 10
+    # a new season arrives (one file is a backcourt shot: filtered as in the batch job)
+    frame(spark, [shot(GAME_ID=100 + i, SEASON_1=2002,
+                       BASIC_ZONE="Backcourt" if i == 0 else "Mid-Range") for i in range(5)]) \
+        .write.option("header", True).csv(src + "/batch2")
+    ST.ingest(spark, src + "/*", table, ckpt)
+    out = IO.read_table(spark, table)
+    counts = {r.SEASON_1: r["count"] for r in out.groupBy("SEASON_1").count().collect()}
+    assert counts == {2001: 10, 2002: 4}
