@@ -72,19 +72,33 @@ class ArchetypeRun:
         self.points.unpersist()
 
 
+ROWS_PER_PARTITION = 100_000
+
+
 def run_archetypes(fingerprint: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS,
                    k: int = CHOSEN_K, ks=K_RANGE, n_pca: int = N_PCA, seed: int = SEED,
-                   partitions: int | None = 8) -> ArchetypeRun:
+                   partitions: int | None = None) -> ArchetypeRun:
+    """Fit the archetype models on an entity-season fingerprint.
+
+    The fingerprint is checkpointed (aggregate computed once, lineage cut),
+    then laid out in ``partitions`` hash partitions sorted by key.  By default
+    the count follows the data — one partition per ``ROWS_PER_PARTITION``
+    rows, at least 4 — so K-Means iterations use the cluster as the
+    fingerprint grows, and the layout (hence the seeded k-means|| start) is a
+    function of the data alone, the same on any cluster size.
+    """
     shares = A.share_columns(cols)
     keys = [cols.entity, cols.entity_name, cols.season]
     ensure_checkpoint_dir(fingerprint.sparkSession)
-    fp = C.stable_order(fingerprint, keys, partitions)
-    fp = C.assemble(fp, shares).checkpoint(eager=True)
+    fp0 = fingerprint.checkpoint(eager=True)
+    n = partitions or max(4, -(-fp0.count() // ROWS_PER_PARTITION))
+    fp = C.assemble(C.stable_order(fp0, keys, n), shares).persist(StorageLevel.MEMORY_AND_DISK)
     scaler_model, scaled = C.standardise(fp)
     pca_model, points = C.pca(scaled, n_pca)
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     km_model, assigned = C.fit_clusters(points, k, seed=seed)
     assigned = assigned.persist(StorageLevel.MEMORY_AND_DISK)
+    fp.unpersist()
     return ArchetypeRun(points, assigned, scaler_model, pca_model, km_model, shares,
                         [cols.entity_name, cols.season, "ERA"], list(ks), seed)
 

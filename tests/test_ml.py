@@ -98,3 +98,18 @@ def test_cluster_invariants(spark, q):
     assert [r.k for r in sweep] == [3, 4, 5, 6, 7, 8]
     assert all(-1 <= r.silhouette <= 1 for r in sweep)
     assert q["archetypes"](spark, SF_ORACLE).count() == n
+
+
+def test_archetypes_repeat_across_layouts(spark):
+    """The clustering layout depends only on the data, so results repeat when
+    the upstream shuffle layout changes (as it does across cluster sizes)."""
+    from shotframe.plans.clustering import run_archetypes
+    from shotframe.plans.queries import COLS, fingerprint
+    out = []
+    for n in ("3", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        run = run_archetypes(fingerprint(spark, SF_ORACLE), COLS)
+        out.append(sorted(tuple(r) for r in run.profile().collect()))
+        run.release()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert out[0] == out[1]
