@@ -287,6 +287,17 @@ ORACLE["lineitem_quantiles"] = """SELECT min(l_quantity) AS min, quantile_cont(l
  quantile_cont(l_quantity, 0.5) AS p50, quantile_cont(l_quantity, 0.75) AS p75, max(l_quantity) AS max
 FROM lineitem"""
 
+ORACLE["events_daily_trend"] = """SELECT event_type, day, prev_day, n, day_change FROM (
+ SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY day_change DESC, day) AS r FROM (
+  SELECT event_type, day, n, lag(day) OVER (PARTITION BY event_type ORDER BY day) AS prev_day,
+   n - lag(n) OVER (PARTITION BY event_type ORDER BY day) AS day_change
+  FROM (SELECT event_type, CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n
+        FROM events GROUP BY event_type, CAST(ts AS DATE)))
+ WHERE day_change IS NOT NULL) WHERE r = 1"""
+ORACLE["documents_breakdown"] = """SELECT lang, n, round(CAST(n AS DOUBLE) / sum(n) OVER () * 100, 1) AS pct
+FROM (SELECT lang, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY lang)"""
+ORACLE["orders_first_dates"] = "SELECT DISTINCT o_orderdate FROM orders ORDER BY o_orderdate LIMIT 10"
+
 
 def oracle_sql() -> dict[str, str]:
     from . import io_oracle  # noqa: F401  (registration of IO / feature queries)

@@ -379,6 +379,35 @@ def q_lineitem_quantiles(spark, sf):
     return Q.quantile_summary(read_table(spark, sf, "lineitem"), "l_quantity")
 
 
+@query("events_daily_trend")
+def q_events_trend(spark, sf):
+    """W1 + W2 on ``events``: events per type and day, change from the
+    previous day of that type, and each type's steepest rise (windows
+    partitioned by type)."""
+    from ..sources.shot_view import read_table
+    daily = (read_table(spark, sf, "events")
+             .groupBy("event_type", F.to_date("ts").alias("day"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    ch = W.change_from_previous(daily, "day", "n", partition=["event_type"], out="day_change",
+                                digits=None)
+    return W.steepest_change(ch, "day", "day_change", partition=["event_type"]).select(
+        "event_type", "day", "prev_day", "n", "day_change")
+
+
+@query("documents_breakdown")
+def q_documents_breakdown(spark, sf):
+    """Q7 + Q8 on ``documents``: documents per language with share of total."""
+    from ..sources.shot_view import read_table
+    return Q.breakdown(read_table(spark, sf, "documents"), "lang")
+
+
+@query("orders_first_dates")
+def q_orders_first_dates(spark, sf):
+    """Q6 on ``orders``: the ten earliest order dates."""
+    from ..sources.shot_view import read_table
+    return Q.first_values(read_table(spark, sf, "orders"), "o_orderdate", 10)
+
+
 def queries() -> dict[str, QueryFn]:
     # Import for registration side effects (model / clustering / IO queries).
     from . import ml_queries  # noqa: F401
