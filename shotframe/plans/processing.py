@@ -1,7 +1,7 @@
 """Entry 1: raw shots -> processed, season-partitioned Parquet + two report tables.
 
-One pass over the raw input:  derive (one projection) -> filter -> rebalance
-by season -> partitioned Parquet.  The removed-row accounting (Q12) is one
+One pass over the raw input:  filter -> rebalance by season -> derive (one
+projection) -> partitioned Parquet.  The removed-row accounting (Q12) is one
 aggregate that reads only the zone column (``Observation`` metrics would
 ride on the write job instead, but in Spark 4.1 they leave the session
 unable to serialize later RDD-backed evaluators).  The zone and season tables
@@ -44,8 +44,13 @@ class ProcessingResult:
 def run_processing(raw: DataFrame, table_path: str, cols: ShotColumns = DEFAULT_COLUMNS,
                    tables_path: str | None = None) -> ProcessingResult:
     spark = raw.sparkSession
-    kept = derive_shots(raw, cols).filter(F.col(cols.zone) != BACKCOURT)
-    IO.write_partitioned(kept, table_path, cols.season)
+    # Rebalance the raw rows, derive after the shuffle: the zone filter still
+    # runs before it (removed rows are never shuffled), the shuffle carries
+    # the raw columns only, and the derivations run in the post-shuffle
+    # write tasks, which AQE sizes to the advisory partition size.
+    kept = derive_shots(raw.hint("rebalance", cols.season), cols) \
+        .filter(F.col(cols.zone) != BACKCOURT)
+    IO.write_partitioned(kept, table_path, cols.season, rebalance=False)
     m = filter_accounting(raw.select(cols.zone), cols.zone, BACKCOURT).first()
 
     written = IO.read_table(spark, table_path)

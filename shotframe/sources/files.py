@@ -40,7 +40,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, key: str = "SEASON_1", mode: str = "overwrite",
                       rebalance: bool = True) -> None:
-    """S3: Hive-partitioned Parquet by ``key``."""
+    """S3: Hive-partitioned Parquet by ``key``.
+
+    ``rebalance=False`` when the input is already rebalanced by ``key``
+    (e.g. the raw rows were, before the derivations).
+    """
     out = df.hint("rebalance", key) if rebalance else df
     out.write.mode(mode).partitionBy(key).parquet(path)
 
