@@ -50,9 +50,12 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
         "zone_sanity": A.efficiency_by(raw.withColumn("made_int", bool_to_int(cols.made)),
                                        cols.zone, made="made_int", points=None),
         "shot_type_breakdown": Q.breakdown(raw, cols.shot_type),
-        "season_coverage": Q.coverage(raw),
         "removed_rows": Q.filter_accounting(raw, cols.zone, BACKCOURT),
     }
+    if Q.find_column(raw) is not None:
+        tables["season_coverage"] = Q.coverage(raw)
+    else:  # no season/year column: the first distinct game dates instead (Q6)
+        tables["first_game_dates"] = Q.first_values(raw, cols.game_date, 10)
     _write_tables(tables, out)
     return tables
 
