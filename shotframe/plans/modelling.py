@@ -70,7 +70,7 @@ class ModelRun:
         self.test.unpersist()
 
 
-def spread(df: DataFrame, minimum: int | None = None) -> DataFrame:
+def spread(df: DataFrame, minimum: int | None = None, keys=None) -> DataFrame:
     """Give a to-be-cached ML input a minimum number of partitions.
 
     Every optimiser step scans the cached rows; an input with very few
@@ -79,11 +79,13 @@ def spread(df: DataFrame, minimum: int | None = None) -> DataFrame:
     fits run concurrently and share the cores, and more partitions per fit
     only add per-iteration scheduling (measured: 4 partitions beat 3 and 8
     on 8 cores).  Inputs that are already wider are left alone, so at scale
-    this adds no shuffle.
+    this adds no shuffle.  With ``keys`` the rows are hash-partitioned by
+    them (deterministic without the sort a round-robin repartition needs to
+    stay deterministic under task retries).
     """
     target = minimum or max(2, df.sparkSession.sparkContext.defaultParallelism // 2)
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, *keys) if keys else df.repartition(target)
     return df
 
 
@@ -107,7 +109,7 @@ def prepare(shots: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS, split_keys=No
     keys = list(split_keys or [])
     raw_cats = [c for c in categorical if c != cols.action_group]
     need = list(dict.fromkeys(list(numeric) + raw_cats + [cols.action, cols.made_int] + keys))
-    base = spread(add_action_group(shots.select(*need), cols), min_partitions) \
+    base = spread(add_action_group(shots.select(*need), cols), min_partitions, keys or None) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     if split_keys:
         train, test = key_split(base, split_keys, weights, seed)

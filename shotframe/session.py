@@ -23,6 +23,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
+    # Kryo for RDD-level serialization: reliable checkpoints of ML inputs and
+    # MLlib's RDD internals (measured: model-input preparation ~2x faster).
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
