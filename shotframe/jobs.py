@@ -61,9 +61,10 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
 
 
 def process(spark: SparkSession, raw_glob: str, table: str, out: str | None = None,
-            cols: ShotColumns = DEFAULT_COLUMNS):
+            cols: ShotColumns = DEFAULT_COLUMNS, rebalance: bool = True):
     """Step 2: clean, derive, partitioned Parquet, zone and season tables."""
-    res = run_processing(IO.read_raw_csv(spark, raw_glob), table, cols, tables_path=out)
+    res = run_processing(IO.read_raw_csv(spark, raw_glob), table, cols, tables_path=out,
+                         rebalance=rebalance)
     if not res.consistent:
         raise RuntimeError(f"written {res.n_written} rows, expected "
                            f"{res.n_raw - res.n_removed - res.n_null_zone}")
@@ -132,12 +133,14 @@ def main(argv=None):
     ap.add_argument("--raw")
     ap.add_argument("--table")
     ap.add_argument("--out")
+    ap.add_argument("--no-rebalance", action="store_true",
+                    help="process: input files are one season each; skip the pre-write shuffle")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"shotframe-{a.job}").getOrCreate()
     if a.job == "verify":
         verify(spark, a.raw, a.out)
     elif a.job == "process":
-        process(spark, a.raw, a.table, a.out)
+        process(spark, a.raw, a.table, a.out, rebalance=not a.no_rebalance)
     elif a.job == "model":
         model(spark, a.table, a.out)
     elif a.job == "archetypes":

@@ -42,14 +42,22 @@ class ProcessingResult:
 
 
 def run_processing(raw: DataFrame, table_path: str, cols: ShotColumns = DEFAULT_COLUMNS,
-                   tables_path: str | None = None) -> ProcessingResult:
+                   tables_path: str | None = None, rebalance: bool = True) -> ProcessingResult:
+    """Write the processed table and build both report tables.
+
+    ``rebalance=False`` skips the shuffle before the write.  Use it when
+    every input split already holds one season (the reference's input is one
+    CSV per season): each task then writes about one file and the fact
+    table is never shuffled.  For arbitrary layouts keep the default, which
+    bounds the files per season directory.
+    """
     spark = raw.sparkSession
     # Rebalance the raw rows, derive after the shuffle: the zone filter still
     # runs before it (removed rows are never shuffled), the shuffle carries
     # the raw columns only, and the derivations run in the post-shuffle
     # write tasks, which AQE sizes to the advisory partition size.
-    kept = derive_shots(raw.hint("rebalance", cols.season), cols) \
-        .filter(F.col(cols.zone) != BACKCOURT)
+    src = raw.hint("rebalance", cols.season) if rebalance else raw
+    kept = derive_shots(src, cols).filter(F.col(cols.zone) != BACKCOURT)
     IO.write_partitioned(kept, table_path, cols.season, rebalance=False)
     m = filter_accounting(raw.select(cols.zone), cols.zone, BACKCOURT).first()
 

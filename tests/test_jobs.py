@@ -50,3 +50,11 @@ def test_jobs_end_to_end(spark):
     e = jobs.era(spark, out, window=(1997, 1999))
     assert e["three_pt_steepest"].count() == 1
     assert e["three_pt_window"].count() == 3
+
+
+def test_process_without_rebalance_matches(spark):
+    glob, view = _raw_csv(spark)
+    a = jobs.process(spark, glob, scratch_path(spark, "p-reb"), None, VIEW_COLUMNS)
+    b = jobs.process(spark, glob, scratch_path(spark, "p-noreb"), None, VIEW_COLUMNS, rebalance=False)
+    assert a.n_written == b.n_written
+    assert sorted(map(tuple, a.season_table.collect())) == sorted(map(tuple, b.season_table.collect()))
