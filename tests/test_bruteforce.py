@@ -47,3 +47,53 @@ def test_model_auc_exact_equals_rank_sum(spark):
     scored = preds.select(run.label, vector_to_array("probability")[1].alias("score"))
     ours = auc_rank(scored, run.label, "score", digits=None).first().auc
     assert abs(mllib - ours) < 1e-9
+
+
+def _fista_l1_logistic(X, y, sd, lam, iters=4000):
+    """Brute-force optimum of mean log-loss + lam * sum |w_j| sd_j (the
+    objective MLlib minimises with standardization on)."""
+    keep = sd > 0
+    Xs = X[:, keep] / sd[keep]
+    n, d = Xs.shape
+    L = 0.25 * (np.linalg.norm(Xs, 2) ** 2 + n) / n
+    v = np.zeros(d + 1)
+    x, t = v.copy(), 1.0
+    for _ in range(iters):
+        z = Xs @ v[:-1] + v[-1]
+        p = 1 / (1 + np.exp(-z))
+        u = v - np.append(Xs.T @ (p - y), np.sum(p - y)) / n / L
+        xn = u.copy()
+        xn[:-1] = np.sign(u[:-1]) * np.maximum(np.abs(u[:-1]) - lam / L, 0)
+        tn = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        v, x, t = xn + (t - 1) / tn * (xn - x), xn, tn
+    w = np.zeros(X.shape[1])
+    w[keep] = x[:-1] / sd[keep]
+    return w, x[-1]
+
+
+def test_lasso_path_reaches_the_l1_optimum(spark):
+    from shotframe.plans.queries import queries
+    run = model_run(spark, SF_ORACLE)
+    rows = run.train.collect()
+    X = np.array([r.features.toArray() for r in rows])
+    y = np.array([r[run.label] for r in rows], dtype=float)
+    sd = X.std(axis=0, ddof=1)
+
+    def objective(w, b, lam):
+        z = X @ w + b
+        return np.mean(np.logaddexp(0, z) - y * z) + lam * np.sum(np.abs(w) * sd)
+
+    def best_intercept(w):
+        b, zw = 0.0, X @ w
+        for _ in range(50):                                  # 1-D Newton on the intercept
+            p = 1 / (1 + np.exp(-(zw + b)))
+            b -= np.sum(p - y) / max(np.sum(p * (1 - p)), 1e-12)
+        return b
+
+    path = queries()["lasso_path"](spark, SF_ORACLE).collect()
+    for lam in (0.05, 0.001):
+        coef = {r.feature: r.coefficient for r in path if abs(r.regParam - lam) < 1e-12}
+        w = np.array([coef[n] for n in run.names])
+        wb, bb = _fista_l1_logistic(X, y, sd, lam)
+        assert objective(w, best_intercept(w), lam) <= objective(wb, bb, lam) + 1e-6
+        assert int((w != 0).sum()) == int((np.abs(wb) > 1e-8).sum())
