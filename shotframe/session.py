@@ -32,6 +32,33 @@ RECOMMENDED_CONF = {
 }
 
 
+# Settings for a ~100 TB run on ~1000 executors (put in spark-defaults.conf
+# or pass with --conf).  Sizing, for 100 TB of raw shots:
+#  * input splits of 256 MB -> ~400k scan tasks; each scan task holds one
+#    split plus a partial-aggregate hash map of a few thousand groups.
+#  * the only fact-table shuffle is the processing job's rebalance (kept raw
+#    columns, ~2/3 of the bytes); AQE starts from 100k shuffle partitions and
+#    splits/coalesces them to 256 MB each, so every reduce task fits in
+#    executor memory.  Aggregate shuffles carry pre-reduced groups and are
+#    coalesced by AQE to a handful of partitions.
+#  * broadcast joins stay behind the 64 MB threshold (the supplier-sized
+#    dimension at 100 TB is larger and takes the sort-merge path with AQE
+#    skew splitting).
+CLUSTER_CONF = {
+    **{k: v for k, v in RECOMMENDED_CONF.items() if k != "spark.ui.enabled"},
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    # spark.checkpoint.dir must name the cluster's shared filesystem; it is
+    # read from the session, never set here.
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "shotframe", extra: dict | None = None) -> SparkSession:
     """A session with the recommended settings (tests, bench, small jobs)."""
