@@ -36,8 +36,10 @@ RECOMMENDED_CONF = {
 # or pass with --conf).  Sizing, for 100 TB of raw shots:
 #  * input splits of 256 MB -> ~400k scan tasks; each scan task holds one
 #    split plus a partial-aggregate hash map of a few thousand groups.
-#  * the only fact-table shuffle is the processing job's rebalance (kept raw
-#    columns, ~2/3 of the bytes); AQE starts from 100k shuffle partitions and
+#  * fact-table shuffles: the processing job's rebalance (kept raw columns,
+#    ~2/3 of the bytes) and, for the driver's shot view only, its supplier
+#    join once supplier outgrows the broadcast threshold; AQE starts from 100k
+#    shuffle partitions and
 #    splits/coalesces them to 256 MB each, so every reduce task fits in
 #    executor memory.  Aggregate shuffles carry pre-reduced groups and are
 #    coalesced by AQE to a handful of partitions.
