@@ -24,7 +24,7 @@ from ..operators import trend as W
 from ..schema import (ACTION_RULES, BACK_COURT_RANGE, BACKCOURT, CATEGORICAL_FEATURES,
                       NUMERIC_FEATURES, THREE_PT_TYPE, THREE_PT_ZONES)
 from ..sources.shot_view import (VIEW_COLUMNS, VIEW_POINT_SEASON, VIEW_RECENT_SEASON,
-                                 VIEW_WINDOW, shot_view)
+                                 VIEW_WINDOW, read_table, shot_view)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -361,21 +361,18 @@ def q_sampled(spark, sf):
 @query("events_breakdown")
 def q_events_breakdown(spark, sf):
     """Q7 + Q8 on another fact table: events per type with share of total."""
-    from ..sources.shot_view import read_table
     return Q.breakdown(read_table(spark, sf, "events"), "event_type")
 
 
 @query("events_nulls")
 def q_events_nulls(spark, sf):
     """Q2 on another fact table: NULLs per column of ``events``."""
-    from ..sources.shot_view import read_table
     return Q.null_profile(read_table(spark, sf, "events"))
 
 
 @query("lineitem_quantiles")
 def q_lineitem_quantiles(spark, sf):
     """Q14 on another fact table: exact quantiles of l_quantity."""
-    from ..sources.shot_view import read_table
     return Q.quantile_summary(read_table(spark, sf, "lineitem"), "l_quantity")
 
 
@@ -384,7 +381,6 @@ def q_events_trend(spark, sf):
     """W1 + W2 on ``events``: events per type and day, change from the
     previous day of that type, and each type's steepest rise (windows
     partitioned by type)."""
-    from ..sources.shot_view import read_table
     daily = (read_table(spark, sf, "events")
              .groupBy("event_type", F.to_date("ts").alias("day"))
              .agg(F.count(F.lit(1)).alias("n")))
@@ -397,14 +393,12 @@ def q_events_trend(spark, sf):
 @query("documents_breakdown")
 def q_documents_breakdown(spark, sf):
     """Q7 + Q8 on ``documents``: documents per language with share of total."""
-    from ..sources.shot_view import read_table
     return Q.breakdown(read_table(spark, sf, "documents"), "lang")
 
 
 @query("orders_first_dates")
 def q_orders_first_dates(spark, sf):
     """Q6 on ``orders``: the ten earliest order dates."""
-    from ..sources.shot_view import read_table
     return Q.first_values(read_table(spark, sf, "orders"), "o_orderdate", 10)
 
 
