@@ -17,4 +17,16 @@ sql("stream_coverage", """SELECT concat_ws('|', SEASON_1, BASIC_ZONE) AS k,
  CAST(count(*) AS BIGINT) AS n_written, CAST(count(*) AS BIGINT) AS n_source, true AS matches
 FROM processed GROUP BY 1""")
 
+# The processed table's schema after the partitioned round trip.  DuckDB
+# describes the processed CTE; types are mapped to Spark's names and the
+# partition column moves to the end, as partition discovery places it.
+_describe = ORACLE["derive_features"]
+ORACLE["schema_table"] = f"""SELECT CAST(CASE WHEN column_name = 'SEASON_1' THEN n - 1 ELSE pos - 2 END AS INT) AS ordinal,
+ column_name,
+ CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+  WHEN 'DOUBLE' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DATE' THEN 'date'
+  ELSE lower(column_type) END AS data_type,
+ true AS nullable
+FROM (SELECT *, row_number() OVER () AS pos, count(*) OVER () AS n FROM (DESCRIBE ({_describe})))"""
+
 __all__ = ["ORACLE"]
