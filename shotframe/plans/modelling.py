@@ -1,13 +1,14 @@
 """Entry 2: shot-make model job (features, L1 path, classifier comparison).
 
     shots -> ACTION_GROUP -> repeatable 80/20 split -> feature stages fitted on
-    train only -> cached (features, label) -> 6 L1 fits -> 2 classifiers
+    train only -> checkpointed + cached (features, label) -> 6 L1 fits and
+    2 classifiers, concurrently
 
 The split is a hash of the row key (``key_split``), so train and test are
 the same rows whatever the cluster size; pass ``split_keys=None`` for
-Spark's ``randomSplit``.  Features are persisted MEMORY_AND_DISK: every
-optimiser step re-reads them, and a lost executor only recomputes its own
-partitions from the scan.
+Spark's ``randomSplit``.  Features are checkpointed under the shared folder
+and persisted MEMORY_AND_DISK: every optimiser step re-reads them, and a
+lost executor re-reads its partitions of the checkpoint.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ from ..functions.derive import add_action_group
 from ..operators import features as FE
 from ..operators import models as M
 from ..operators.select import key_split, random_split
-from ..session import ensure_checkpoint_dir
 from ..schema import (CATEGORICAL_FEATURES, DEFAULT_COLUMNS, HEADLINE_PENALTY, LASSO_PENALTIES,
                       NUMERIC_FEATURES, SEED, ShotColumns)
+from ..session import ensure_checkpoint_dir
 
 
 @dataclass
