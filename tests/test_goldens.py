@@ -139,3 +139,18 @@ def test_shot_view_matches_expected_tables(spark):
                  1998: (8876, 2703, 30.5), 1999: (8559, 2827, 33.0), 2000: (8733, 3112, 35.6),
                  2001: (7238, 2689, 37.2)}
     assert q["share_fingerprint"](spark, SF_ORACLE).count() == 700
+
+
+def test_archetype_names_for_other_k(spark):
+    cols = "cluster int, n long, rim_share double, paint_share double, mid_share double, " \
+           "lc3_share double, rc3_share double, atb3_share double"
+    extra = [(5, 10, 0.30, 0.20, 0.20, 0.05, 0.05, 0.20), (6, 10, 0.25, 0.20, 0.25, 0.05, 0.05, 0.20)]
+    names = {r.cluster: r.archetype
+             for r in C.name_clusters(spark.createDataFrame(PROFILE + extra, cols)).collect()}
+    assert len(set(names.values())) == 7
+    assert names[1] == "Rim-Dominant Big" and names[4] == "Mid-Range Specialist"
+    assert sorted(n for n in names.values() if n.startswith(C.VERSATILE_NAME)) == [
+        C.VERSATILE_NAME + " 1", C.VERSATILE_NAME + " 2", C.VERSATILE_NAME + " 3"]
+    three = {r.cluster: r.archetype
+             for r in C.name_clusters(spark.createDataFrame(PROFILE[:3], cols)).collect()}
+    assert len(set(three.values())) == 3
