@@ -7,6 +7,7 @@ Subpackages:
                trend, evaluate, features, models, archetypes, path)
   plans      - the end-to-end jobs and the registered queries
   streaming  - incremental ingestion with Structured Streaming
+  jobs       - batch entry points for the five reference steps (run_job.py)
 """
 
 __version__ = "0.1.0"
