@@ -16,9 +16,9 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from .functions.derive import bool_to_int
 from .operators import aggregate as A
 from .operators import path as PT
 from .operators import profile as Q
@@ -40,20 +40,48 @@ def _write_tables(tables: dict, out: str | None) -> None:
 
 def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
            cols: ShotColumns = DEFAULT_COLUMNS) -> dict[str, DataFrame]:
-    """Step 1: structural checks of the raw CSV files."""
+    """Step 1: structural checks of the raw CSV files, from ONE scan.
+
+    Row count, NULL counts, zone sanity, shot-type breakdown, season coverage
+    and filter accounting all come from one grouping-sets aggregate
+    (``one_pass_profile``), cached as a small table, so the raw CSV is parsed
+    once instead of once per check.
+    """
     raw = IO.read_raw_csv(spark, raw_glob)
     key_cols = ["SHOT_MADE", "SHOT_MADE_FLAG", "LOC_X", "LOC_Y", "BASIC_ZONE",
                 "SHOT_ZONE_BASIC", "SHOT_TYPE", "GAME_DATE"]
+    present = [c for c in key_cols if c in raw.columns]
+    season = Q.find_column(raw)
+    dims = {"zone": cols.zone, "shot_type": cols.shot_type}
+    if season is not None:
+        dims["season"] = season
+    prof = Q.one_pass_profile(raw, dims, made=cols.made, null_cols=present,
+                              accounting=(cols.zone, BACKCOURT)).cache()
+    total = prof.filter(F.col("grouping") == "all")
+
+    def part(label):
+        return prof.filter(F.col("grouping") == label)
+
+    parts = ", ".join(f"'{c}', 'present', null__{c}" if c in present
+                      else f"'{c}', 'missing', CAST(NULL AS BIGINT)" for c in key_cols)
+    shot_types = part("shot_type").select(F.col("key").alias(cols.shot_type), "n")
     tables = {
-        "row_count": Q.row_and_column_count(raw),
-        "null_counts": Q.null_profile(raw, key_cols),
-        "zone_sanity": A.efficiency_by(raw.withColumn("made_int", bool_to_int(cols.made)),
-                                       cols.zone, made="made_int", points=None),
-        "shot_type_breakdown": Q.breakdown(raw, cols.shot_type),
-        "removed_rows": Q.filter_accounting(raw, cols.zone, BACKCOURT),
+        "row_count": total.select(F.col("n").alias("n_rows"),
+                                  F.lit(len(raw.columns)).alias("n_columns")),
+        "null_counts": total.select(F.expr(
+            f"stack({len(key_cols)}, {parts}) AS (column_name, status, null_count)")),
+        "zone_sanity": part("zone").select(
+            F.col("key").alias(cols.zone), F.col("n").alias("attempts"),
+            F.round(F.try_divide(F.col("made"), F.col("made_n")) * 100, 1).alias("fg_pct"))
+        .orderBy(F.desc("attempts"), cols.zone),
+        "shot_type_breakdown": shot_types.withColumn(
+            "pct", A.pct(F.col("n"), F.sum("n").over(Window.partitionBy()))).orderBy(F.desc("n")),
+        "removed_rows": total.select(F.col("n").alias("n_rows"), "n_removed", "n_kept", "n_null"),
     }
-    if Q.find_column(raw) is not None:
-        tables["season_coverage"] = Q.coverage(raw)
+    if season is not None:
+        tables["season_coverage"] = part("season").select(
+            F.col("key").cast(raw.schema[season].dataType).alias(season),
+            F.col("n").alias("n_rows")).orderBy(season)
     else:  # no season/year column: the first distinct game dates instead (Q6)
         tables["first_game_dates"] = Q.first_values(raw, cols.game_date, 10)
     _write_tables(tables, out)

@@ -151,3 +151,42 @@ def usable_rows(df: DataFrame, numeric_cols) -> DataFrame:
         ok = cond if ok is None else ok & cond
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(ok).alias("n_usable")) \
         .withColumn("n_skipped", F.col("n_rows") - F.col("n_usable"))
+
+
+def one_pass_profile(df: DataFrame, dims: dict, made: str | None = None, null_cols=(),
+                     accounting: tuple | None = None) -> DataFrame:
+    """Several profiles from ONE scan: grouping sets over each dimension and
+    the grand total.
+
+    ``dims`` maps a label to a column (e.g. {"zone": "BASIC_ZONE", "season":
+    "SEASON_1"}).  The result has one row per value of each dimension plus
+    one ``all`` row: (grouping, key, n[, made, made_n], null__<col>...,
+    [n_removed, n_kept, n_null]).  Rows of a dimension give its breakdown,
+    coverage or efficiency table; the ``all`` row gives row count, NULL
+    counts and filter accounting.  Spark plans it as Expand -> partial
+    aggregate -> one exchange of pre-aggregated rows, so a verification job
+    parses raw CSV once instead of once per check.
+    """
+    labels = list(dims)
+    cols = [dims[k] for k in labels]
+    k = len(cols)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if made:
+        m = F.col(made).cast("int")
+        aggs += [F.sum(m).cast("long").alias("made"), F.count(m).alias("made_n")]
+    aggs += [F.count_if(F.col(_q(c)).isNull()).alias(f"null__{c}")
+             for c in null_cols if c in df.columns]
+    if accounting:
+        col, value = accounting
+        c = F.col(col)
+        aggs += [F.count_if(c == value).alias("n_removed"), F.count_if(c != value).alias("n_kept"),
+                 F.count_if(c.isNull()).alias("n_null")]
+    g = df.groupingSets([[c] for c in cols] + [[]], *cols).agg(*aggs, F.grouping_id().alias("_gid"))
+    full = (1 << k) - 1
+    label, key = F.lit("all"), F.lit(None).cast("string")
+    for i, (lab, c) in enumerate(zip(labels, cols)):
+        gid = full - (1 << (k - 1 - i))
+        label = F.when(F.col("_gid") == gid, F.lit(lab)).otherwise(label)
+        key = F.when(F.col("_gid") == gid, F.col(c).cast("string")).otherwise(key)
+    rest = [x for x in g.columns if x not in cols and x != "_gid"]
+    return g.select(label.alias("grouping"), key.alias("key"), *rest)

@@ -298,6 +298,15 @@ ORACLE["documents_breakdown"] = """SELECT lang, n, round(CAST(n AS DOUBLE) / sum
 FROM (SELECT lang, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY lang)"""
 ORACLE["orders_first_dates"] = "SELECT DISTINCT o_orderdate FROM orders ORDER BY o_orderdate LIMIT 10"
 
+sql("verify_one_pass", """SELECT
+ CASE WHEN GROUPING(BASIC_ZONE) = 0 THEN 'zone' WHEN GROUPING(SHOT_TYPE) = 0 THEN 'shot_type'
+      WHEN GROUPING(SEASON_1) = 0 THEN 'season' ELSE 'all' END AS grouping,
+ CASE WHEN GROUPING(BASIC_ZONE) = 0 THEN BASIC_ZONE WHEN GROUPING(SHOT_TYPE) = 0 THEN SHOT_TYPE
+      WHEN GROUPING(SEASON_1) = 0 THEN CAST(SEASON_1 AS VARCHAR) END AS key,
+ CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(SHOT_MADE AS INT)) AS BIGINT) AS made,
+ CAST(count(SHOT_MADE) AS BIGINT) AS made_n
+FROM shots GROUP BY GROUPING SETS ((BASIC_ZONE), (SHOT_TYPE), (SEASON_1), ())""")
+
 
 def oracle_sql() -> dict[str, str]:
     from . import io_oracle  # noqa: F401  (registration of IO / feature queries)

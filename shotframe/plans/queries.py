@@ -402,6 +402,14 @@ def q_orders_first_dates(spark, sf):
     return Q.first_values(read_table(spark, sf, "orders"), "o_orderdate", 10)
 
 
+@query("verify_one_pass")
+def q_verify_one_pass(spark, sf):
+    """Q5 + Q7 + Q9 + Q1 in one scan (grouping sets): rows and makes per zone,
+    per shot type, per season and overall."""
+    return Q.one_pass_profile(shots(spark, sf), {"zone": COLS.zone, "shot_type": COLS.shot_type,
+                                                 "season": COLS.season}, made=COLS.made)
+
+
 def queries() -> dict[str, QueryFn]:
     # Import for registration side effects (model / clustering / IO queries).
     from . import ml_queries  # noqa: F401

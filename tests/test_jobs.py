@@ -30,6 +30,17 @@ def test_jobs_end_to_end(spark):
     assert v["row_count"].first().n_columns == 26
     status = {r.column_name: r.status for r in v["null_counts"].collect()}
     assert status["SHOT_MADE_FLAG"] == "missing" and status["SHOT_MADE"] == "present"
+    # the one-pass tables equal the checks computed one by one
+    from shotframe.operators import aggregate as AG
+    from shotframe.operators import profile as PR
+    raw = spark.read.schema(RAW_SHOT_SCHEMA).option("header", True).csv(glob)
+    direct = AG.efficiency_by(raw.withColumn("m", F.col("SHOT_MADE").cast("int")), "BASIC_ZONE",
+                              made="m", points=None)
+    assert sorted(map(tuple, v["zone_sanity"].collect())) == sorted(map(tuple, direct.collect()))
+    assert sorted(map(tuple, v["season_coverage"].collect())) == \
+        sorted(map(tuple, PR.coverage(raw).collect()))
+    assert v["removed_rows"].first().asDict() == \
+        PR.filter_accounting(raw, "BASIC_ZONE", "Backcourt").first().asDict()
 
     res = jobs.process(spark, glob, table, out, VIEW_COLUMNS)
     assert res.consistent and res.n_raw == view.count()

@@ -75,3 +75,14 @@ def test_partition_invariance(spark, name):
         results.append(sorted(tuple(r) for r in df.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert results[0] == results[1] == results[2]
+
+
+def test_one_pass_profile_is_one_scan_one_shuffle(spark):
+    from shotframe.operators.profile import one_pass_profile
+    from shotframe.plans.queries import shots
+    p = plan(one_pass_profile(shots(spark, SF_SMALL), {"zone": "BASIC_ZONE", "type": "SHOT_TYPE",
+                                                      "season": "SEASON_1"}, made="SHOT_MADE"),
+             "simple")
+    assert p.count("Expand") == 1
+    assert p.count("Exchange hashpartitioning") == 1
+    assert p.count("FileScan parquet") == 2          # lineitem + supplier, once each
