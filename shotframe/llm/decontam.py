@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .shared import slices
 from .words import NOT_ALNUM, mix, word_hashes
 
-REPETITIONS = 12
+REPETITIONS = 8
 #: Items with fewer words say nothing about a document and are not searched for.
 MIN_WORDS = 8
 #: Largest edit distance of a match, as a share of the item's words.
@@ -75,10 +75,13 @@ def walks(classes: list[int], repetitions: int = REPETITIONS, seed: int = 42) ->
 
 def _walk(words: np.ndarray, at: np.ndarray, number: int, begin: int, end: int, stop: np.ndarray) -> np.ndarray:
     """Pointers after the steps begin to end - 1; words past a sequence's stop read as the end mark."""
+    many = 2 * len(at) > len(words)
     for step in range(begin, end):
-        seen = words[at]
-        at = at + ((seen * _STEP[number, step]) >> np.uint64(63)).astype(at.dtype)
-        np.minimum(at, stop, out=at)
+        if many:  # one bit for each word, then a small gather
+            moves = ((words * _STEP[number, step]) >> np.uint64(63)).astype(np.int8)[at]
+        else:
+            moves = ((words[at] * _STEP[number, step]) >> np.uint64(63)).astype(np.int8)
+        at = np.minimum(at + moves, stop)
     return at
 
 
@@ -139,7 +142,7 @@ class Index:
     def candidates(self, words: np.ndarray, stops: np.ndarray) -> set[tuple[int, int]]:
         """(item, word where the item would start) of all collisions; stops: end mark of each word's text."""
         found: set[tuple[int, int]] = set()
-        starts = np.flatnonzero(words != _END)
+        starts = np.flatnonzero(words != _END).astype(np.int32)
         low = (words & np.uint64(0xFFFF)).astype(np.uint16)
         for walk, (firsts, keys, late), screen in zip(self.walks, self.tables, self.screen):
             at = starts
@@ -211,7 +214,7 @@ def search(index: Index, buf: np.ndarray, offsets: np.ndarray, max_share: float
     place = np.arange(len(hashes)) + text
     words[place] = hashes
     marks = first[1:] + np.arange(n)
-    stops = np.repeat(marks, sizes + 1)
+    stops = np.repeat(marks, sizes + 1).astype(np.int32)
     best: dict[tuple[int, int], tuple[int, int]] = {}
     tried: set[tuple[int, int]] = set()
     for item, start in sorted(index.candidates(words, stops)):
@@ -231,6 +234,16 @@ def search(index: Index, buf: np.ndarray, offsets: np.ndarray, max_share: float
     return [(owner, item, d, int(ends[last - owner] - offsets[owner])) for (owner, item), (d, last) in best.items()]
 
 
+def _indexes(benchmark: DataFrame, item_col: str, text_col: str, repetitions: int) -> Iterator[Index]:
+    """Indexes of all items, of bounded size: about ``BLOCK_ITEMS`` items each; one without items if there are none."""
+    items = (benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
+             .select(F.col(item_col).cast("bigint").alias("item"), F.col(text_col).alias("text")))
+    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
+    for k in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
+        yield Index(sorted((r.item, r.text) for r in own), repetitions)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text_col: str = "text", max_share: float = MAX_EDIT_SHARE,
             repetitions: int = REPETITIONS) -> DataFrame:
@@ -244,14 +257,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     index of bounded size; an empty benchmark finds nothing.
     """
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = (benchmark.where(F.col(item_col).isNotNull() & F.col(item_text_col).isNotNull())
-             .select(F.col(item_col).cast("bigint").alias("item"), F.col(item_text_col).alias("text")))
     schema = "doc_id bigint, item_ids array<bigint>, distances array<int>, ends array<bigint>"
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
     found = None
-    for k in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).collect()
-        index = Index(sorted((r.item, r.text) for r in own), repetitions)
+    for index in _indexes(benchmark, item_col, item_text_col, repetitions):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -276,3 +284,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     m = matches(docs, benchmark, **options)
     return m.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), F.size("item_ids").alias("n_items"),
                     F.array_min("distances").alias("min_distance"), F.array_sort("item_ids").alias("item_ids"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text", max_share: float = MAX_EDIT_SHARE, repetitions: int = REPETITIONS) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item is found, all columns; null and empty texts stay."""
+    for index in _indexes(benchmark, item_col, item_text_col, repetitions):
+        place = docs.columns.index(text_col)
+
+        def run(batches: Iterator[pa.RecordBatch], index: Index = index, place: int = place) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, dtype=bool)
+                for at, buf, offsets in slices(batch.column(place), 1 << 19):
+                    for owner, *_ in search(index, buf, offsets, max_share):
+                        keep[at + owner] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

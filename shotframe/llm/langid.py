@@ -28,6 +28,8 @@ HIDDEN = 8
 DOCS_PER_LANGUAGE = 400
 WINDOWS_PER_DOC = 8
 EPOCHS = 4
+#: A small sample is gone through more often, up to this many steps.
+LEAST_STEPS = 200
 BATCH = 192
 RATE = 0.01
 #: What a text without letters is called.
@@ -147,8 +149,10 @@ def train(texts: list[bytes], labels: list[str], seed: int = 5) -> Network | Non
     if rows:
         data, out = np.stack(rows), np.array(wanted)
         first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-        step, total = 0, EPOCHS * -(-len(data) // BATCH)
-        for _ in range(EPOCHS):
+        step, rounds = 0, -(-len(data) // BATCH)
+        epochs = max(EPOCHS, LEAST_STEPS // rounds)
+        total = epochs * rounds
+        for _ in range(epochs):
             order = rng.permutation(len(data))
             for at in range(0, len(order), BATCH):
                 part = order[at: at + BATCH]
