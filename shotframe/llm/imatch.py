@@ -18,8 +18,9 @@ from .shared import drop_stored, stored
 
 #: Band of a term's share of documents.
 LOW, HIGH = 0.005, 0.3
-#: Random subsets of the lexicon; one term in ``THIN`` belongs to a subset.
-SUBSETS, THIN = 24, 12
+#: Random subsets of the lexicon, disjoint: a term's hash deals it to one of ``THIN`` lots, of which
+#: the first ``SUBSETS`` are used.  Few terms a subset let likeness fall by degrees.
+SUBSETS, THIN = 24, 64
 #: Cells of the lookup table by the low bits of a term's hash.
 CELLS = 4096
 
@@ -33,11 +34,16 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def lexicon(terms: DataFrame, column: str = "terms", low: float = LOW, high: float = HIGH) -> list[int]:
-    """The terms in the band, from the distinct terms of every document."""
+def lot_of(term: Column, thin: int = THIN) -> Column:
+    return F.pmod(F.xxhash64(term, F.lit(0)), F.lit(thin))
+
+
+def lexicon(terms: DataFrame, column: str = "terms", low: float = LOW, high: float = HIGH,
+            subsets: int = SUBSETS, thin: int = THIN) -> list[int]:
+    """The terms of the used subsets in the band, counted in the distinct terms of every document."""
     n = terms.count()
     return [r.term for r in terms.select(F.explode(column).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-            .where((F.col("df") >= low * n) & (F.col("df") <= high * n) & (F.col("df") > 1)).select("term").collect()]
+            .where((F.col("df") >= low * n) & (F.col("df") <= high * n) & (F.col("df") > 1) & (lot_of(F.col("term"), thin) < subsets)).select("term").collect()]
 
 
 def _table(words: list[int]) -> Column:
@@ -56,17 +62,21 @@ def with_fingerprint(rows: DataFrame, text_col: str, words: list[int], out: str
     different texts outside the lexicon stay apart.
     """
     table = _table(words)
-    # columns of their own, so that each is worked out once a row
+    # columns of their own that the next step names twice, or the optimizer would move them into its lambda
     step = rows.withColumn("_terms", terms_of(F.col(text_col)))
-    step = step.withColumn("_known", F.array_sort(F.filter("_terms", lambda t: F.find_in_set(
-        t.cast("string"), F.get(table, F.pmod(t, F.lit(CELLS)).cast("int"))) > 0)))
-    step = step.withColumn("_every", F.xxhash64(F.array_sort("_terms"), F.lit(-1)))
-    none = F.xxhash64(F.array().cast("array<bigint>"))
-    step = step.withColumn("_parts", F.transform(F.sequence(F.lit(0), F.lit(subsets - 1)), lambda k: F.xxhash64(
-        F.filter("_known", lambda t: F.pmod(F.xxhash64(t, k), F.lit(thin)) == 0))))
-    parts = F.transform("_parts", lambda v, k: F.lpad(F.hex(F.shiftrightunsigned(
-        F.xxhash64(F.when(v == none, F.col("_every")).otherwise(v), k), 32)), 8, "0"))
-    return step.withColumn(out, F.array_join(parts, "")).drop("_terms", "_known", "_every", "_parts")
+    step = step.withColumns({
+        "_known": F.array_sort(F.filter("_terms", lambda t: F.find_in_set(
+            t.cast("string"), F.get(table, F.pmod(t, F.lit(CELLS)).cast("int"))) > 0)),
+        "_every": F.xxhash64(F.array_sort("_terms"), F.lit(-1))})
+    numbers, none = F.sequence(F.lit(0), F.lit(subsets - 1)), F.xxhash64(F.array().cast("array<bigint>"))
+    hashes = F.transform(numbers, lambda k: F.xxhash64(
+        F.filter("_known", lambda t: F.pmod(F.xxhash64(t, k), F.lit(thin)) == 0)))
+    step = step.withColumn("_parts", F.when(F.size("_known") == 0, F.transform(numbers, lambda k: none)).otherwise(hashes))
+    text = lambda value, k: F.lpad(F.hex(F.shiftrightunsigned(F.xxhash64(value, k), 32)), 8, "0")
+    own = F.transform("_parts", lambda v, k: text(F.when(v == none, F.col("_every")).otherwise(v), k))
+    none_own = F.transform(numbers, lambda k: text(F.col("_every"), k))
+    return (step.withColumn(out, F.array_join(F.when(F.size("_known") == 0, none_own).otherwise(own), ""))
+            .drop("_terms", "_known", "_every", "_parts"))
 
 
 def likeness(a: Column, b: Column, subsets: int = SUBSETS) -> Column:
