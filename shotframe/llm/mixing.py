@@ -28,23 +28,27 @@ CELLS_PER_PARTITION = 50_000
 UNKNOWN = "unknown"
 
 
+def _times(text: Column, piece: str) -> Column:
+    """How often a piece occurs in a text, by what taking it out takes off."""
+    return (F.octet_length(text) - F.octet_length(F.replace(text, F.lit(piece), F.lit("")))) / F.lit(len(piece))
+
+
 def tokens_of(text: Column) -> Column:
-    """Words between white space, as the weight of a text; null and blank texts have none."""
-    spaced = F.trim(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     "))
-    return F.when(spaced == "", 0).otherwise(F.size(F.split(spaced, " +"))).cast("bigint")
+    """One more than the spaces, tabs and line ends inside a text, as its weight; null and blank texts have none."""
+    t = F.coalesce(text, F.lit(""))
+    blank = F.trim(t, F.lit(" \t\n\r")) == ""
+    return F.when(blank, 0).otherwise(1 + _times(t, " ") + _times(t, "\n") + _times(t, "\t")).cast("bigint")
 
 
 def topic_of(text: Column) -> Column:
-    """A coarse kind of text from shares of characters: the topic where a corpus has none of its own."""
+    """A coarse kind of text from counts of signs: the topic where a corpus has none of its own."""
     t = F.coalesce(text, F.lit(""))
-    n = F.length(t)
-    # characters of a kind, counted by what taking them out takes off
-    share = lambda chars: (n - F.length(F.translate(t, chars, ""))) / F.greatest(n, F.lit(1))
+    n = F.octet_length(t)
+    marks = sum((_times(t, mark) for mark in ("###", "***", "&&&", "$$$", "%%%")), F.lit(0))
     return (F.when(n == 0, "empty")
-            .when(share("|\t") > 0.02, "table")
-            .when(share("ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 0.3, "capitals")
-            .when(share("{}<>=;#$%&*_@") > 0.02, "marked")
-            .when(share("0123456789") > 0.05, "numbers")
+            .when(_times(t, "|") * 50 > n, "table")
+            .when(F.regexp_count(t, F.lit("[A-Z]{3}")) * 20 > n, "capitals")
+            .when(marks * 100 > n, "marked")
             .when(n < 200, "note").when(n < 2000, "article").otherwise("long"))
 
 

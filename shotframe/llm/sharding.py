@@ -40,24 +40,21 @@ def at_or_after(h: Column, d: Column, key: Key) -> Column:
     return (h > key[0]) | ((h == key[0]) & (d >= key[1]))
 
 
-def place_in(h: Column, d: Column, bounds: list[Key], group: int = 16) -> Column:
-    """How many of the sorted ``bounds`` are at or under a key: first among every 16th, then inside that group."""
-    first = bounds[::group]
-    above = F.lit(0)
-    for b in first:
-        above = above + at_or_after(h, d, b).cast("int")
-    if len(bounds) <= 1:
-        return above
-    # constant arrays, padded to whole groups with keys after all others
-    last = (2**63 - 1, 2**63 - 1)
-    padded = bounds + [last] * (-len(bounds) % group)
-    flat_h, flat_d = (F.split(F.lit(",".join(str(b[i]) for b in padded)), ",").cast("array<bigint>") for i in (0, 1))
-    at = (above - 1) * group
-    inside = F.lit(0)
-    for k in range(1, group):
-        x, y = F.get(flat_h, at + k), F.get(flat_d, at + k)
-        inside = inside + ((h > x) | ((h == x) & (d >= y))).cast("int")
-    return F.when(above == 0, 0).otherwise(at + 1 + inside)
+def place_in(h: Column, d: Column, bounds: list[Key]) -> Column:
+    """How many of the sorted ``bounds`` are at or under a key, from constant arrays."""
+    if not bounds:
+        return F.lit(0)
+    own = [F.split(F.lit(",".join(str(b[i]) for b in bounds)), ",").cast("array<bigint>") for i in (0, 1)]
+    return F.size(F.filter(F.arrays_zip(own[0].alias("h"), own[1].alias("d")),
+                           lambda b: (b["0"] < h) | ((b["0"] == h) & (b["1"] <= d))))
+
+
+def shard_of(h: Column, d: Column, cuts: list[Key]) -> Column:
+    """How many of a few splitters are at or under a key."""
+    shard = F.lit(0)
+    for c in cuts:
+        shard = shard + at_or_after(h, d, c).cast("int")
+    return shard
 
 
 def sampled_bounds(keys: DataFrame, total: int, ranges: int = RANGES, draws: int = DRAWS) -> list[Key]:
@@ -110,7 +107,7 @@ def sharded(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col:
     h, d = key_of(F.col(id_col), F.col(text_col))
     keys = stored(docs.select(h.alias("h"), d.alias("d"), size_of(F.col(text_col)).alias("size")), "shard-keys")
     cuts = splitters(keys, shards)
-    sizes = keys.withColumn("shard", place_in(F.col("h"), F.col("d"), cuts))
+    sizes = keys.withColumn("shard", shard_of(F.col("h"), F.col("d"), cuts))
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
     pieces = max(1, -(-total // (shards * piece_bytes)))
     piece = lambda a, b: F.pmod(F.xxhash64(a, b, F.lit(23)), F.lit(pieces))
@@ -120,7 +117,7 @@ def sharded(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col:
     drop_stored(keys)
     names = [c for c in docs.columns if c not in ("shard", "slot")]
     own = docs.select(*names, h.alias("_h"), d.alias("_d"))
-    own = (own.withColumn("shard", place_in(F.col("_h"), F.col("_d"), cuts).cast("int"))
+    own = (own.withColumn("shard", shard_of(F.col("_h"), F.col("_d"), cuts))
            .withColumn("piece", piece(F.col("_h"), F.col("_d"))))
     rank = F.row_number().over(Window.partitionBy("shard", "piece").orderBy("_h", "_d"))
     return (own.withColumn("rank", rank).join(table, ["shard", "piece"])
