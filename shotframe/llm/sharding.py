@@ -46,7 +46,7 @@ def place_in(h: Column, d: Column, bounds: list[Key]) -> Column:
         return F.lit(0)
     own = [F.split(F.lit(",".join(str(b[i]) for b in bounds)), ",").cast("array<bigint>") for i in (0, 1)]
     return F.size(F.filter(F.arrays_zip(own[0].alias("h"), own[1].alias("d")),
-                           lambda b: (b["0"] < h) | ((b["0"] == h) & (b["1"] <= d))))
+                           lambda b: (b["h"] < h) | ((b["h"] == h) & (b["d"] <= d))))
 
 
 def shard_of(h: Column, d: Column, cuts: list[Key]) -> Column:
