@@ -57,8 +57,9 @@ def contexts_of(url: Column) -> Column:
     codes = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c))
     edge = F.lit(EDGE)
     padded = F.concat(F.array(edge, edge), codes, F.array(edge))
-    return F.transform(F.sequence(F.lit(2), F.size(padded) - 1), lambda i: (
-        (F.get(padded, i - 2) * SYMBOLS + F.get(padded, i - 1)) * SYMBOLS + F.get(padded, i)).cast("bigint"))
+    # a lambda over one array binds the codes, so that they are worked out once a URL
+    return F.get(F.transform(F.array(padded), lambda p: F.transform(F.sequence(F.lit(2), F.size(p) - 1), lambda i: (
+        (F.get(p, i - 2) * SYMBOLS + F.get(p, i - 1)) * SYMBOLS + F.get(p, i)).cast("bigint"))), F.lit(0))
 
 
 def _smoothed(n: str) -> Column:
