@@ -2,7 +2,7 @@
 
     zip -r shotframe.zip shotframe
     spark-submit --py-files shotframe.zip run_job.py process \
-        --raw 'hdfs:///raw/NBA_*_Shots.csv' --table hdfs:///processed/shots --out hdfs:///tables
+        --raw 'hdfs:///raw/*.csv' --table hdfs:///processed/shots --out hdfs:///tables
 """
 
 from shotframe.jobs import main

@@ -1,7 +1,7 @@
 """Batch jobs with the same inputs and outputs as the reference's five steps.
 
-    spark-submit --py-files shotframe.zip run_job.py verify     --raw 'hdfs:///raw/NBA_*_Shots.csv' --out hdfs:///tables
-    spark-submit --py-files shotframe.zip run_job.py process    --raw 'hdfs:///raw/NBA_*_Shots.csv' \
+    spark-submit --py-files shotframe.zip run_job.py verify     --raw 'hdfs:///raw/*.csv' --out hdfs:///tables
+    spark-submit --py-files shotframe.zip run_job.py process    --raw 'hdfs:///raw/*.csv' \
                                               --table hdfs:///processed/shots --out hdfs:///tables
     spark-submit --py-files shotframe.zip run_job.py model      --table hdfs:///processed/shots --out hdfs:///tables
     spark-submit --py-files shotframe.zip run_job.py archetypes --table hdfs:///processed/shots --out hdfs:///tables
@@ -31,6 +31,10 @@ from .schema import (BACKCOURT, DEFAULT_COLUMNS, HEADLINE_PENALTY, SEASON_TABLE_
 from .sources import files as IO
 
 
+#: Columns that tell one shot from another, for the train/test split.
+DEFAULT_SPLIT_KEYS = ("GAME_ID", "PLAYER_ID", "QUARTER", "MINS_LEFT", "SECS_LEFT", "LOC_X", "LOC_Y")
+
+
 def _write_tables(tables: dict, out: str | None) -> None:
     if not out:
         return
@@ -47,11 +51,15 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
     (``one_pass_profile``), cached as a small table, so the raw CSV is parsed
     once instead of once per check.
     """
-    raw = IO.read_raw_csv(spark, raw_glob)
+    raw = IO.read_raw_csv(spark, raw_glob, IO.header_schema(spark, raw_glob))
     key_cols = ["SHOT_MADE", "SHOT_MADE_FLAG", "LOC_X", "LOC_Y", "BASIC_ZONE",
                 "SHOT_ZONE_BASIC", "SHOT_TYPE", "GAME_DATE"]
     present = [c for c in key_cols if c in raw.columns]
     season = Q.find_column(raw)
+    n_columns = len(raw.columns)
+    # checks that need a column which the files lack are left out below; the scan sees NULLs in its place
+    lacking = {c for c in (cols.zone, cols.shot_type, cols.made) if c not in raw.columns}
+    raw = raw.withColumns({c: F.lit(None).cast("boolean" if c == cols.made else "string") for c in lacking})
     dims = {"zone": cols.zone, "shot_type": cols.shot_type}
     if season is not None:
         dims["season"] = season
@@ -67,7 +75,7 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
     shot_types = part("shot_type").select(F.col("key").alias(cols.shot_type), "n")
     tables = {
         "row_count": total.select(F.col("n").alias("n_rows"),
-                                  F.lit(len(raw.columns)).alias("n_columns")),
+                                  F.lit(n_columns).alias("n_columns")),
         "null_counts": total.select(F.expr(
             f"stack({len(key_cols)}, {parts}) AS (column_name, status, null_count)")),
         "zone_sanity": part("zone").select(
@@ -82,8 +90,10 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
         tables["season_coverage"] = part("season").select(
             F.col("key").cast(raw.schema[season].dataType).alias(season),
             F.col("n").alias("n_rows")).orderBy(season)
-    else:  # no season/year column: the first distinct game dates instead (Q6)
+    elif cols.game_date in raw.columns:  # no season/year column: the first distinct game dates instead (Q6)
         tables["first_game_dates"] = Q.first_values(raw, cols.game_date, 10)
+    needs = {"zone_sanity": {cols.zone, cols.made}, "removed_rows": {cols.zone}, "shot_type_breakdown": {cols.shot_type}}
+    tables = {k: t for k, t in tables.items() if not needs.get(k, set()) & lacking}
     _write_tables(tables, out)
     return tables
 
@@ -91,18 +101,23 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
 def process(spark: SparkSession, raw_glob: str, table: str, out: str | None = None,
             cols: ShotColumns = DEFAULT_COLUMNS, rebalance: bool = True):
     """Step 2: clean, derive, partitioned Parquet, zone and season tables."""
-    res = run_processing(IO.read_raw_csv(spark, raw_glob), table, cols, tables_path=out,
+    res = run_processing(IO.read_raw_csv(spark, raw_glob, keep_malformed=True), table, cols, tables_path=out,
                          rebalance=rebalance)
     if not res.consistent:
-        raise RuntimeError(f"written {res.n_written} rows, expected "
-                           f"{res.n_raw - res.n_removed - res.n_null_zone}")
+        raise RuntimeError(f"written {res.n_written} rows, expected {res.n_raw - res.n_removed - res.n_null_zone}; "
+                           f"{res.n_malformed} malformed lines, {res.n_mismatched} seasons differ")
     return res
 
 
 def model(spark: SparkSession, table: str, out: str | None = None,
-          cols: ShotColumns = DEFAULT_COLUMNS, split_keys=None) -> dict[str, DataFrame]:
-    """Step 3: L1 path, headline coefficients, classifier comparison."""
-    run = MO.prepare(IO.read_table(spark, table), cols, split_keys=split_keys)
+          cols: ShotColumns = DEFAULT_COLUMNS, split_keys=DEFAULT_SPLIT_KEYS,
+          partitions: int | None = None) -> dict[str, DataFrame]:
+    """Step 3: L1 path, headline coefficients, classifier comparison.
+
+    Rows are split by a hash of ``split_keys``, so train and test are the
+    same rows for any layout of the table.
+    """
+    run = MO.prepare(IO.read_table(spark, table), cols, split_keys=split_keys, partitions=partitions)
     run.run_all()
     headline = MO.headline(run, HEADLINE_PENALTY)
     tables = {
@@ -163,6 +178,9 @@ def main(argv=None):
     ap.add_argument("--out")
     ap.add_argument("--no-rebalance", action="store_true",
                     help="process: input files are one season each; skip the pre-write shuffle")
+    ap.add_argument("--split-keys", default=",".join(DEFAULT_SPLIT_KEYS),
+                    help="model: columns whose hash splits train and test")
+    ap.add_argument("--partitions", type=int, help="model: partitions of the cached model input")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"shotframe-{a.job}").getOrCreate()
     if a.job == "verify":
@@ -170,7 +188,7 @@ def main(argv=None):
     elif a.job == "process":
         process(spark, a.raw, a.table, a.out, rebalance=not a.no_rebalance)
     elif a.job == "model":
-        model(spark, a.table, a.out)
+        model(spark, a.table, a.out, split_keys=a.split_keys.split(","), partitions=a.partitions)
     elif a.job == "archetypes":
         archetypes(spark, a.table, a.out)
     else:

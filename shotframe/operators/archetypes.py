@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -76,13 +78,10 @@ def explained_variance(spark: SparkSession, pca_model) -> DataFrame:
 
 
 def loadings(spark: SparkSession, pca_model, features) -> DataFrame:
-    """C4: feature x component loadings (PC1..PCk)."""
-    pc = pca_model.pc.toArray()
-    k = pc.shape[1]
-    fields = [T.StructField("feature", T.StringType())] + \
-        [T.StructField(f"PC{j + 1}", T.DoubleType()) for j in range(k)]
-    rows = [tuple([f] + [float(pc[i][j]) for j in range(k)]) for i, f in enumerate(features)]
-    return spark.createDataFrame(rows, T.StructType(fields))
+    """C4: feature x component loadings (PC1..PCk); bounded by the number of features."""
+    by_component = pd.DataFrame(pca_model.pc.toArray(), index=list(features))
+    by_component.columns = [f"PC{n}" for n in range(1, by_component.shape[1] + 1)]
+    return spark.createDataFrame(by_component.rename_axis("feature").reset_index())
 
 
 def _kmeans(k: int, vec: str, pred: str, seed: int):
@@ -100,7 +99,7 @@ def k_sweep(df: DataFrame, ks=K_RANGE, vec: str = "pca_features", seed: int = SE
         return (int(k), float(ev.evaluate(m.transform(df))), float(m.summary.trainingCost))
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
-        rows = list(pool.map(run, ks))
+        rows = list(pool.map(inheritable_thread_target(run), ks))
     schema = T.StructType([T.StructField("k", T.IntegerType()),
                            T.StructField("silhouette", T.DoubleType()),
                            T.StructField("training_cost", T.DoubleType())])

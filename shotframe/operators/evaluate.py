@@ -8,7 +8,8 @@ so that no task ever holds the whole score list: distinct scores are cut
 into equi-depth buckets (``QuantileDiscretizer``), each bucket's total
 comes from a small aggregate (one row per bucket), the bucket offsets are a
 running sum over those few rows, and the in-bucket prefix is a window
-partitioned by bucket.  Numerators stay integers (decimal(38,0)) until the
+partitioned by bucket.  The number of buckets follows the number of distinct
+scores, so that a bucket holds about ``ROWS_PER_BUCKET`` of them.  Numerators stay integers (decimal(38,0)) until the
 final division, so the result does not depend on summation order.
 """
 
@@ -18,14 +19,19 @@ from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_BUCKET = 200_000
+
 
 def prefix_sum_exclusive(df: DataFrame, order: str, value: str, out: str = "prefix",
-                         buckets: int = 64) -> DataFrame:
+                         buckets: int | None = None) -> DataFrame:
     """Sum of ``value`` over all rows with a smaller ``order`` (ties excluded).
 
-    ``order`` must be unique per row (aggregate first).  Work is spread over
-    ``buckets`` tasks; only ``buckets`` small rows are combined globally.
+    ``order`` must be unique per row and not NULL (aggregate and filter first).  Work is spread over
+    ``buckets`` tasks, by default one for each ``ROWS_PER_BUCKET`` rows;
+    only ``buckets`` small rows are combined globally.
     """
+    if buckets is None:
+        buckets = max(8, -(-df.count() // ROWS_PER_BUCKET))
     d = df.withColumn("_ord_d", F.col(order).cast("double"))
     qd = QuantileDiscretizer(numBuckets=buckets, inputCol="_ord_d", outputCol="_bucket",
                              relativeError=0.001, handleInvalid="keep")
@@ -37,7 +43,7 @@ def prefix_sum_exclusive(df: DataFrame, order: str, value: str, out: str = "pref
             Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inner = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    return (b.join(F.broadcast(offsets.select("_bucket", "_boff")), "_bucket")
+    return (b.join(offsets.select("_bucket", "_boff"), "_bucket")
             .withColumn(out, F.col("_boff") + F.col("_in"))
             .drop("_bucket", "_boff", "_in", "_ord_d"))
 
@@ -50,16 +56,19 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def auc_rank(df: DataFrame, label: str, score: str, digits: int | None = 10,
-             buckets: int = 64) -> DataFrame:
+             buckets: int | None = None) -> DataFrame:
     """Exact ROC-AUC with ties counted one half; one row (auc, n_pos, n_neg).
 
+    Rows without a score or a label have no rank and count in neither class.
+
     The per-score counts (one row per distinct score) are checkpointed to
     the shared folder: the bucket fit and both prefix-sum branches then read
     that small table, and the fact table is scanned once.
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    g = score_counts(df, label, score).checkpoint(eager=True)
+    ranked = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    g = score_counts(ranked, label, score).checkpoint(eager=True)
     g = prefix_sum_exclusive(g, score, "neg", out="neg_below", buckets=buckets)
     dec = "decimal(38,0)"
     num = F.sum(F.col("pos").cast(dec) * F.col("neg_below").cast(dec) * 2

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,8 @@ def penalty_path(spark: SparkSession, train: DataFrame, names, label: str,
     """
     pens = [float(p) for p in penalties]
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(pens)))) as pool:
-        models = list(pool.map(lambda p: _fit_l1(train, label, features, p, max_iter), pens))
+        fit = inheritable_thread_target(lambda p: _fit_l1(train, label, features, p, max_iter))
+        models = list(pool.map(fit, pens))
     rows = []
     for p, m in zip(pens, models):
         coefs = m.coefficients.toArray()
@@ -98,7 +100,7 @@ def compare_classifiers(train: DataFrame, test: DataFrame, label: str,
         return evaluate_classifier(name, preds, label).collect()[0]
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(classifiers)))) as pool:
-        rows = list(pool.map(run, classifiers))
+        rows = list(pool.map(inheritable_thread_target(run), classifiers))
     schema = T.StructType([
         T.StructField("model", T.StringType()), T.StructField("roc_auc", T.DoubleType()),
         T.StructField("f1", T.DoubleType()), T.StructField("accuracy", T.DoubleType()),

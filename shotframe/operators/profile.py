@@ -92,7 +92,7 @@ def distinct_counts(df: DataFrame, columns, exact: bool = True, rsd: float = 0.0
     """
     def nd(c):
         return F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), rsd)
-    aggs = [(nd(c) + F.max(F.col(c).isNull().cast("int"))).cast("long")
+    aggs = [(nd(c) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))).cast("long")
             .alias(f"n{i}") for i, c in enumerate(columns)]
     parts = ", ".join(f"{_sql_str(c)}, n{i}" for i, c in enumerate(columns))
     return df.agg(*aggs).select(
@@ -117,13 +117,13 @@ def sum_invariant(df: DataFrame, columns, name: str = "share_sum") -> DataFrame:
 
 
 def quantile_summary(df: DataFrame, col: str, probs=(0.25, 0.5, 0.75),
-                     exact: bool = True, accuracy: int = 10000) -> DataFrame:
+                     exact: bool = False, accuracy: int = 10000) -> DataFrame:
     """Q14: min, quantiles, max of ``col``.
 
+    The default is ``percentile_approx`` (bounded memory for any input).
     ``exact=True`` uses ``percentile`` (linear interpolation, like
     ``quantile_cont``); its buffer is a value -> count map, so memory follows
-    the number of distinct values, not rows.  ``exact=False`` uses
-    ``percentile_approx`` (bounded memory for any input).
+    the number of distinct values: for columns with few of them.
     """
     c = F.col(col)
     qs = []

@@ -44,10 +44,10 @@ def bernoulli_sample(df: DataFrame, fraction: float | None, seed: int = 42) -> D
 
 
 def _unit_hash(key_cols, seed: int):
-    # A stable value in [0, 1) from the row key: independent of partitioning,
+    # A stable value in [0, 1] from all 64 bits of the row key's hash: independent of partitioning,
     # file layout and executor count.
     h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
-    return F.pmod(h, F.lit(1_000_000)).cast("double") / 1_000_000.0
+    return h.cast("double") / 2.0**64 + 0.5
 
 
 def key_sample(df: DataFrame, key_cols, fraction: float, seed: int = 42) -> DataFrame:

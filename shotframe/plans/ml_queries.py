@@ -29,7 +29,7 @@ SPLIT_KEYS = ["GAME_ID", "QUARTER", "PLAYER_ID", "SECS_LEFT", "LOC_X"]
 
 def model_run(spark, sf):
     return MO.memo_run(spark, f"model:{sf}",
-                       lambda: MO.prepare(processed(spark, sf), COLS, split_keys=SPLIT_KEYS))
+                       lambda: MO.prepare(processed(spark, sf), COLS, split_keys=SPLIT_KEYS, partitions=4))
 
 
 def archetype_run(spark, sf):
@@ -50,7 +50,7 @@ def q_feature_slots(spark, sf):
     """M1-M5: fit the feature stages on the processed table, name every slot."""
     df = add_action_group(processed(spark, sf), COLS)
     fm = FE.fit_features(df)
-    return FE.slot_table(spark, FE.slot_names(fm.transform(df)))
+    return FE.slot_table(spark, FE.slot_names(fm))
 
 
 @query("standardise")

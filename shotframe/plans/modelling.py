@@ -62,8 +62,11 @@ class ModelRun:
     def run_all(self) -> None:
         """Fit the path and the classifiers concurrently (their jobs overlap)."""
         from concurrent.futures import ThreadPoolExecutor
+
+        from pyspark import inheritable_thread_target
+        own = inheritable_thread_target
         with ThreadPoolExecutor(max_workers=2) as pool:
-            for f in [pool.submit(self.path), pool.submit(self.comparison)]:
+            for f in [pool.submit(own(self.path)), pool.submit(own(self.comparison))]:
                 f.result()
 
     def release(self) -> None:
@@ -71,28 +74,22 @@ class ModelRun:
         self.test.unpersist()
 
 
-def spread(df: DataFrame, minimum: int | None = None, keys=None) -> DataFrame:
-    """Give a to-be-cached ML input a minimum number of partitions.
+def spread(df: DataFrame, partitions: int | None = None, keys=None) -> DataFrame:
+    """The model input in a given number of partitions, by ``keys`` if there are any; as it is by default.
 
-    Every optimiser step scans the cached rows; an input with very few
-    partitions (one large file, one row group) would run each step on a
-    few cores.  The default target is half the cluster's cores: the path's
-    fits run concurrently and share the cores, and more partitions per fit
-    only add per-iteration scheduling (measured: 4 partitions beat 3 and 8
-    on 8 cores).  Inputs that are already wider are left alone, so at scale
-    this adds no shuffle.  With ``keys`` the rows are hash-partitioned by
-    them (deterministic without the sort a round-robin repartition needs to
-    stay deterministic under task retries).
+    Every optimiser step scans the cached rows, so an input of one large file
+    would run each step on one core: the caller, who knows the input and the
+    cluster, names a number.  With keys the rows are hash-partitioned by them
+    (deterministic without the sort that a round-robin repartition needs).
     """
-    target = minimum or max(2, df.sparkSession.sparkContext.defaultParallelism // 2)
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, *keys) if keys else df.repartition(target)
-    return df
+    if partitions is None:
+        return df
+    return df.repartition(partitions, *keys) if keys else df.repartition(partitions)
 
 
 def prepare(shots: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS, split_keys=None,
             weights=(0.8, 0.2), seed: int = SEED, numeric=NUMERIC_FEATURES,
-            categorical=CATEGORICAL_FEATURES, min_partitions: int | None = None,
+            categorical=CATEGORICAL_FEATURES, partitions: int | None = None,
             reliable: bool = True) -> ModelRun:
     """Split, fit feature stages on train, cache (features, label) for both parts.
 
@@ -110,7 +107,7 @@ def prepare(shots: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS, split_keys=No
     keys = list(split_keys or [])
     raw_cats = [c for c in categorical if c != cols.action_group]
     need = list(dict.fromkeys(list(numeric) + raw_cats + [cols.action, cols.made_int] + keys))
-    base = spread(add_action_group(shots.select(*need), cols), min_partitions, keys or None) \
+    base = spread(add_action_group(shots.select(*need), cols), partitions, keys or None) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     if split_keys:
         train, test = key_split(base, split_keys, weights, seed)
@@ -119,7 +116,7 @@ def prepare(shots: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS, split_keys=No
     fm = FE.fit_features(train, numeric, categorical)
     tr = fm.transform(train).select("features", cols.made_int)
     te = fm.transform(test).select("features", cols.made_int)
-    names = FE.slot_names(tr)
+    names = FE.slot_names(fm)
     if reliable:
         ensure_checkpoint_dir(shots.sparkSession)
         tr, te = tr.checkpoint(eager=True), te.checkpoint(eager=True)

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import derive_shots
 from ..operators import aggregate as A
-from ..operators.profile import filter_accounting
 from ..schema import BACKCOURT, DEFAULT_COLUMNS, ShotColumns
 from ..sources import files as IO
 
@@ -33,12 +32,15 @@ class ProcessingResult:
     n_written: int
     zone_table: DataFrame
     season_table: DataFrame
-    per_season: DataFrame       # S7: written vs expected rows per season
+    per_season: DataFrame       # S7: n_written, n_expected, matches per season
+    n_malformed: int            # raw lines with a value that did not parse
+    n_mismatched: int           # seasons whose written rows differ from the expected ones
 
     @property
     def consistent(self) -> bool:
         # rows kept by ``zone != Backcourt`` (NULL zones drop out, as in SQL)
-        return self.n_written == self.n_raw - self.n_removed - self.n_null_zone
+        return (self.n_written == self.n_raw - self.n_removed - self.n_null_zone
+                and not self.n_malformed and not self.n_mismatched)
 
 
 def run_processing(raw: DataFrame, table_path: str, cols: ShotColumns = DEFAULT_COLUMNS,
@@ -57,9 +59,17 @@ def run_processing(raw: DataFrame, table_path: str, cols: ShotColumns = DEFAULT_
     # the raw columns only, and the derivations run in the post-shuffle
     # write tasks, which AQE sizes to the advisory partition size.
     src = raw.hint("rebalance", cols.season) if rebalance else raw
-    kept = derive_shots(src, cols).filter(F.col(cols.zone) != BACKCOURT)
+    kept = derive_shots(src.drop(IO.MALFORMED), cols).filter(F.col(cols.zone) != BACKCOURT)
     IO.write_partitioned(kept, table_path, cols.season, rebalance=False)
-    m = filter_accounting(raw.select(cols.zone), cols.zone, BACKCOURT).first()
+    # one row per season, pre-aggregated in the scan
+    zone = F.col(cols.zone)
+    broken = F.col(IO.MALFORMED).isNotNull() if IO.MALFORMED in raw.columns else F.lit(False)
+    seasons = raw.groupBy(cols.season).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(zone == BACKCOURT).alias("n_removed"),
+        F.count_if(zone != BACKCOURT).alias("n_expected"), F.count_if(zone.isNull()).alias("n_null"),
+        F.count_if(broken).alias("n_malformed")).cache()
+    m = seasons.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                      for c in ("n_rows", "n_removed", "n_null", "n_malformed")]).first()
 
     written = IO.read_table(spark, table_path)
     cells = A.zone_period_cells(written, cols.zone, cols.season, "IS_3PT", "SHOT_MADE_INT",
@@ -67,11 +77,18 @@ def run_processing(raw: DataFrame, table_path: str, cols: ShotColumns = DEFAULT_
     zone_t = A.efficiency_from_cells(cells, cols.zone)
     season_t = A.rate_from_cells(cells, cols.season)
     # S7 from the same cells: rows per season as read back from the table
-    per_season = cells.groupBy(cols.season).agg(F.sum("attempts").cast("long").alias("n_written")) \
-        .orderBy(cols.season)
+    got = cells.groupBy(F.col(cols.season).alias("_s")).agg(F.sum("attempts").cast("long").alias("n_written"))
+    want = seasons.filter("n_expected > 0").select(cols.season, "n_expected")
+    per_season = (want.join(got, F.col(cols.season).eqNullSafe(F.col("_s")), "full")
+                  .select(F.coalesce(cols.season, "_s").alias(cols.season),
+                          F.coalesce("n_written", F.lit(0)).alias("n_written"),
+                          F.coalesce("n_expected", F.lit(0)).alias("n_expected"))
+                  .withColumn("matches", F.col("n_written") == F.col("n_expected")).orderBy(cols.season))
+    n_mismatched = per_season.filter("NOT matches").count()
     n_written = cells.agg(F.sum("attempts")).first()[0] or 0
     if tables_path:
         IO.write_small_csv(zone_t, f"{tables_path}/fg_pct_by_zone")
         IO.write_small_csv(season_t, f"{tables_path}/three_pt_rate_by_season")
     return ProcessingResult(table_path, int(m["n_rows"]), int(m["n_removed"]),
-                            int(m["n_null"]), int(n_written), zone_t, season_t, per_season)
+                            int(m["n_null"]), int(n_written), zone_t, season_t, per_season,
+                            int(m["n_malformed"]), n_mismatched)

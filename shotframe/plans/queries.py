@@ -167,7 +167,7 @@ def q_share_invariant(spark, sf):
 
 @query("profile_quantiles")
 def q_profile_quantiles(spark, sf):
-    return Q.quantile_summary(fingerprint(spark, sf), "total_attempts")
+    return Q.quantile_summary(fingerprint(spark, sf), "total_attempts", exact=True)
 
 
 @query("residual_check")
@@ -373,7 +373,7 @@ def q_events_nulls(spark, sf):
 @query("lineitem_quantiles")
 def q_lineitem_quantiles(spark, sf):
     """Q14 on another fact table: exact quantiles of l_quantity."""
-    return Q.quantile_summary(read_table(spark, sf, "lineitem"), "l_quantity")
+    return Q.quantile_summary(read_table(spark, sf, "lineitem"), "l_quantity", exact=True)
 
 
 @query("events_daily_trend")

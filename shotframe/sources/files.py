@@ -5,8 +5,8 @@
   ``rebalance`` on the partition key: one shuffle that bounds the number of
   files per partition directory, while AQE splits a large season into
   advisory-size files instead of one huge task.
-* Result tables are written as one header CSV only when their row count is
-  under a bound: ``coalesce(1)`` on a fact table would force one task.
+* Result tables whose shape bounds them (zones, seasons, features, clusters) are written as one
+  header CSV; for other tables the caller asks for a distributed write.
 """
 
 from __future__ import annotations
@@ -17,20 +17,38 @@ from pyspark.sql import types as T
 
 from ..schema import RAW_SHOT_SCHEMA
 
-SMALL_TABLE_MAX_ROWS = 100_000
+#: Column that holds a line which did not parse by the schema.
+MALFORMED = "_malformed"
+
+
+def csv_options(reader, header: bool = True):
+    """Options that batch and streaming readers of raw CSV share: columns bind to the header by name check."""
+    return reader.option("header", header).option("mode", "PERMISSIVE").option("enforceSchema", False)
+
+
+def header_schema(spark: SparkSession, path_or_glob: str, schema: T.StructType = RAW_SHOT_SCHEMA) -> T.StructType:
+    """The columns that the files' header names, with the types of ``schema``; columns it lacks are strings."""
+    known = {f.name: f for f in schema.fields}
+    names = spark.read.option("header", True).csv(path_or_glob).columns
+    return T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])
 
 
 def read_raw_csv(spark: SparkSession, path_or_glob: str, schema: T.StructType = RAW_SHOT_SCHEMA,
-                 infer: bool = False, header: bool = True) -> DataFrame:
+                 infer: bool = False, header: bool = True, keep_malformed: bool = False) -> DataFrame:
     """Header CSV files behind a glob, with an explicit schema.
 
     ``infer=True`` is an opt-in profile only: inference costs a full extra
-    pass and is not stable per file.
+    pass and is not stable per file.  ``keep_malformed=True`` adds the column
+    ``_malformed`` with the text of every line that has a value which does
+    not parse; all columns are then parsed, whatever a query reads.
     """
-    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    reader = csv_options(spark.read, header)
     if infer:
         return reader.option("inferSchema", True).csv(path_or_glob)
-    return reader.schema(schema).option("enforceSchema", False).csv(path_or_glob)
+    if keep_malformed:
+        schema = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+    return reader.schema(schema).csv(path_or_glob)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -49,14 +67,14 @@ def write_partitioned(df: DataFrame, path: str, key: str = "SEASON_1", mode: str
     out.write.mode(mode).partitionBy(key).parquet(path)
 
 
-def write_small_csv(df: DataFrame, path: str, max_rows: int = SMALL_TABLE_MAX_ROWS,
-                    mode: str = "overwrite") -> int:
-    """One header CSV for a bounded result table; refuses large inputs."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows > {max_rows}: write large tables with write_partitioned")
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
-    return n
+def write_small_csv(df: DataFrame, path: str, one_file: bool = True, mode: str = "overwrite") -> None:
+    """A result table as header CSV, in one pass.
+
+    ``one_file`` is for tables bounded by their shape; a table that grows
+    with the data is written with ``one_file=False``, by all tasks.
+    """
+    out = df.coalesce(1) if one_file else df
+    out.write.mode(mode).option("header", True).csv(path)
 
 
 def rows_to_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:

@@ -17,12 +17,13 @@ from pyspark.sql import types as T
 from ..functions.derive import derive_shots
 from ..operators.select import exclude_value
 from ..schema import BACKCOURT, DEFAULT_COLUMNS, RAW_SHOT_SCHEMA, ShotColumns
+from ..sources.files import csv_options
 
 
 def processed_stream(spark: SparkSession, source_dir: str, schema: T.StructType = RAW_SHOT_SCHEMA,
                      cols: ShotColumns = DEFAULT_COLUMNS, max_files: int = 64) -> DataFrame:
     """Streaming DataFrame of processed rows from CSV files in ``source_dir``."""
-    raw = (spark.readStream.schema(schema).option("header", True)
+    raw = (csv_options(spark.readStream).schema(schema)
            .option("maxFilesPerTrigger", max_files).csv(source_dir))
     return exclude_value(derive_shots(raw, cols), cols.zone, BACKCOURT)
 

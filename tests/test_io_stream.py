@@ -22,9 +22,13 @@ def test_explicit_schema_keeps_season_text(spark):
     assert df.schema == RAW_SHOT_SCHEMA
 
 
-def test_small_csv_refuses_large(spark):
-    with pytest.raises(ValueError):
-        IO.write_small_csv(spark.range(20), scratch_path(spark, "big"), max_rows=10)
+def test_csv_of_any_size_in_one_file_or_many(spark):
+    import glob
+    for one in (True, False):
+        path = scratch_path(spark, "table")
+        IO.write_small_csv(spark.range(150_000, numPartitions=3), path, one_file=one)
+        assert len(glob.glob(f"{path}/part-*")) == (1 if one else 3)
+        assert spark.read.option("header", True).csv(path).count() == 150_000
 
 
 def test_roundtrip_counts_match(spark):

@@ -29,7 +29,7 @@ def test_unseen_and_null_categories_are_all_zero(spark):
         shot(GAME_ID=9, LOC_X=None)])))
     fm = FE.fit_features(train)
     out = fm.transform(test)
-    names = FE.slot_names(out)
+    names = FE.slot_names(fm)
     zone_slots = [i for i, n in enumerate(names) if n.startswith("BASIC_ZONE_ohe_")]
     assert [names[i] for i in zone_slots] == ["BASIC_ZONE_ohe_Mid-Range",
                                               "BASIC_ZONE_ohe_Restricted Area"]
