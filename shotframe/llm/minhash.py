@@ -10,6 +10,8 @@
    out; the rest are confirmed on full shingle sets.
 4. Pairs of a bucket that the stars left in different components are then
    tried as well, so that no link between different texts is lost to the star.
+   Their sets are compared inside the join, which puts out near-links alone:
+   a group of copies that are close to, but under, the threshold makes no pairs.
 5. Links give connected components; the smallest document id stays.
 
 A pair at the threshold (0.85) shares no band with probability
@@ -147,6 +149,12 @@ def _close(left: str, right: str) -> Column:
             & (estimated_similarity(F.col(f"{left}.signature"), F.col(f"{right}.signature")) >= ESTIMATE_CUT))
 
 
+def _nearly_linked(left: str, right: str) -> Column:
+    """Whether sets of shortened hashes are linked, with some slack for hashes that fall together in one set."""
+    common = F.size(F.array_intersect(F.col(f"{left}.narrow"), F.col(f"{right}.narrow"))) + 2
+    return 100 * common >= PERCENT * (F.col(f"{left}.n_shingles") + F.col(f"{right}.n_shingles") - common)
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Of pairs (a, b) those whose full shingle sets are linked."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias(id_col)).distinct()
@@ -195,15 +203,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
                                  F.count(F.lit(1)).alias("parts"))
              .where("parts > 1").select("key", "largest"))
-    open_ = marked.join(split, "key").join(facts, "node")
+    open_ = cut(marked.join(split, "key"))
+    few = open_.select(F.col("node").alias(id_col)).distinct()
+    texts = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col).join(few, id_col, "left_semi")
+    # half of each hash is enough here: what passes is confirmed on full sets
+    narrow = stored(shingle_sets(texts, id_col, text_col).select(
+        "node", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("narrow")), "minhash-narrow")
+    open_ = open_.join(facts, "node").join(narrow, "node")
     rest = open_.where("component <> largest").alias("s")
     more = (rest.join(open_.alias("m"), F.col("s.key") == F.col("m.key"))
             .where((F.col("s.component") != F.col("m.component"))
                    & (F.col("s.node") != F.col("s.head")) & (F.col("m.node") != F.col("m.head"))
                    & ((F.col("m.component") == F.col("m.largest")) | (F.col("s.node") < F.col("m.node")))
-                   & _close("s", "m"))
+                   & _close("s", "m") & _nearly_linked("s", "m"))
             .select(F.least("s.node", "m.node").alias("a"), F.greatest("s.node", "m.node").alias("b")).distinct())
     more = cut(more)
+    drop_stored(narrow)
     if not more.isEmpty():
         links = cut(links.unionByName(_confirmed(more, docs, id_col, text_col)).distinct())
         first = components(links)
