@@ -149,7 +149,7 @@ def write_warc(rows: DataFrame, path: str, id_col: str, url_col: str, payload_co
 
     (plan.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
      .write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+     .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records_per_file).text(path))
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -166,8 +166,8 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 4 + size + 4
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archives under a folder, one row each."""
+def read_records(spark: SparkSession, path: str, blocks: bool = True) -> DataFrame:
+    """All records of the archives under a folder, one row each; ``blocks=False`` leaves the blocks null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = lambda fields, key: int(fields[key]) if key in fields else None
@@ -180,7 +180,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     values = (f["warc-record-id"], f["warc-type"], f.get("warc-target-uri"), number(f, "row-id"),
                               number(f, "payload-length"), f.get("warc-payload-digest", "").removeprefix("sha1:"),
                               number(f, "warc-segment-number"), f.get("warc-segment-origin-id"),
-                              number(f, "warc-segment-total-length"), block)
+                              number(f, "warc-segment-total-length"), block if blocks else None)
                     for col, value in zip(cols, values):
                         col.append(value)
                 types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(),
@@ -224,8 +224,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     payload_digest, refers_to, error``.  A response whose segments are not all
     there, whose total length, framing or digest is wrong has a null payload
     and says so in ``error``.  A revisit's payload is null; its length and
-    ``refers_to`` are those of the response with its digest, and without such a
-    response ``error`` says so.
+    ``refers_to`` are those of the response record with its digest, and without
+    such a response ``error`` says so.
     """
     records = read_records(spark, path)
     pieces = records.where("warc_type IN ('response', 'continuation')").withColumn(
@@ -243,11 +243,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     responses = single.unionByName(joined).mapInArrow(
         _decode, "record_id string, record_type string, target_uri string, row_id bigint, payload binary, "
                  "payload_bytes bigint, payload_digest string, error string")
-    known = (responses.where("payload IS NOT NULL").groupBy("payload_digest")
-             .agg(F.min("row_id").alias("refers_to"), F.max("payload_bytes").alias("found_bytes")))
-    revisits = (records.where("warc_type = 'revisit'").select(
-        *facts, F.col("digest").alias("payload_digest"), F.col("payload_length").alias("said_bytes"))
-        .join(known, "payload_digest", "left"))
+    heads = read_records(spark, path, blocks=False)
+    known = (heads.where("warc_type = 'response'").groupBy("digest")
+             .agg(F.min("row_id").alias("refers_to"), F.max("payload_length").alias("found_bytes")))
+    revisits = (heads.where("warc_type = 'revisit'").select(
+        *facts, "digest", F.col("payload_length").alias("said_bytes")).join(known, "digest", "left")
+        .withColumnRenamed("digest", "payload_digest"))
     return responses.withColumn("refers_to", F.lit(None).cast("bigint")).unionByName(revisits.select(
         "record_id", F.col("warc_type").alias("record_type"), "target_uri", "row_id",
         F.lit(None).cast("binary").alias("payload"), F.coalesce("found_bytes", "said_bytes").alias("payload_bytes"),
