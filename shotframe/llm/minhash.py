@@ -8,10 +8,12 @@
    member (a star, not all pairs).  Pairs whose similarity, estimated from
    bit counts and corrected for chance collisions, is far too low are left
    out; the rest are confirmed on full shingle sets.
-4. Pairs of a bucket that the stars left in different components are then
-   tried as well, so that no link between different texts is lost to the star.
-   Their sets are compared inside the join, which puts out near-links alone:
-   a group of copies that are close to, but under, the threshold makes no pairs.
+4. Documents of buckets whose members, the smallest aside, the stars left in
+   several components are compared once more, so that no link between different texts is lost to the
+   star: by an exact prefix filter, in which linked sets share one of their
+   rarest shingles, then by place, size and bit counts.  Copies of a group
+   that lie close to, but under, the threshold differ in their rarest
+   shingles and never meet.
 5. Links give connected components; the smallest document id stays.
 
 A pair at the threshold (0.85) shares no band with probability
@@ -149,17 +151,51 @@ def _close(left: str, right: str) -> Column:
             & (estimated_similarity(F.col(f"{left}.signature"), F.col(f"{right}.signature")) >= ESTIMATE_CUT))
 
 
-def _nearly_linked(left: str, right: str) -> Column:
-    """Whether sets of shortened hashes are linked, with some slack for hashes that fall together in one set."""
-    common = F.size(F.array_intersect(F.col(f"{left}.narrow"), F.col(f"{right}.narrow"))) + 2
+def _reachable(left: str, right: str) -> Column:
+    """Whether sets that agree in no key before this one can still be linked."""
+    common = F.least(F.col(f"{left}.n_shingles") - F.col(f"{left}.place"), F.col(f"{right}.n_shingles") - F.col(f"{right}.place"))
     return 100 * common >= PERCENT * (F.col(f"{left}.n_shingles") + F.col(f"{right}.n_shingles") - common)
 
 
+def prefix_keys(sets: DataFrame) -> DataFrame:
+    """(node, n, place, key): the rarest shingles of each set, enough that linked sets share one.
+
+    A linked set agrees in at least PERCENT of ``n`` shingles, so two linked
+    sets share one of their ``n - ceil(PERCENT / 100 * n) + 1`` rarest ones.
+    ``place`` counts from 0 in the order of rarity; shingles of one set alone
+    come first and are left out.
+    """
+    grams = sets.select("node", F.xxhash64("shingles").alias("set"), F.size("shingles").cast("bigint").alias("n"),
+                        F.explode("shingles").alias("key"))
+    often = grams.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    ranked = (grams.join(often, "key").groupBy("node", "set", "n")
+              .agg(F.sort_array(F.collect_set(F.struct("held", "key"))).alias("ranked"))
+              .withColumn("alone", F.col("n") - F.size("ranked"))
+              .withColumn("length", F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1 - alone")))
+    return (ranked.where("length > 0")
+            .select("node", "n", "alone", F.posexplode(F.slice("ranked", F.lit(1), F.col("length").cast("int"))))
+            .select("node", "n", (F.col("alone") + F.col("pos")).alias("place"), F.col("col.key").alias("key")))
+
+
+def _divided(members: DataFrame) -> DataFrame:
+    """Members (key, node, component, ...) of keys that more than one component holds, and the key's largest component."""
+    split = (members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
+                                 F.count(F.lit(1)).alias("parts"))
+             .where("parts > 1").select("key", "largest"))
+    return members.join(split, "key")
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Full shingle sets of the documents in ``nodes`` (node), written to the shared folder."""
+    texts = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col).join(
+        nodes.select(F.col("node").alias(id_col)).distinct(), id_col, "left_semi")
+    return stored(shingle_sets(texts, id_col, text_col), "minhash-sets")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Of pairs (a, b) those whose full shingle sets are linked."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias(id_col)).distinct()
-    texts = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col).join(wanted, id_col, "left_semi")
-    sets = stored(shingle_sets(texts, id_col, text_col), "minhash-sets")
+    sets = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")), id_col, text_col)
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
@@ -199,26 +235,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = components(links)
     marked = cut(members.join(first, "node", "left")
                  .select("key", "node", "head", F.coalesce("component", "node").alias("component")))
-    split = (marked.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
-                                 F.count(F.lit(1)).alias("parts"))
-             .where("parts > 1").select("key", "largest"))
-    open_ = cut(marked.join(split, "key"))
-    few = open_.select(F.col("node").alias(id_col)).distinct()
-    texts = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col).join(few, id_col, "left_semi")
-    # half of each hash is enough here: what passes is confirmed on full sets
-    narrow = stored(shingle_sets(texts, id_col, text_col).select(
-        "node", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("narrow")), "minhash-narrow")
-    open_ = open_.join(facts, "node").join(narrow, "node")
+    # a bucket's head has met all of its bucket already
+    few = cut(_divided(marked.where("head <> node")).select("node", "component").distinct())
+    sets = _sets_of(docs, few, id_col, text_col)
+    keys = cut(prefix_keys(sets).join(few, "node"))
+    drop_stored(sets)
+    open_ = cut(_divided(keys)).join(facts.withColumnRenamed("n_shingles", "n"), ["node", "n"])
+    open_ = open_.withColumnRenamed("n", "n_shingles")
     rest = open_.where("component <> largest").alias("s")
     more = (rest.join(open_.alias("m"), F.col("s.key") == F.col("m.key"))
             .where((F.col("s.component") != F.col("m.component"))
-                   & (F.col("s.node") != F.col("s.head")) & (F.col("m.node") != F.col("m.head"))
                    & ((F.col("m.component") == F.col("m.largest")) | (F.col("s.node") < F.col("m.node")))
-                   & _close("s", "m") & _nearly_linked("s", "m"))
+                   & _reachable("s", "m") & _close("s", "m"))
             .select(F.least("s.node", "m.node").alias("a"), F.greatest("s.node", "m.node").alias("b")).distinct())
     more = cut(more)
-    drop_stored(narrow)
     if not more.isEmpty():
         links = cut(links.unionByName(_confirmed(more, docs, id_col, text_col)).distinct())
         first = components(links)
