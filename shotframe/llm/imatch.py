@@ -18,8 +18,9 @@ from .shared import drop_stored, stored
 
 #: Band of a term's share of documents.
 LOW, HIGH = 0.005, 0.3
-#: Random subsets of the lexicon, disjoint: a term's hash deals it to one of ``THIN`` lots, of which
-#: the first ``SUBSETS`` are used.  Few terms a subset let likeness fall by degrees.
+#: Random subsets of the lexicon, disjoint: a term's hash deals it to one of ``thin`` lots, of which the first
+#: ``SUBSETS`` are used.  ``fingerprints`` deals the whole band to ``SUBSETS`` lots; with more lots, ``THIN`` where
+#: nothing is said, a caller gets a smaller lexicon.
 SUBSETS, THIN = 24, 64
 #: Cells of the lookup table by the low bits of a term's hash.
 CELLS = 4096
@@ -58,6 +59,7 @@ def with_fingerprint(rows: DataFrame, text_col: str, words: list[int], out: str
                      subsets: int = SUBSETS, thin: int = THIN) -> DataFrame:
     """``rows`` with the hashes of the sorted lexicon terms in each random subset, as hexadecimal text.
 
+    Subset k holds the terms of ``words`` in lot k of ``thin``, the number that ``lexicon`` was given.
     A subset without any of the text's terms takes the hash of all its terms instead, so that
     different texts outside the lexicon stay apart.
     """
@@ -70,7 +72,7 @@ def with_fingerprint(rows: DataFrame, text_col: str, words: list[int], out: str
         "_every": F.xxhash64(F.array_sort("_terms"), F.lit(-1))})
     numbers, none = F.sequence(F.lit(0), F.lit(subsets - 1)), F.xxhash64(F.array().cast("array<bigint>"))
     hashes = F.transform(numbers, lambda k: F.xxhash64(
-        F.filter("_known", lambda t: F.pmod(F.xxhash64(t, k), F.lit(thin)) == 0)))
+        F.filter("_known", lambda t: lot_of(t, thin) == k)))
     step = step.withColumn("_parts", F.when(F.size("_known") == 0, F.transform(numbers, lambda k: none)).otherwise(hashes))
     text = lambda value, k: F.lpad(F.hex(F.shiftrightunsigned(F.xxhash64(value, k), 32)), 8, "0")
     own = F.transform("_parts", lambda v, k: text(F.when(v == none, F.col("_every")).otherwise(v), k))
@@ -91,8 +93,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """All columns of ``docs`` and ``fingerprint``.
 
     Null texts count as empty; equal texts have equal fingerprints.  Terms outside the band do not
-    count unless a subset has no other.  An empty table gives an empty
+    count unless a subset has no other; every term of the band is in one subset.  An empty table gives an empty
     result.  A column of ``docs`` named ``fingerprint`` is replaced.
     """
-    words = lexicon(docs.select(terms_of(F.col(text_col)).alias("terms")))
-    return with_fingerprint(docs, text_col, words)
+    words = lexicon(docs.select(terms_of(F.col(text_col)).alias("terms")), thin=SUBSETS)
+    return with_fingerprint(docs, text_col, words, thin=SUBSETS)

@@ -86,13 +86,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     docs = load(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    words = imatch.lexicon(docs.select(imatch.terms_of(F.col("text")).alias("terms")))
-    own = imatch.with_fingerprint(docs, "text", words)
+    lots = imatch.SUBSETS
+    words = imatch.lexicon(docs.select(imatch.terms_of(F.col("text")).alias("terms")), thin=lots)
+    own = imatch.with_fingerprint(docs, "text", words, thin=lots)
     pairs = neighbours.with_next(own, "doc_id", "text", "following")
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("following.text"), F.lit(1), half))
-    prints = imatch.with_fingerprint(pairs.withColumn("edited", edited), "edited", words, "edited_fingerprint")
+    prints = imatch.with_fingerprint(pairs.withColumn("edited", edited), "edited", words, "edited_fingerprint", thin=lots)
     prints = prints.select("doc_id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
                            "fingerprint", "edited_fingerprint", F.col("following.fingerprint").alias("next_fingerprint"))
     return prints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",

@@ -1,6 +1,6 @@
 import hashlib
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import xxhash
 from common import SMALL, edge_docs, edge_frame, empty_frame, table
@@ -71,6 +71,27 @@ def test_next_row_across_ranges(spark, monkeypatch):
     assert neighbours.with_next(df.where("false"), "doc_id", "text", "nx").collect() == []
 
 
+def test_every_subset_is_its_share_of_the_band(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    terms = docs.select(imatch.terms_of(F.col("text")).alias("terms"))
+    band = imatch.lexicon(terms, thin=1, subsets=1)
+    lots = defaultdict(list)
+    for r in spark.createDataFrame([(t,) for t in band], "t bigint").select("t", imatch.lot_of(F.col("t"), imatch.SUBSETS).alias("k")).collect():
+        lots[r.k].append(r.t)
+    assert set(lots) == set(range(imatch.SUBSETS)) and sum(map(len, lots.values())) == len(band)
+    # leaving out one lot's terms changes that subset's hash and no other, in every document that has such terms
+    parts = lambda x: [x[8 * i: 8 * i + 8] for i in range(imatch.SUBSETS)]
+    whole = {r.doc_id: parts(r.fingerprint) for r in imatch.fingerprints(docs).collect()}
+    has = {r.doc_id: set(r.terms) for r in docs.withColumn("terms", imatch.terms_of(F.col("text"))).collect()}
+    for k in (0, 7, 23):
+        rest = [t for t in band if t not in set(lots[k])]
+        for r in imatch.with_fingerprint(docs, "text", rest, thin=imatch.SUBSETS).collect():
+            known = has[r.doc_id] & set(band)
+            if known - set(lots[k]):
+                changed = {i for i, (a, b) in enumerate(zip(whole[r.doc_id], parts(r.fingerprint))) if a != b}
+                assert changed == ({k} if known & set(lots[k]) else set())
+
+
 def test_native_plan(spark):
     plan = op10_imatch(spark, SMALL)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Cartesian|NestedLoop", plan)
