@@ -14,6 +14,8 @@ from shotframe.llm.shared import load, stored
 #: A document whose best language has less than this probability is rejected.
 MIN_LANGUAGE_SCORE = 0.3
 SHARDS = 8
+#: Documents of at least this similarity are near-duplicates; test_stages holds the stage to op1's 85.
+NEAR_PERCENT = 85
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +26,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         *docs.columns)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = NEAR_PERCENT) -> DataFrame:
     """One document of each near-duplicate group."""
-    return minhash.deduplicated(docs)
+    return minhash.deduplicated(docs, percent=percent)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

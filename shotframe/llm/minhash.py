@@ -1,8 +1,8 @@
 """Near-duplicate documents by b-bit MinHash.
 
 1. One Arrow pass over the texts gives each document its exact digest, the
-   size of its set of five-word shingles, ``BANDS`` band keys (each a hash of
-   ``ROWS`` full minima) and the packed low ``BITS`` bits of all minima.
+   size of its set of five-word shingles, band keys (each a hash of
+   ``band_rows`` full minima) and the packed low ``BITS`` bits of all minima.
 2. Exact copies collapse to the smallest document id of their digest.
 3. Within each band bucket every member is paired with the bucket's smallest
    member (a star, not all pairs).  Pairs whose similarity, estimated from
@@ -16,9 +16,10 @@
    shingles and never meet.
 5. Links give connected components; the smallest document id stays.
 
-A pair at the threshold (0.85) shares no band with probability
-(1 - 0.85**6)**32 < 3e-7; the estimate's cut lies over five standard
-deviations under the threshold.
+Size of the bands, the estimate's cut and the prefixes follow the threshold:
+a pair at it shares no band with probability (1 - 0.85**6)**32 < 3e-7 at 0.85
+and (1 - 0.8**5)**38 < 3e-7 at 0.8; the cut lies over five standard deviations
+under the threshold.
 """
 
 from __future__ import annotations
@@ -36,28 +37,41 @@ from .shared import cut, drop_stored, slices, stored
 from .words import SPACES, mix, shingle_hashes, word_hashes
 
 SHINGLE_WORDS = 5
-BANDS = 32
-ROWS = 6
-HASHES = BANDS * ROWS
+HASHES = 192
 #: Low bits of each minimum that the signature keeps.
 BITS = 2
 PER_WORD = 64 // BITS
 PACKED = HASHES // PER_WORD
-#: Links have 100 * intersection >= PERCENT * union.
+#: Links have 100 * intersection >= percent * union; the percent where nothing is said.
 PERCENT = 85
-#: Pairs whose estimated similarity is under this are not confirmed.
-ESTIMATE_CUT = 0.67
+#: Largest probability that a pair at the threshold shares no band.
+MISSED = 3e-7
+#: Standard deviations of the estimate from the threshold down to its cut.
+DEVIATIONS = 6.0
 
 _RNG = np.random.default_rng(99173)
 _MULTIPLIERS = (_RNG.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _ADDENDS = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)[:, None]
-_BAND_WEIGHTS = _RNG.integers(1, 2**63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND_SEEDS = _RNG.integers(1, 2**63, BANDS, dtype=np.uint64)
+_BAND_WEIGHTS = _RNG.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND_SEEDS = _RNG.integers(1, 2**63, HASHES, dtype=np.uint64)
 _SHIFTS = (np.arange(PER_WORD, dtype=np.uint64) * np.uint64(BITS))[None, :]
 
 SIGNED_SCHEMA = "doc_id bigint, digest binary, n_shingles bigint, signature array<bigint>, bands array<bigint>"
 
 
+def band_rows(percent: int) -> int:
+    """The most minima in a band with which a pair at the threshold is missed with a probability under ``MISSED``."""
+    fit = [r for r in range(1, HASHES + 1) if (1 - (percent / 100) ** r) ** (HASHES // r) < MISSED]
+    return max(fit, default=1)
+
+
+def estimate_cut(percent: int) -> float:
+    """Pairs whose estimated similarity is under this are not confirmed."""
+    chance = 2.0**-BITS
+    agree = percent / 100 * (1 - chance) + chance
+    return percent / 100 - DEVIATIONS * (agree * (1 - agree) / HASHES) ** 0.5 / (1 - chance)
+
+
 def minima(shingles: np.ndarray, block: int = 2048) -> np.ndarray:
     """The ``HASHES`` minima of a non-empty set of 64-bit shingle hashes."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -69,9 +83,11 @@ def minima(shingles: np.ndarray, block: int = 2048) -> np.ndarray:
     return out
 
 
-def band_keys(m: np.ndarray) -> np.ndarray:
-    rows = m.reshape(BANDS, ROWS).astype(np.uint64)
-    return mix((rows * _BAND_WEIGHTS[None, :]).sum(axis=1, dtype=np.uint64) + _BAND_SEEDS).view(np.int64)
+def band_keys(m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    size = band_rows(percent)
+    bands = HASHES // size
+    rows = m[: bands * size].reshape(bands, size).astype(np.uint64)
+    return mix((rows * _BAND_WEIGHTS[None, :size]).sum(axis=1, dtype=np.uint64) + _BAND_SEEDS[:bands]).view(np.int64)
 
 
 def pack(m: np.ndarray) -> np.ndarray:
@@ -86,7 +102,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int64, copy=False)))
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     none = np.zeros(0, np.int64)
     for batch in batches:
         for at, buf, offsets in slices(batch.column(1)):
@@ -96,7 +112,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes.append(len(s))
                 m = minima(s) if len(s) else None
                 sigs.append(none if m is None else pack(m))
-                keys.append(none if m is None else band_keys(m))
+                keys.append(none if m is None else band_keys(m, percent))
             raw = buf.tobytes()
             ends = offsets.tolist()
             digests = [hashlib.md5(b" ".join(raw[a:b].lower().split())).digest()
@@ -116,10 +132,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column(0).slice(at, len(parts)), _lists(parts)], ["node", "shingles"])
 
 
-def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """Digest, set size, packed signature and band keys of every whole text."""
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(_sign, SIGNED_SCHEMA))
+            .mapInArrow(lambda batches: _sign(batches, percent), SIGNED_SCHEMA))
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,24 +160,24 @@ def estimated_similarity(left: Column, right: Column) -> Column:
     return (agree - chance) / (1 - chance)
 
 
-def _close(left: str, right: str) -> Column:
+def _close(left: str, right: str, percent: int) -> Column:
     """Whether sizes and signatures leave it open that two sets are linked."""
     n, m = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
-    return ((100 * F.least(n, m) >= PERCENT * F.greatest(n, m))
-            & (estimated_similarity(F.col(f"{left}.signature"), F.col(f"{right}.signature")) >= ESTIMATE_CUT))
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & (estimated_similarity(F.col(f"{left}.signature"), F.col(f"{right}.signature")) >= estimate_cut(percent)))
 
 
-def _reachable(left: str, right: str) -> Column:
+def _reachable(left: str, right: str, percent: int) -> Column:
     """Whether sets that agree in no key before this one can still be linked."""
     common = F.least(F.col(f"{left}.n_shingles") - F.col(f"{left}.place"), F.col(f"{right}.n_shingles") - F.col(f"{right}.place"))
-    return 100 * common >= PERCENT * (F.col(f"{left}.n_shingles") + F.col(f"{right}.n_shingles") - common)
+    return 100 * common >= percent * (F.col(f"{left}.n_shingles") + F.col(f"{right}.n_shingles") - common)
 
 
-def prefix_keys(sets: DataFrame) -> DataFrame:
+def prefix_keys(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, n, place, key): the rarest shingles of each set, enough that linked sets share one.
 
-    A linked set agrees in at least PERCENT of ``n`` shingles, so two linked
-    sets share one of their ``n - ceil(PERCENT / 100 * n) + 1`` rarest ones.
+    A linked set agrees in at least ``percent`` of ``n`` shingles, so two linked
+    sets share one of their ``n - ceil(percent / 100 * n) + 1`` rarest ones.
     ``place`` counts from 0 in the order of rarity; shingles of one set alone
     come first and are left out.
     """
@@ -171,7 +187,7 @@ def prefix_keys(sets: DataFrame) -> DataFrame:
     ranked = (grams.join(often, "key").groupBy("node", "set", "n")
               .agg(F.sort_array(F.collect_set(F.struct("held", "key"))).alias("ranked"))
               .withColumn("alone", F.col("n") - F.size("ranked"))
-              .withColumn("length", F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1 - alone")))
+              .withColumn("length", F.expr(f"n - ({percent} * n + 99) div 100 + 1 - alone")))
     return (ranked.where("length > 0")
             .select("node", "n", "alone", F.posexplode(F.slice("ranked", F.lit(1), F.col("length").cast("int"))))
             .select("node", "n", (F.col("alone") + F.col("pos")).alias("place"), F.col("col.key").alias("key")))
@@ -193,30 +209,30 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> D
     return stored(shingle_sets(texts, id_col, text_col), "minhash-sets")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Of pairs (a, b) those whose full shingle sets are linked."""
     sets = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")), id_col, text_col)
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
     links = cut(both.select("a", "b", common.alias("i"), (F.size("x") + F.size("y")).alias("n"))
-                .where("100 * i >= %d * (n - i)" % PERCENT).select("a", "b").distinct())
+                .where("100 * i >= %d * (n - i)" % percent).select("a", "b").distinct())
     drop_stored(sets)
     return links
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     Links join documents whose sets of distinct five-word shingles have
-    100 * intersection >= 85 * union.  A text with one to four words has its
+    100 * intersection >= ``percent`` * union, 1 to 100.  A text with one to four words has its
     whole sequence as one shingle.  Null, empty and white-space texts have an
     empty set, link with nothing and are kept.  Rows that share a document id
     are one vertex of the link graph; a row without id links with nothing, has
     a null component and is kept.  An empty table gives an empty result.
     Other columns are ignored.
     """
-    signed = stored(sign(docs, id_col, text_col), "minhash-signed")
+    signed = stored(sign(docs, id_col, text_col, percent), "minhash-signed")
     nodes = stored(signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest")
                    .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
                         F.first("signature").alias("signature"), F.first("bands").alias("bands")), "minhash-nodes")
@@ -229,8 +245,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = members.where("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     pairs = cut(stars.join(facts.alias("l"), F.col("a") == F.col("l.node"))
                 .join(facts.alias("r"), F.col("b") == F.col("r.node"))
-                .where(_close("l", "r")).select("a", "b").distinct())
-    links = _confirmed(pairs, docs, id_col, text_col)
+                .where(_close("l", "r", percent)).select("a", "b").distinct())
+    links = _confirmed(pairs, docs, id_col, text_col, percent)
 
     first = components(links)
     marked = cut(members.join(first, "node", "left")
@@ -238,7 +254,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a bucket's head has met all of its bucket already
     few = cut(_divided(marked.where("head <> node")).select("node", "component").distinct())
     sets = _sets_of(docs, few, id_col, text_col)
-    keys = cut(prefix_keys(sets).join(few, "node"))
+    keys = cut(prefix_keys(sets, percent).join(few, "node"))
     drop_stored(sets)
     open_ = cut(_divided(keys)).join(facts.withColumnRenamed("n_shingles", "n"), ["node", "n"])
     open_ = open_.withColumnRenamed("n", "n_shingles")
@@ -246,11 +262,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = (rest.join(open_.alias("m"), F.col("s.key") == F.col("m.key"))
             .where((F.col("s.component") != F.col("m.component"))
                    & ((F.col("m.component") == F.col("m.largest")) | (F.col("s.node") < F.col("m.node")))
-                   & _reachable("s", "m") & _close("s", "m"))
+                   & _reachable("s", "m", percent) & _close("s", "m", percent))
             .select(F.least("s.node", "m.node").alias("a"), F.greatest("s.node", "m.node").alias("b")).distinct())
     more = cut(more)
     if not more.isEmpty():
-        links = cut(links.unionByName(_confirmed(more, docs, id_col, text_col)).distinct())
+        links = cut(links.unionByName(_confirmed(more, docs, id_col, text_col, percent)).distinct())
         first = components(links)
     of_digest = nodes.select("digest", "node").join(first, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
@@ -260,12 +276,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents with one of each near-duplicate group, all columns.
 
     Of rows that share a kept document id the one with the smallest text stays; rows without an id stay.
     """
-    found = near_duplicates(docs, id_col, text_col)
+    found = near_duplicates(docs, id_col, text_col, percent)
     kept = found.where(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(id_col)).distinct()
     named = docs.where(F.col(id_col).isNotNull())
     rows = (named.join(kept, id_col, "left_semi").groupBy(id_col)

@@ -21,7 +21,7 @@ def remainder(id_: Column, n: int) -> Column:
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents by b-bit MinHash."""
-    return minhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(load(spark, sf_dir, "documents"), percent=85)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

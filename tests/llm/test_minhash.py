@@ -84,3 +84,23 @@ def test_estimate_corrects_for_chance(spark):
     from pyspark.sql import functions as F
     got = df.select(minhash.estimated_similarity(F.col("x"), F.col("y"))).first()[0]
     assert abs(got - 1 / 3) < 0.15
+
+
+def test_percent_sets_the_links(spark):
+    # pairs of 0.80, 0.82, 0.85 and 0.78: the second text has d other words at its end
+    def pair(k, d, n=496):
+        own = [f"p{k}w{i}" for i in range(n + 4)]
+        return [(10 * k, " ".join(own)), (10 * k + 1, " ".join(own[: n + 4 - d] + [f"q{i}" for i in range(d)]))]
+
+    rows = [r for k, d in ((1, 55), (2, 49), (3, 40), (4, 62)) for r in pair(k, d)]
+    sets = {i: {tuple(t.split()[j:j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    likeness = {k: len(sets[10 * k] & sets[10 * k + 1]) / len(sets[10 * k] | sets[10 * k + 1]) for k in (1, 2, 3, 4)}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for percent in (85, 80):
+        gone = {10 * k + 1 for k, s in likeness.items() if s >= percent / 100}
+        assert {r.doc_id for r in minhash.deduplicated(df, percent=percent).collect()} == {i for i, _ in rows} - gone
+    assert likeness[4] < 0.8 <= likeness[1] < likeness[2] < 0.85 <= likeness[3]
+    for percent in (50, 80, 85, 95):
+        rows_ = minhash.band_rows(percent)
+        assert (1 - (percent / 100) ** rows_) ** (minhash.HASHES // rows_) < minhash.MISSED
+    assert minhash.band_rows(85) == 6 and minhash.band_rows(80) == 5 and 0.59 < minhash.estimate_cut(80) < 0.61

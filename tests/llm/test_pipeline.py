@@ -41,3 +41,10 @@ def test_edge_rows_and_empty_table(spark):
 def test_run(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "text", "shard", "slot"} <= set(out.columns) and out.count() > 0
+
+
+def test_near_duplicates_stage_takes_a_percent(spark):
+    own = [f"w{i}" for i in range(500)]
+    docs = spark.createDataFrame([(1, " ".join(own)), (2, " ".join(own[:450] + [f"x{i}" for i in range(50)]))],
+                                 "doc_id bigint, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, MIDDLE, percent=80).collect()] == [1]
