@@ -4,16 +4,17 @@ Texts and items are sequences of words (runs of letters and digits, A-Z
 lower-cased).  A CGK walk reads a sequence from a start: at each step it
 emits the word under its pointer and moves on by a random bit that depends on
 the step and the word, so that edit distance becomes Hamming distance between
-the emitted strings.  Each repetition has its own random bits, its own start
+the emitted strings.  Each repetition has its own random bits, its own starts
 inside the items and its own sampled steps; an item and a window that emit
-the same words at the sampled steps are a candidate.  A window starts at every
-word of every text.  After the first two sampled steps only windows that
+the same words at the sampled steps are a candidate.  Walks are short and start
+at several places of an item, so that long items are found as well as short
+ones.  A window starts at every word of every text.  After the first two sampled steps only windows that
 still agree with some item walk on, which finds the same collisions for less.
 
 Candidates are verified exactly: the smallest word edit distance between the
 whole item and any stretch of the text around the window.  With ``REPETITIONS``
-walks an item with a tenth of its words edited is found with a probability
-over 0.99 (tests measure it).
+walks an item of 8 to 500 words with a share of ``MAX_EDIT_SHARE`` of its words
+edited at random is found with a probability over 0.99 (tests measure it).
 """
 
 from __future__ import annotations
@@ -29,7 +30,10 @@ from pyspark.sql import functions as F
 from .shared import slices
 from .words import NOT_ALNUM, mix, word_hashes
 
+#: Walks over items of 8 to 15 words; longer items have places enough for five in eight of them.
 REPETITIONS = 8
+#: Places of an item where each walk starts, by length class (8 to 15 words, 16 to 31, 32 to 63), and of longer items.
+PLACES, MOST_PLACES = {3: 4, 4: 4, 5: 6}, 8
 #: Items with fewer words say nothing about a document and are not searched for.
 MIN_WORDS = 8
 #: Largest edit distance of a match, as a share of the item's words.
@@ -37,10 +41,10 @@ MAX_EDIT_SHARE = 0.2
 #: Items searched for in one pass over the texts.
 BLOCK_ITEMS = 20_000
 #: Longest walk, in steps.
-LONGEST = 96
+LONGEST = 20
 
 _RNG = np.random.default_rng(771)
-_STEP = _RNG.integers(1, 2**63, (64, LONGEST), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = _RNG.integers(1, 2**63, (64, 96), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 _END = np.uint64(0)
 
@@ -60,6 +64,18 @@ def _classes(n_words: np.ndarray) -> np.ndarray:
     return np.log2(np.maximum(n_words, 1)).astype(np.int64)
 
 
+def reach_of(c: int) -> int:
+    """Steps that walks over items of a length class may take; long items are met at more places, not by longer walks."""
+    return min(LONGEST, max(10, int(0.6 * 2**c)))
+
+
+def places(m: np.ndarray, c: int, part: int) -> np.ndarray:
+    """Where the walks of one part start in items of m words of one class, a row for each place, spread over the item."""
+    n = PLACES.get(c, MOST_PLACES)
+    room = np.maximum(m - reach_of(c) // 2 - 1, 1)
+    return np.array([room * (4 * j + part) // (4 * n) for j in range(n)])
+
+
 def walks(classes: list[int], repetitions: int = REPETITIONS, seed: int = 42) -> list[Walk]:
     rng = np.random.default_rng(seed)
     out = []
@@ -67,9 +83,11 @@ def walks(classes: list[int], repetitions: int = REPETITIONS, seed: int = 42) ->
         early = (int(rng.integers(0, 3)), int(rng.integers(3, 8)))
         late = {}
         for c in classes:
-            reach = min(LONGEST, max(10, int(0.6 * 2**c)))
+            reach = reach_of(c)
             late[c] = tuple(sorted(int(x) for x in rng.integers(8, reach, 2)))
-        out.append(Walk(r, r % 4, early, late))
+        late = {c: steps for c, steps in late.items() if c <= 3 or 8 * r < 5 * repetitions}
+        if late:
+            out.append(Walk(r, r % 4, early, late))
     return out
 
 
@@ -114,23 +132,25 @@ class Index:
         ends = np.cumsum(sizes + 1) - 1
         begins = ends - sizes
         for walk in self.walks if len(sizes) else []:
-            offset = sizes * walk.part // 8
-            at = begins + offset
-            one = _walk(flat, at, walk.number, 0, walk.early[0], ends)
-            two = _walk(flat, one, walk.number, walk.early[0], walk.early[1], ends)
-            key = _fold(flat[one], flat[two])
-            late = {}
+            firsts, keys, late = [], [], {}
             for c, steps in walk.late.items():
                 own = np.flatnonzero(classes == c)
-                if len(own):
-                    spot, done, full = two[own], walk.early[1], key[own]
-                    for s in steps:
-                        spot = _walk(flat, spot, walk.number, done, s, ends[own])
-                        done = max(done, s)
-                        full = _fold(full, flat[spot])
-                    order = np.argsort(full, kind="stable")
-                    late[c] = (full[order], own[order], offset[own][order])
-            self.tables.append((np.unique(flat[one]), np.unique(key), late))
+                offset = places(sizes[own], c, walk.part)
+                own, offset = np.tile(own, len(offset)), offset.ravel()
+                stop = ends[own]
+                one = _walk(flat, begins[own] + offset, walk.number, 0, walk.early[0], stop)
+                two = _walk(flat, one, walk.number, walk.early[0], walk.early[1], stop)
+                key = _fold(flat[one], flat[two])
+                firsts.append(flat[one])
+                keys.append(key)
+                spot, done, full = two, walk.early[1], key
+                for s in steps:
+                    spot = _walk(flat, spot, walk.number, done, s, stop)
+                    done = max(done, s)
+                    full = _fold(full, flat[spot])
+                order = np.argsort(full, kind="stable")
+                late[c] = (full[order], own[order], offset[order])
+            self.tables.append((np.unique(np.concatenate(firsts)), np.unique(np.concatenate(keys)), late))
         self.screen = [self._bits(t[0]) for t in self.tables]
 
     @staticmethod
@@ -225,7 +245,7 @@ def search(index: Index, buf: np.ndarray, offsets: np.ndarray, max_share: float
         owner = min(owner, n - 1)
         low = int(first[owner]) + owner
         a, b = max(low, anchor - slack), min(int(marks[owner]), anchor + m + slack)
-        if (item, a) in tried or b <= a:
+        if (item, a) in tried or b <= a or best.get((owner, item), (1, 0))[0] == 0:
             continue
         tried.add((item, a))
         distance, end = edit_distance_in(index.masks[item], m, words[a:b].tolist())

@@ -60,6 +60,25 @@ def test_recall_of_edited_items():
     assert np.mean([(k, item) in got for k, item in enumerate(want)]) >= 0.99
 
 
+def test_recall_at_the_largest_edit_share():
+    for m in (8, 10, 20, 40, 128, 250, 500):
+        rng = random.Random(m)
+        vocabulary = [f"v{i}" for i in range(3000)]
+        draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+        items = [(k, " ".join(draw(m))) for k in range(200)]
+        index = decontam.Index(items)
+        texts = []
+        for _, text in items:
+            w = text.split()
+            for at in rng.sample(range(m), int(decontam.MAX_EDIT_SHARE * m)):
+                w[at] = rng.choice(["", rng.choice(vocabulary), w[at] + " " + rng.choice(vocabulary)])
+            texts.append(" ".join(draw(60) + [x for x in w if x] + draw(60)))
+        got = set()
+        for at, buf, offsets in slices(pa.array(texts)):
+            got |= {(at + owner, index.ids[i]) for owner, i, *_ in decontam.search(index, buf, offsets)}
+        assert np.mean([(k, k) in got for k, _ in items]) >= 0.99, m
+
+
 def test_edge_rows(spark):
     df = edge_frame(spark)
     bench = spark.createDataFrame([(1, words(10, 40)), (1, words(10, 40)), (2, None), (None, words(0, 20)), (3, "too few words"),
