@@ -273,34 +273,37 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     (byte after each match), one row per document row; the lists are empty
     where nothing was found, and for null and empty texts.  Items that are null, or have fewer
     than ``MIN_WORDS`` words, are not searched for.  Items are taken in blocks
-    of ``BLOCK_ITEMS``: each block is one pass over the whole texts with an
-    index of bounded size; an empty benchmark finds nothing.
+    of ``BLOCK_ITEMS``: each block's pass over the whole texts, with an index
+    of bounded size, adds to the lists of the one before; an empty benchmark
+    finds nothing.  Lists are ordered by item, distance and end.
     """
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id bigint, item_ids array<bigint>, distances array<int>, ends array<bigint>"
-    found = None
+    kinds = {"item_ids": "bigint", "distances": "int", "ends": "bigint"}
+    found = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                        *[F.array().cast(f"array<{k}>").alias(c) for c, k in kinds.items()])
+    schema = found.schema
     for index in _indexes(benchmark, item_col, item_text_col, repetitions):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for at, buf, offsets in slices(batch.column(1), 1 << 19):
                     n = len(offsets) - 1
-                    lists: tuple[list, list, list] = ([[] for _ in range(n)], [[] for _ in range(n)], [[] for _ in range(n)])
+                    own = batch.slice(at, n)
+                    lists = [list(zip(*row)) for row in zip(*(own.column(k).to_pylist() for k in (2, 3, 4)))]
                     for owner, item, distance, end in search(index, buf, offsets, max_share):
-                        for out, x in zip(lists, (index.ids[item], distance, end)):
-                            out[owner].append(x)
+                        lists[owner].append((index.ids[item], distance, end))
+                    for row in lists:
+                        row.sort()
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(at, n), pa.array(lists[0], pa.list_(pa.int64())),
-                         pa.array(lists[1], pa.list_(pa.int32())), pa.array(lists[2], pa.list_(pa.int64()))],
-                        ["doc_id", "item_ids", "distances", "ends"])
+                        [own.column(0), own.column(1), *(pa.array([[x[k] for x in row] for row in lists], pa.list_(kind))
+                                                         for k, kind in enumerate((pa.int64(), pa.int32(), pa.int64())))],
+                        schema.names)
 
-        part = texts.mapInArrow(run, schema)
-        found = part if found is None else found.unionByName(part)
-    return found
+        found = found.mapInArrow(run, schema)
+    return found.drop("text")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``doc_id, contaminated, n_items, min_distance, item_ids``, one row per document row and block of items."""
+    """``doc_id, contaminated, n_items, min_distance, item_ids``, one row per document row."""
     m = matches(docs, benchmark, **options)
     return m.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), F.size("item_ids").alias("n_items"),
                     F.array_min("distances").alias("min_distance"), F.array_sort("item_ids").alias("item_ids"))

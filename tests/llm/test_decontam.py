@@ -101,3 +101,15 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     whole = decontam.clean(df, bench).count()
     monkeypatch.setattr(decontam, "BLOCK_ITEMS", 15)
     assert decontam.clean(df, bench).count() == whole
+
+
+def test_blocks_of_items_give_one_row_a_document(spark, monkeypatch):
+    bench = table("benchmark", MIDDLE)
+    passage = bench[0]["text"] + " " + bench[1]["text"] + " " + bench[2]["text"]
+    df = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "text").unionByName(
+        spark.createDataFrame([(-1, passage), (-2, None), (-2, passage), (None, passage)], "doc_id bigint, text string")).cache()
+    items = spark.read.parquet(f"{MIDDLE}/benchmark.parquet")
+    whole = sorted(map(tuple, decontam.contaminated(df, items).collect()), key=repr)
+    assert len(whole) == df.count() and [r[2] for r in whole if r[0] == -1] == [3]
+    monkeypatch.setattr(decontam, "BLOCK_ITEMS", 15)
+    assert sorted(map(tuple, decontam.contaminated(df, items).collect()), key=repr) == whole
