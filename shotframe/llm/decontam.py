@@ -15,6 +15,9 @@ Candidates are verified exactly: the smallest word edit distance between the
 whole item and any stretch of the text around the window.  With ``REPETITIONS``
 walks an item of 8 to 500 words with a share of ``MAX_EDIT_SHARE`` of its words
 edited at random is found with a probability over 0.99 (tests measure it).
+
+Items of fewer than ``MIN_WORDS`` words are found wherever their whole word
+sequence occurs, by the hash of each window of their length.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from .words import NOT_ALNUM, mix, word_hashes
 REPETITIONS = 8
 #: Places of an item where each walk starts, by length class (8 to 15 words, 16 to 31, 32 to 63), and of longer items.
 PLACES, MOST_PLACES = {3: 4, 4: 4, 5: 6}, 8
-#: Items with fewer words say nothing about a document and are not searched for.
+#: Items with fewer words are searched for as they are, without edits.
 MIN_WORDS = 8
 #: Largest edit distance of a match, as a share of the item's words.
 MAX_EDIT_SHARE = 0.2
@@ -107,6 +110,14 @@ def _fold(key: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(key * _FOLD + word)
 
 
+def _sequence(words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Keys of the n words from each place on."""
+    key = words[at]
+    for k in range(1, n):
+        key = _fold(key, words[at + k])
+    return key
+
+
 class Index:
     """Items and, for each walk, the keys of their sampled words."""
 
@@ -116,7 +127,18 @@ class Index:
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
         hashes, first, _, _ = word_hashes(buf, offsets, NOT_ALNUM)
         wanted = [i for i in range(len(items)) if first[i + 1] - first[i] >= MIN_WORDS]
-        self.ids = [items[i][0] for i in wanted]
+        short = [i for i in range(len(items)) if 0 < first[i + 1] - first[i] < MIN_WORDS]
+        #: Ids of the items with walks, then of the short ones.
+        self.ids = [items[i][0] for i in wanted + short]
+        #: Sorted keys and item places of the short items, by number of words.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        lengths = np.array([first[i + 1] - first[i] for i in short], dtype=np.int64)
+        for n in sorted(set(lengths.tolist())):
+            own = np.flatnonzero(lengths == n)
+            starts = np.array([first[short[k]] for k in own], dtype=np.int64)
+            keys = _sequence(hashes, starts, n)
+            order = np.argsort(keys, kind="stable")
+            self.short[n] = (keys[order], len(wanted) + own[order])
         self.words = [hashes[first[i]: first[i + 1]] for i in wanted]
         self.masks: list[dict[int, int]] = []
         for w in self.words:
@@ -153,6 +175,21 @@ class Index:
             self.tables.append((np.unique(np.concatenate(firsts)), np.unique(np.concatenate(keys)), late))
         self.screen = [self._bits(t[0]) for t in self.tables]
 
+    def verbatim(self, words: np.ndarray, stops: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, first word, last word) of the first place of each short item in each text."""
+        starts = np.flatnonzero(words != _END)
+        for n, (keys, items) in self.short.items():
+            at = starts[starts + n <= stops[starts]]
+            full = _sequence(words, at, n)
+            hit = _among(full, keys)
+            at, full = at[hit], full[hit]
+            left, right = np.searchsorted(keys, full, "left"), np.searchsorted(keys, full, "right")
+            _, early = np.unique(stops[at].astype(np.int64) * len(keys) + left, return_index=True)
+            at, left, right = at[early], left[early], right[early]
+            for a, low, high in zip(at.tolist(), left.tolist(), right.tolist()):
+                for k in range(low, high):
+                    yield int(items[k]), a, a + n - 1
+
     @staticmethod
     def _bits(values: np.ndarray) -> np.ndarray:
         bits = np.zeros(1 << 16, dtype=bool)
@@ -251,6 +288,8 @@ def search(index: Index, buf: np.ndarray, offsets: np.ndarray, max_share: float
         distance, end = edit_distance_in(index.masks[item], m, words[a:b].tolist())
         if distance <= slack and (distance, a) < best.get((owner, item), (m + 1, 0)):
             best[owner, item] = (distance, a + max(end, 1) - 1)
+    for item, a, last in index.verbatim(words, stops):
+        best[int(np.searchsorted(marks, a, "left")), item] = (0, last)
     return [(owner, item, d, int(ends[last - owner] - offsets[owner])) for (owner, item), (d, last) in best.items()]
 
 
@@ -271,8 +310,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
     ``doc_id, item_ids array<bigint>, distances array<int>, ends array<bigint>``
     (byte after each match), one row per document row; the lists are empty
-    where nothing was found, and for null and empty texts.  Items that are null, or have fewer
-    than ``MIN_WORDS`` words, are not searched for.  Items are taken in blocks
+    where nothing was found, and for null and empty texts.  Items that are null or
+    have no words are not searched for; those with fewer than ``MIN_WORDS`` words
+    are found only verbatim, with distance 0.  Items are taken in blocks
     of ``BLOCK_ITEMS``: each block's pass over the whole texts, with an index
     of bounded size, adds to the lists of the one before; an empty benchmark
     finds nothing.  Lists are ordered by item, distance and end.

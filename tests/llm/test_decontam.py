@@ -113,3 +113,29 @@ def test_blocks_of_items_give_one_row_a_document(spark, monkeypatch):
     assert len(whole) == df.count() and [r[2] for r in whole if r[0] == -1] == [3]
     monkeypatch.setattr(decontam, "BLOCK_ITEMS", 15)
     assert sorted(map(tuple, decontam.contaminated(df, items).collect()), key=repr) == whole
+
+
+def test_short_items_are_found_verbatim(spark):
+    short = ["what is the capital of france", "Name a prime!", "one two three four five six seven", "solo", "solo", "...", "", "a b"]
+    bench = spark.createDataFrame(list(enumerate(short)) + [(20, words(0, 30))], "item_id bigint, text string")
+    texts = ["so: What is the capital of France? right, and what is the capital of france", "what is the capital of spain",
+             "name a prime", "one two three four five six", "zero one two three four five six seven eight", "solo; solo", "soloist",
+             "a", "b", None, "", words(0, 30) + " a  b", "france what is the capital of"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    found = {r.doc_id: r for r in decontam.matches(df, bench).collect()}
+    assert {d: r.item_ids for d, r in found.items() if r.item_ids} == {
+        0: [0], 2: [1], 4: [2], 5: [3, 4], 11: [7, 20]}
+    assert found[0].distances == [0] and found[0].ends == [texts[0].index("?")] and found[4].ends == [len(texts[4]) - 6]
+    assert {r.doc_id for r in decontam.clean(df, bench).collect()} == set(range(13)) - {0, 2, 4, 5, 11}
+    # against every window of the texts, with short items cut out of the texts themselves
+    docs = {r["doc_id"]: norm(r["text"]) for r in table("documents")}
+    rng = random.Random(8)
+    items = {}
+    for k in range(60):
+        w = docs[rng.choice([d for d, x in docs.items() if len(x) > 20])]
+        at = rng.randrange(len(w) - 8)
+        items[k] = w[at: at + 1 + k % 7]
+    got = decontam.matches(spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id bigint, text string"),
+                           spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id bigint, text string"))
+    assert {r.doc_id: r.item_ids for r in got.collect()} == {
+        d: [k for k, i in items.items() if f" {' '.join(i)} " in f" {' '.join(w)} "] for d, w in docs.items()}
