@@ -69,12 +69,12 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity scores of all documents."""
+    """Toxicity scores of all documents, called at 0.3 and at the threshold of each language."""
     docs = load(spark, sf_dir, "documents")
     model = toxicity.fit(docs, load(spark, sf_dir, "labels"), remainder(F.col("doc_id"), 4) != 2)
-    return toxicity.score(docs, model).select(
+    return toxicity.score(docs, model, lang_col="lang").select(
         "doc_id", F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "decision")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
