@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, imatch, langid, minhash, mixing, neighbours, sharding, toxicity, urls, warc
+from . import (bpe, codes, decontam, imatch, langid, minhash, mixing, neighbours, oracle, quality, ranked, sharding, toxicity, urls,
+               warc)
 from ..session import scratch_path
 from .shared import load, stored
 
@@ -101,10 +102,27 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
                          imatch.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings."""
+    return codes.compressed(load(spark, sf_dir, "embeddings"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality verdicts on all documents, learnt from the labelled ones."""
+    docs = load(spark, sf_dir, "documents")
+    return quality.judged(docs, load(spark, sf_dir, "labels"))
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return ranked.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_minhash, op2_warc, op3_decontam, op4_urls, op5_shards, op6_tokens,
-                                    op7_langid, op8_toxicity, op9_mixing, op10_imatch)}
+                                    op7_langid, op8_toxicity, op9_mixing, op10_imatch, op11_codes, op12_quality,
+                                    op13_ranked)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()

@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 _RNG = np.random.default_rng(20240229)
-_BYTE_VALUE = _RNG.integers(1, 2**64 - 1, 256, dtype=np.uint64) | np.uint64(1)
+BYTE_VALUE = _RNG.integers(1, 2**64 - 1, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = int(_RNG.integers(1, 2**63, dtype=np.uint64)) * 2 + 1
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _SHINGLE = _RNG.integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -56,8 +56,17 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def word_hashes(buf: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Lower-cased (A-Z) words of each text of a buffer.
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """A hash of each span of a buffer; ``values`` are the random numbers of the bytes 0 to 255."""
+    up, down = _power_table(len(buf))
+    sums = np.empty(len(buf) + 1, dtype=np.uint64)
+    sums[0] = 0
+    np.cumsum(values[buf] * up[:len(buf)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
+def word_hashes(buf: np.ndarray, offsets: np.ndarray, separators: np.ndarray, lower: bool = True) -> tuple[np.ndarray, ...]:
+    """Words of each text of a buffer, A-Z lower-cased unless ``lower`` is false.
 
     Returns ``(hashes, first, starts, ends)``: one hash per word; the words of
     text i are ``first[i]:first[i + 1]``; byte positions of each word.
@@ -74,11 +83,7 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray, separators: np.ndarray) ->
     stops = inside.copy()
     stops[:-1] &= ~inside[1:] | edge[1:n]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    up, down = _power_table(n)
-    sums = np.empty(n + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum(_BYTE_VALUE[_LOWER[buf]] * up[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts])
+    hashes = span_hashes(buf, starts, ends, BYTE_VALUE[_LOWER] if lower else BYTE_VALUE)
     return hashes, np.searchsorted(starts, offsets), starts, ends
 
 

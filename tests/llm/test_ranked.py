@@ -1,0 +1,107 @@
+import math
+import random
+import re
+
+import duckdb
+import numpy as np
+import pytest
+from common import MIDDLE, edge_frame, empty_frame, table
+from pyspark.sql import functions as F
+from shotframe.llm import ranked
+from shotframe.llm.queries import op13_ranked, oracle_sql
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms_of(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def by_hand(docs, items, k=10):
+    """Every document scored for every item."""
+    found = [(i, terms_of(t)) for i, t in docs]
+    found = [(i, t) for i, t in found if t]
+    n_docs, n_terms = len(found), sum(len(t) for _, t in found)
+    df = {}
+    for _, t in found:
+        for x in set(t):
+            df[x] = df.get(x, 0) + 1
+    out = []
+    for item, text in items:
+        scored = []
+        for i, t in found:
+            m, s = 10 + (90 * len(t) * n_docs) // n_terms, 0
+            for x in set(terms_of(text)) & set(t):
+                s += math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[x] + 1))) * ((10**9 * t.count(x)) // (1000 * t.count(x) + 8 * m))
+            if s > 0:
+                scored.append((-s, i is None, i or 0))
+        out += [(item, r + 1, None if u else i, -s) for r, (s, u, i) in enumerate(sorted(scored)[:k])]
+    return sorted(out, key=str)
+
+
+def rows(df):
+    assert df.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_query_equals_sql(spark):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{MIDDLE}/{t}.parquet'")
+    assert rows(op13_ranked(spark, MIDDLE)) == sorted(con.execute(oracle_sql()["op13_ranked"]).fetchall(), key=str)
+
+
+@pytest.mark.parametrize("seed, parts, pairs", [(1, 1, 10**6), (2, 5, 10**6), (3, 3, 40)])
+def test_equals_scoring_of_all(spark, seed, parts, pairs):
+    rng = random.Random(seed)
+    words = [f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(20000)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 60)))) for i in range(400)]
+    docs += [(1000 + i, docs[7][1]) for i in range(60)] + [(500, docs[3][1])] * 3
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 25)))) for i in range(30)]
+    items += [(100, docs[7][1]), (100, docs[7][1]), (None, "w1 w2"), (101, "no such"), (102, None), (103, "")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(parts)
+    found = ranked.search(df, spark.createDataFrame(items, "item_id int, text string"), block_pairs=pairs)
+    assert rows(found) == by_hand(docs, items)
+
+
+def test_accumulators_are_limited_and_survivors_exact():
+    rng = np.random.default_rng(0)
+    n, n_terms = 5000, 12
+    df = np.array([20, 30, 50, 80, 120, 400, 1500, 2500, 3500, 4200, 4600, 4900])
+    term = np.repeat(np.arange(n_terms), df)
+    row = np.concatenate([np.sort(rng.choice(n, d, replace=False)) for d in df])
+    tf, lengths = rng.integers(1, 4, len(term)), rng.integers(20, 200, n)
+    weights = np.floor(1000 * np.log((2 * n + 2) / (2 * df + 1))).astype(np.int64)
+    block = ranked.Block(lengths, term.astype(np.int32), tf, row, weights, n, int(lengths.sum()))
+    all_sums = np.zeros(n, np.int64)
+    np.add.at(all_sums, block.rows, block.shares)
+    for k in (1, 10):
+        block.made = block.updated = 0
+        live, scores = block.best(np.arange(n_terms), k, 0)
+        least = np.sort(all_sums)[-k]
+        assert sorted(scores.tolist()) == sorted(all_sums[all_sums >= least].tolist()) and (all_sums[live] == scores).all()
+        assert block.made < 0.5 * len(term) and block.updated > 0
+        assert not block.sums.any()
+    assert len(block.best(np.arange(n_terms), 10, int(all_sums.max()) + 1)[0]) == 0
+
+
+def test_edge_rows(spark):
+    items = [(1, "W1 w2, w3"), (2, "two words"), (3, None), (4, "1234"), (5, "x29999")]
+    asked = spark.createDataFrame(items, "item_id bigint, text string").withColumn("key", F.lit(1)).withColumn("terms", F.lit(2))
+    df = edge_frame(spark).withColumns({c: F.lit(0) for c in ("id", "n", "tfs", "rank", "lane")})
+    assert rows(ranked.search(df, asked)) == by_hand([(r.doc_id, r.text) for r in df.collect()], items)
+    assert ranked.search(empty_frame(spark), asked).collect() == []
+    assert rows(ranked.search(df, asked.where("false"))) == []
+
+
+def test_norm_beyond_64_bits():
+    n = np.array([1, 10**9])
+    assert ranked.length_norm(n, 10**12, 10**15).tolist() == [10 + 90 * 10**12 // 10**15, 10 + 90 * 10**9 * 10**12 // 10**15]
+
+
+def test_given_items_find_their_passages(spark):
+    top = {r.item_id: r.doc_id for r in op13_ranked(spark, MIDDLE).where("rank = 1").collect()}
+    docs, items = {d["doc_id"]: d["text"] for d in table("documents", MIDDLE)}, table("benchmark", MIDDLE)
+    held = [(i["item_id"], d) for i in items for d, t in docs.items() if t and i["text"] in t]
+    assert held and all(any(top[i] == d for j, d in held if j == i) for i, _ in held)
