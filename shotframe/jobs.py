@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import aggregate as A
+from .operators import cells as CE
 from .operators import path as PT
 from .operators import profile as Q
 from .operators import trend as W
@@ -47,11 +48,11 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
     """Step 1: structural checks of the raw CSV files, from ONE scan.
 
     Row count, NULL counts, zone sanity, shot-type breakdown, season coverage
-    and filter accounting all come from one grouping-sets aggregate
-    (``one_pass_profile``), cached as a small table, so the raw CSV is parsed
-    once instead of once per check.
+    and filter accounting all come from one table of additive cells, cached, so
+    the raw CSV is parsed once instead of once per check and no raw row is
+    multiplied.  ``header_columns`` lists what each distinct header names or lacks.
     """
-    raw = IO.read_raw_csv(spark, raw_glob, IO.header_schema(spark, raw_glob))
+    raw = IO.read_csv_by_name(spark, raw_glob, IO.header_schema(spark, raw_glob))
     key_cols = ["SHOT_MADE", "SHOT_MADE_FLAG", "LOC_X", "LOC_Y", "BASIC_ZONE",
                 "SHOT_ZONE_BASIC", "SHOT_TYPE", "GAME_DATE"]
     present = [c for c in key_cols if c in raw.columns]
@@ -63,9 +64,12 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
     dims = {"zone": cols.zone, "shot_type": cols.shot_type}
     if season is not None:
         dims["season"] = season
-    prof = Q.one_pass_profile(raw, dims, made=cols.made, null_cols=present,
-                              accounting=(cols.zone, BACKCOURT)).cache()
-    total = prof.filter(F.col("grouping") == "all")
+    zone, made = F.col(cols.zone), F.col(cols.made).cast("int")
+    sums = {"made": made, "made_n": made.isNotNull().cast("int"), "n_removed": F.coalesce(zone == BACKCOURT, F.lit(False)).cast("int"),
+            "n_kept": F.coalesce(zone != BACKCOURT, F.lit(False)).cast("int"), "n_null": zone.isNull().cast("int")}
+    sums |= {f"null__{c}": F.col(CE.quoted(c)).isNull().cast("int") for c in present}
+    cells = CE.value_cells(raw, dims.values(), sums).cache()
+    prof, total = CE.profile_of_cells(cells, dims, sums), CE.total_of_cells(cells, sums)
 
     def part(label):
         return prof.filter(F.col("grouping") == label)
@@ -83,8 +87,9 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
             F.round(F.try_divide(F.col("made"), F.col("made_n")) * 100, 1).alias("fg_pct"))
         .orderBy(F.desc("attempts"), cols.zone),
         "shot_type_breakdown": shot_types.withColumn(
-            "pct", A.pct(F.col("n"), F.sum("n").over(Window.partitionBy()))).orderBy(F.desc("n")),
+            "pct", A.pct(F.col("n"), total.select("n").scalar())).orderBy(F.desc("n")),
         "removed_rows": total.select(F.col("n").alias("n_rows"), "n_removed", "n_kept", "n_null"),
+        "header_columns": IO.header_columns(spark, raw_glob),
     }
     if season is not None:
         tables["season_coverage"] = part("season").select(
@@ -101,11 +106,12 @@ def verify(spark: SparkSession, raw_glob: str, out: str | None = None,
 def process(spark: SparkSession, raw_glob: str, table: str, out: str | None = None,
             cols: ShotColumns = DEFAULT_COLUMNS, rebalance: bool = True):
     """Step 2: clean, derive, partitioned Parquet, zone and season tables."""
-    res = run_processing(IO.read_raw_csv(spark, raw_glob, keep_malformed=True), table, cols, tables_path=out,
+    res = run_processing(IO.read_csv_by_name(spark, raw_glob, keep_malformed=True), table, cols, tables_path=out,
                          rebalance=rebalance)
     if not res.consistent:
+        where = "" if res.published else f"; {table} is as it was, all rows by outcome are in {res.staged_path}"
         raise RuntimeError(f"written {res.n_written} rows, expected {res.n_raw - res.n_removed - res.n_null_zone}; "
-                           f"{res.n_malformed} malformed lines, {res.n_mismatched} seasons differ")
+                           f"{res.n_malformed} malformed lines, {res.n_mismatched} seasons differ{where}")
     return res
 
 

@@ -1,28 +1,29 @@
 """Unsupervised archetypes.
 
 Input is the entity-season fingerprint (one row per entity and season, so
-it grows with the number of entities, not with events).  Scaling, PCA and
-K-Means are MLlib estimators: their fits are distributed aggregates and
-only model parameters (means, a 6x6 covariance, k centroids) reach the
-driver.  Cluster ids and PCA signs are arbitrary; names come from a rule
-on the cluster profile, not from ids.
+it grows with the number of entities, not with events).  Scaling and PCA come
+from one aggregate of means and covariances, K-Means from sums per cluster
+(``kmeans.py``); only model parameters (means, a 6x6 covariance, k centroids)
+reach the driver, and projections are column expressions.  Cluster ids are
+arbitrary; a component's sign is fixed by its largest loading; names come from
+a rule on the cluster profile, not from ids.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import K_RANGE, SEED
+from ..sources.files import rows_to_table
+from . import kmeans as KM
 from .trend import cumulative
 
 # The archetype names, in the reference's cluster-id order.
@@ -41,17 +42,6 @@ ARCHETYPE_SIGNATURES = [
 ]
 
 
-def stable_order(df: DataFrame, keys, partitions: int | None = None) -> DataFrame:
-    """Hash-partition by key and sort within partitions.
-
-    Row placement then depends only on the keys and ``partitions``, so the
-    seeded k-means|| start and sampling steps repeat run to run (for a
-    fixed ``partitions``; the default is the cluster's parallelism).
-    """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n, *keys).sortWithinPartitions(*keys)
-
-
 def assemble(df: DataFrame, features, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
 
@@ -62,62 +52,96 @@ def standardise(df: DataFrame, vec: str = "features", out: str = "scaled"):
     return m, m.transform(df)
 
 
-def pca(df: DataFrame, k: int, vec: str = "scaled", out: str = "pca_features"):
-    """Principal components.  Returns (model, transformed)."""
-    m = PCA(k=k, inputCol=vec, outputCol=out).fit(df)
-    return m, m.transform(df)
+@dataclass
+class PcaModel:
+    """Means and deviations of the features, and the components of their correlations, largest first."""
+
+    features: list[str]
+    mean: np.ndarray
+    sd: np.ndarray
+    loadings: np.ndarray        # feature x component
+    explained: np.ndarray       # share of the variance per component
 
+    @property
+    def components(self) -> list[str]:
+        return [f"PC{n}" for n in range(1, self.loadings.shape[1] + 1)]
 
-def explained_variance(spark: SparkSession, pca_model) -> DataFrame:
+
+def pca_fit(df: DataFrame, features: Iterable[str], k: int) -> PcaModel:
+    """C1 + C2: means, deviations and covariances in one aggregate, components of the standardised features.
+
+    A component's sign is that of its loading of largest size (the first of
+    equals).  A feature without variance has loadings of 0.
+    """
+    features = list(features)
+    d = len(features)
+    pairs = [(i, j) for i in range(d) for j in range(i)]
+    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
+                 *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(features)],
+                 *[F.covar_samp(features[i], features[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+    mean = np.array([row[f"m{i}"] or 0.0 for i in range(d)])
+    sd = np.array([row[f"s{i}"] or 0.0 for i in range(d)])
+    live = sd > 1e-15
+    corr = np.diag(live.astype(float))
+    for i, j in pairs:
+        if live[i] and live[j]:
+            corr[i, j] = corr[j, i] = row[f"c{i}_{j}"] / (sd[i] * sd[j])
+    values, vectors = np.linalg.eigh(corr)
+    order = np.argsort(-values, kind="stable")
+    values, vectors = np.maximum(values[order], 0), vectors[:, order]
+    top = np.abs(vectors).round(9).argmax(axis=0)
+    signs = np.sign(vectors[top, np.arange(d)])
+    return PcaModel(features, mean, np.where(live, sd, 0), (vectors * np.where(signs == 0, 1, signs))[:, :k],
+                    (values / max(values.sum(), 1e-300))[:k])
+
+
+def pca_project(df: DataFrame, model: PcaModel, out: str = "pca_features") -> DataFrame:
+    """The components as columns ``PC1..`` and as the vector ``out``; plain column arithmetic."""
+    weights = np.where(model.sd[:, None] > 0, model.loadings / np.where(model.sd > 0, model.sd, 1)[:, None], 0)
+    parts = {}
+    for name, w in zip(model.components, weights.T):
+        parts[name] = sum(((F.col(c) - F.lit(float(m))) * F.lit(float(x)) for c, m, x in zip(model.features, model.mean, w)), F.lit(0.0))
+    return df.withColumns(parts).withColumn(out, array_to_vector(F.array(*model.components)))
+
+
+def explained_variance(spark: SparkSession, model: PcaModel) -> DataFrame:
     """C3 + W5: (component, explained_variance, cumulative)."""
-    ev = [float(x) for x in pca_model.explainedVariance.toArray()]
     schema = T.StructType([T.StructField("component", T.IntegerType()),
                            T.StructField("explained_variance", T.DoubleType())])
-    t = spark.createDataFrame([(i + 1, v) for i, v in enumerate(ev)], schema)
+    t = rows_to_table(spark, [(i + 1, float(v)) for i, v in enumerate(model.explained)], schema)
     return cumulative(t, "component", "explained_variance").orderBy("component")
 
 
-def loadings(spark: SparkSession, pca_model, features) -> DataFrame:
+def loadings(spark: SparkSession, model: PcaModel) -> DataFrame:
     """C4: feature x component loadings (PC1..PCk); bounded by the number of features."""
-    by_component = pd.DataFrame(pca_model.pc.toArray(), index=list(features))
-    by_component.columns = [f"PC{n}" for n in range(1, by_component.shape[1] + 1)]
-    return spark.createDataFrame(by_component.rename_axis("feature").reset_index())
+    schema = T.StructType([T.StructField("feature", T.StringType()),
+                           *(T.StructField(c, T.DoubleType()) for c in model.components)])
+    return rows_to_table(spark, [(f, *map(float, row)) for f, row in zip(model.features, model.loadings)], schema)
 
 
-def _kmeans(k: int, vec: str, pred: str, seed: int):
-    return KMeans(featuresCol=vec, predictionCol=pred, k=k, seed=seed)
+def k_sweep(points: DataFrame, columns: Iterable[str], fits: dict[int, KM.Clusters], ks=K_RANGE) -> DataFrame:
+    """Silhouette (squared Euclidean, exact), training cost and the passes taken for each k."""
+    chosen = {k: fits[k] for k in ks}
+    scores = KM.silhouettes(points, columns, chosen)
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType()),
+                           T.StructField("training_cost", T.DoubleType()), T.StructField("rounds", T.IntegerType()),
+                           T.StructField("converged", T.BooleanType())])
+    return rows_to_table(points.sparkSession, [(k, scores[k], f.cost, f.rounds, f.converged) for k, f in sorted(chosen.items())], schema)
 
 
-def k_sweep(df: DataFrame, ks=K_RANGE, vec: str = "pca_features", seed: int = SEED,
-            parallelism: int = 6) -> DataFrame:
-    """Silhouette (squared Euclidean) and training cost for each k."""
-    ev = ClusteringEvaluator(featuresCol=vec, predictionCol="prediction",
-                             metricName="silhouette")
+def fit_clusters(points: DataFrame, columns: Iterable[str], ks: Iterable[int], seed: int = SEED) -> dict[int, KM.Clusters]:
+    """C5 + C6: K-Means to its fixed point for every k, all k in the same passes."""
+    return KM.fit_all(points, columns, ks, seed)
 
-    def run(k):
-        m = _kmeans(k, vec, "prediction", seed).fit(df)
-        return (int(k), float(ev.evaluate(m.transform(df))), float(m.summary.trainingCost))
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
-        rows = list(pool.map(inheritable_thread_target(run), ks))
-    schema = T.StructType([T.StructField("k", T.IntegerType()),
-                           T.StructField("silhouette", T.DoubleType()),
-                           T.StructField("training_cost", T.DoubleType())])
-    return df.sparkSession.createDataFrame(rows, schema).orderBy("k")
-
-
-def fit_clusters(df: DataFrame, k: int, vec: str = "pca_features", seed: int = SEED,
-                 out: str = "cluster"):
-    """Final K-Means.  Returns (model, assigned rows)."""
-    m = _kmeans(k, vec, out, seed).fit(df)
-    return m, m.transform(df)
+def assign(points: DataFrame, columns: Iterable[str], fit: KM.Clusters, out: str = "cluster") -> DataFrame:
+    """Every point with its nearest centre."""
+    return points.withColumn(out, KM.nearest(columns, fit.centres))
 
 
-def assignment_table(assigned: DataFrame, keys, features, vec: str = "pca_features",
-                     cluster: str = "cluster") -> DataFrame:
+def assignment_table(assigned: DataFrame, keys, features, cluster: str = "cluster") -> DataFrame:
     """C9 + P15: keys, cluster, PC1, PC2 and the shares."""
-    arr = vector_to_array(vec)
-    return assigned.select(*keys, cluster, arr[0].alias("PC1"), arr[1].alias("PC2"), *features)
+    return assigned.select(*keys, cluster, "PC1", "PC2", *features)
 
 
 def name_clusters(profile: DataFrame, cluster: str = "cluster",

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import CATEGORICAL_FEATURES, LEAKY_COLUMNS, NUMERIC_FEATURES
+from ..sources.files import rows_to_table
+from . import cells as CE
 
 
 class LeakageError(ValueError):
@@ -75,21 +77,18 @@ def slot_table(spark: SparkSession, names) -> DataFrame:
     """M5 as a table (slot, feature); bounded by the vector width."""
     schema = T.StructType([T.StructField("slot", T.IntegerType()),
                            T.StructField("feature", T.StringType())])
-    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], schema)
+    return rows_to_table(spark, enumerate(names), schema)
 
 
 def level_index(df: DataFrame, columns) -> DataFrame:
     """M1 as a table: (column_name, level, n, level_index), frequency order.
 
     Same order as ``StringIndexer(stringOrderType="frequencyDesc")``: count
-    descending, ties alphabetical.  The columns are stacked to long form and
-    counted in one aggregate (partial counts per task first); the ranking
-    window runs per column over its levels only.
+    descending, ties alphabetical.  The facts are counted once by combination
+    of the columns (``cells.py``); the cells are stacked and added up, and the
+    ranking window runs per column over its levels only.
     """
     from pyspark.sql import Window
-    parts = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
-    long = df.select(F.expr(f"stack({len(columns)}, {parts}) AS (column_name, level)"))
-    counts = (long.filter(F.col("level").isNotNull())
-              .groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n")))
+    counts = CE.values_of_cells(CE.value_cells(df, columns), columns).filter(F.col("level").isNotNull())
     w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("level"))
     return counts.withColumn("level_index", (F.row_number().over(w) - 1).cast("int"))

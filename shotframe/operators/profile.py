@@ -8,18 +8,15 @@ row per checked column whatever the table size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from . import cells as CE
+from . import quantiles as QU
 from .aggregate import pct
-
-
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+from .cells import literal as _sql_str
+from .cells import quoted as _q
 
 
 def row_and_column_count(df: DataFrame) -> DataFrame:
@@ -74,11 +71,11 @@ def first_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
 def breakdown(df: DataFrame, col: str, digits: int = 1, top: int | None = None) -> DataFrame:
     """Q7 + Q8: rows per value with the share of the total, count descending.
 
-    The share uses a window over the grouped result (one row per value,
-    bounded by the column's cardinality), not over the fact table.
+    The total is a scalar of the same aggregate (its exchange is planned once
+    and reused), so no task sees all values, however many there are.
     """
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    out = g.withColumn("pct", pct(F.col("n"), F.sum("n").over(Window.partitionBy()), digits))
+    out = g.withColumn("pct", pct(F.col("n"), g.agg(F.sum("n")).scalar(), digits))
     out = out.orderBy(F.desc("n"), F.asc(col))
     return out.limit(top) if top else out
 
@@ -86,16 +83,23 @@ def breakdown(df: DataFrame, col: str, digits: int = 1, top: int | None = None)
 def distinct_counts(df: DataFrame, columns, exact: bool = True, rsd: float = 0.01) -> DataFrame:
     """Q11: distinct values per column, NULL counted as a value (like ``distinct().count()``).
 
-    Exact counting shuffles every distinct value (fine for categoricals);
-    ``exact=False`` uses HyperLogLog++ (``approx_count_distinct``) with fixed
-    memory per column for unbounded domains.
+    Exact counting goes over the cells of all columns together: the facts
+    are aggregated once by combination, and the distinct values are counted
+    among the cells.  Give columns of unbounded domains in calls of their own,
+    or ``exact=False``: HyperLogLog++ (``approx_count_distinct``) with fixed
+    memory per column, from the facts.
     """
+    columns = list(columns)
+    # the condition holds for every cell; without it the optimiser, to which the cells are a mere
+    # DISTINCT below distinct counts, would drop them and expand the facts
+    src = CE.value_cells(df, columns).where(F.col(CE.N) > 0) if exact else df
+
     def nd(c):
-        return F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), rsd)
-    aggs = [(nd(c) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))).cast("long")
+        return F.count_distinct(F.col(_q(c))) if exact else F.approx_count_distinct(F.col(_q(c)), rsd)
+    aggs = [(nd(c) + F.coalesce(F.max(F.col(_q(c)).isNull().cast("int")), F.lit(0))).cast("long")
             .alias(f"n{i}") for i, c in enumerate(columns)]
     parts = ", ".join(f"{_sql_str(c)}, n{i}" for i, c in enumerate(columns))
-    return df.agg(*aggs).select(
+    return src.agg(*aggs).select(
         F.expr(f"stack({len(columns)}, {parts}) AS (column_name, n_distinct)"))
 
 
@@ -117,21 +121,26 @@ def sum_invariant(df: DataFrame, columns, name: str = "share_sum") -> DataFrame:
 
 
 def quantile_summary(df: DataFrame, col: str, probs=(0.25, 0.5, 0.75),
-                     exact: bool = False, accuracy: int = 10000) -> DataFrame:
+                     exact: bool = False, accuracy: int = 10000, digits: int | None = None) -> DataFrame:
     """Q14: min, quantiles, max of ``col``.
 
-    The default is ``percentile_approx`` (bounded memory for any input).
-    ``exact=True`` uses ``percentile`` (linear interpolation, like
-    ``quantile_cont``); its buffer is a value -> count map, so memory follows
-    the number of distinct values: for columns with few of them.
+    The default is ``percentile_approx`` in one pass.  ``exact=True`` finds
+    the exact quantiles (linear interpolation, like ``quantile_cont``) by
+    distributed selection (``quantiles.py``): a few passes, bounded memory and
+    no shuffle whatever the number of distinct values.
     """
-    c = F.col(col)
-    qs = []
-    for p in probs:
-        tag = f"p{int(round(p * 100)):02d}"
-        q = F.percentile(c, p) if exact else F.percentile_approx(c, p, accuracy).cast("double")
-        qs.append(q.alias(tag))
-    return df.agg(F.min(c).alias("min"), *qs, F.max(c).alias("max"))
+    names = [f"p{int(round(p * 100)):02d}" for p in probs]
+    c = F.col(_q(col))
+    if not exact:
+        qs = [F.percentile_approx(c, p, accuracy).cast("double").alias(n) for p, n in zip(probs, names)]
+        return df.agg(F.min(c).alias("min"), *qs, F.max(c).alias("max"))
+    values, whole = QU.exact_quantiles(df, col, probs, accuracy)
+    if digits is not None:
+        values = [None if v is None else round(v, digits) for v in values]
+    kind = df.select(c).schema[0].dataType
+    schema = T.StructType([T.StructField("min", kind), *(T.StructField(n, T.DoubleType()) for n in names),
+                           T.StructField("max", kind)])
+    return df.sparkSession.createDataFrame([(whole["min"], *values, whole["max"])], schema)
 
 
 def crosstab_consistency(df: DataFrame, a: str, b: str, a_values, b_value) -> DataFrame:

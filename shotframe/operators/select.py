@@ -43,16 +43,32 @@ def bernoulli_sample(df: DataFrame, fraction: float | None, seed: int = 42) -> D
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def _unit_hash(key_cols, seed: int):
-    # A stable value in [0, 1] from all 64 bits of the row key's hash: independent of partitioning,
-    # file layout and executor count.
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
-    return h.cast("double") / 2.0**64 + 0.5
+#: Bits of a key's draw, a whole number below 2**52 (13 hex digits).
+DRAW_BITS = 52
+
+
+def key_draw(key_cols, seed: int = 42):
+    """A whole number in [0, 2**52) drawn from the row key and ``seed``.
+
+    The first 13 hex digits of the MD5 of the seed and the key's values as
+    text, null as ``-``: built-in functions that other engines have under the
+    same names, so a sample or a split can be repeated and checked outside
+    Spark.  It depends on nothing else, neither partitioning nor file layout
+    nor executors.  Keys should be whole numbers, text, dates or flags; a
+    double's text differs between engines.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in key_cols])
+    return F.conv(F.substring(F.md5(text), 1, DRAW_BITS // 4), 16, 10).cast("bigint")
+
+
+def draw_bound(share: float) -> int:
+    """The draws below this number are ``share`` of all."""
+    return round(share * (1 << DRAW_BITS))
 
 
 def key_sample(df: DataFrame, key_cols, fraction: float, seed: int = 42) -> DataFrame:
-    """F4 (repeatable): keep a row when the hash of its key falls below ``fraction``."""
-    return df.filter(_unit_hash(key_cols, seed) < fraction)
+    """F4 (repeatable): keep a row when the draw of its key falls into the first ``fraction``."""
+    return df.filter(key_draw(key_cols, seed) < draw_bound(fraction))
 
 
 def random_split(df: DataFrame, weights, seed: int = 42):
@@ -66,18 +82,13 @@ def key_split(df: DataFrame, key_cols, weights, seed: int = 42):
     Each row lands in exactly one part whatever the cluster size, so a test
     split is the same on 8 cores and on 1000 executors.  No shuffle.
     """
-    total = float(sum(weights))
-    bounds, acc = [], 0.0
+    total, acc, bounds = float(sum(weights)), 0.0, [0]
     for w in weights:
         acc += w / total
-        bounds.append(acc)
-    bounds[-1] = 1.0000001
-    u = _unit_hash(key_cols, seed)
-    parts, lo = [], 0.0
-    for hi in bounds:
-        parts.append(df.filter((u >= lo) & (u < hi)))
-        lo = hi
-    return parts
+        bounds.append(draw_bound(acc))
+    bounds[-1] = 1 << DRAW_BITS
+    draw = key_draw(key_cols, seed)
+    return [df.filter((draw >= lo) & (draw < hi)) for lo, hi in zip(bounds, bounds[1:])]
 
 
 def regex_exclude(df: DataFrame, col: str, patterns) -> DataFrame:

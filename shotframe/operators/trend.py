@@ -45,6 +45,13 @@ def steepest_change(df_with_change: DataFrame, period: str, change: str = "yoy_c
             .orderBy(F.desc(change), F.asc(period)).limit(1))
 
 
+def is_steepest(period: str, change: str = "yoy_change", partition=None):
+    """W2 as a flag: whether a row has the largest change (earliest period on ties)."""
+    w = (Window.partitionBy(*partition) if partition else Window.partitionBy()).orderBy(
+        F.desc_nulls_last(change), F.asc(period))
+    return (F.row_number().over(w) == 1) & F.col(change).isNotNull()
+
+
 def endpoint_change(df: DataFrame, period: str, value: str, partition=None,
                     digits: int = 1, ratio_digits: int = 3) -> DataFrame:
     """W3 + W4: first and last value by period, their difference and ratio."""

@@ -5,8 +5,9 @@ The fingerprint aggregate is the only step that touches the fact table
 everything after it runs on one row per entity-season.  The fingerprint is
 written once as a reliable checkpoint under the shared folder
 (``spark.checkpoint.dir``) before the scaler: lineage is cut there, so a
-lost executor during the many scaler / PCA / k-sweep / K-Means passes
-re-reads the small checkpoint instead of re-aggregating the fact table.
+lost executor during the passes of PCA and K-Means re-reads the small
+checkpoint instead of re-aggregating the fact table.  The sweep's values of k
+and the chosen one are fitted together, a pass for all.
 """
 
 from __future__ import annotations
@@ -19,36 +20,39 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import aggregate as A
 from ..operators import archetypes as C
+from ..operators import kmeans as KM
 from ..schema import CHOSEN_K, DEFAULT_COLUMNS, K_RANGE, N_PCA, SEED, ShotColumns
 from ..session import ensure_checkpoint_dir
 
 
 @dataclass
 class ArchetypeRun:
-    points: DataFrame          # fingerprint + features, scaled, pca_features (cached)
-    assigned: DataFrame        # points + cluster (cached)
-    scaler_model: object
-    pca_model: object
-    km_model: object
+    points: DataFrame          # fingerprint + PC1.., pca_features (cached)
+    assigned: DataFrame        # points + cluster
+    pca_model: C.PcaModel
+    km_model: KM.Clusters
+    fits: dict
     shares: list
     keys: list
     ks: list
-    seed: int
     _sweep_rows: list | None = None
 
     def loadings(self) -> DataFrame:
-        return C.loadings(self.points.sparkSession, self.pca_model, self.shares)
+        return C.loadings(self.points.sparkSession, self.pca_model)
 
     def explained(self) -> DataFrame:
         return C.explained_variance(self.points.sparkSession, self.pca_model)
 
     def sweep(self) -> DataFrame:
         if self._sweep_rows is None:
-            df = C.k_sweep(self.points, self.ks, seed=self.seed)
+            df = C.k_sweep(self.points, self.pca_model.components, self.fits, self.ks)
             self._sweep_rows = (df.schema, [tuple(r) for r in df.collect()])
         schema, rows = self._sweep_rows
         return self.points.sparkSession.createDataFrame(rows, schema)
 
+    def certificate(self) -> DataFrame:
+        return KM.certificate(self.assigned, self.pca_model.components, self.km_model.centres)
+
     def profile(self) -> DataFrame:
         return A.mean_profile(self.assigned, "cluster", self.shares, 3)
 
@@ -68,39 +72,27 @@ class ArchetypeRun:
         return A.centroids(self.assignments(), "cluster", ["PC1", "PC2"])
 
     def release(self) -> None:
-        self.assigned.unpersist()
         self.points.unpersist()
 
 
-ROWS_PER_PARTITION = 100_000
-
-
 def run_archetypes(fingerprint: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS,
-                   k: int = CHOSEN_K, ks=K_RANGE, n_pca: int = N_PCA, seed: int = SEED,
-                   partitions: int | None = None) -> ArchetypeRun:
+                   k: int = CHOSEN_K, ks=K_RANGE, n_pca: int = N_PCA, seed: int = SEED) -> ArchetypeRun:
     """Fit the archetype models on an entity-season fingerprint.
 
-    The fingerprint is checkpointed (aggregate computed once, lineage cut),
-    then laid out in ``partitions`` hash partitions sorted by key.  By default
-    the count follows the data — one partition per ``ROWS_PER_PARTITION``
-    rows, at least 4 — so K-Means iterations use the cluster as the
-    fingerprint grows, and the layout (hence the seeded k-means|| start) is a
-    function of the data alone, the same on any cluster size.
+    The fingerprint is checkpointed (aggregate computed once, lineage cut).
+    The clusters depend on the points and ``seed`` alone, so they are the same
+    for any layout and on any cluster size.
     """
     shares = A.share_columns(cols)
     keys = [cols.entity, cols.entity_name, cols.season]
     ensure_checkpoint_dir(fingerprint.sparkSession)
-    fp0 = fingerprint.checkpoint(eager=True)
-    n = partitions or max(4, -(-fp0.count() // ROWS_PER_PARTITION))
-    fp = C.assemble(C.stable_order(fp0, keys, n), shares).persist(StorageLevel.MEMORY_AND_DISK)
-    scaler_model, scaled = C.standardise(fp)
-    pca_model, points = C.pca(scaled, n_pca)
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    km_model, assigned = C.fit_clusters(points, k, seed=seed)
-    assigned = assigned.persist(StorageLevel.MEMORY_AND_DISK)
-    fp.unpersist()
-    return ArchetypeRun(points, assigned, scaler_model, pca_model, km_model, shares,
-                        [cols.entity_name, cols.season, "ERA"], list(ks), seed)
+    fp = fingerprint.checkpoint(eager=True)
+    pca_model = C.pca_fit(fp, shares, n_pca)
+    points = C.pca_project(fp, pca_model).persist(StorageLevel.MEMORY_AND_DISK)
+    fits = C.fit_clusters(points, pca_model.components, {k, *ks}, seed)
+    assigned = C.assign(points, pca_model.components, fits[k])
+    return ArchetypeRun(points, assigned, pca_model, fits[k], fits, shares,
+                        [cols.entity_name, cols.season, "ERA"], list(ks))
 
 
 _MEMO: dict = {}

@@ -11,10 +11,12 @@ import threading
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as A
-from ..schema import ZONE_TABLE_SCHEMA
+from ..schema import BACKCOURT, ZONE_TABLE_SCHEMA
 from ..session import scratch_path
 from ..sources import files as IO
+from ..sources.shot_view import VIEW_POINT_SEASON
 from ..streaming import ingest as ST
+from . import processing as PR
 from .queries import COLS, processed, q_zone_efficiency, query, shots
 
 _CSV: dict = {}
@@ -55,6 +57,43 @@ def q_csv_ingest(spark, sf):
     return A.rate_by_period(df, COLS.season)
 
 
+def mixed_csv_dir(spark, sf):
+    """The raw shot view as CSV files of two layouts: early seasons with all columns in
+    reverse order, later ones without the zone range."""
+    path = scratch_path(spark, "mixed-csv")
+    df = shots(spark, sf)
+    early = F.col(COLS.season) < VIEW_POINT_SEASON
+    df.where(early).select(*reversed(df.columns)).write.option("header", True).csv(f"{path}/early")
+    df.where(~early).drop(COLS.zone_range).write.option("header", True).csv(f"{path}/late")
+    return path
+
+
+@query("csv_mixed_headers")
+def q_csv_mixed_headers(spark, sf):
+    """Files of two layouts behind one glob, bound by name: rows, makes, sums and
+    missing ranges per season."""
+    df = IO.read_csv_by_name(spark, mixed_csv_dir(spark, sf) + "/*/part-*.csv", shots(spark, sf).schema)
+    return df.groupBy(COLS.season).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(COLS.made).alias("n_made"), F.sum("LOC_X").alias("sum_x"),
+        F.sum("SHOT_DISTANCE").alias("sum_distance"), F.count_if(F.col(COLS.zone) == BACKCOURT).alias("n_backcourt"),
+        F.count_if(F.col(COLS.zone_range).isNull()).alias("n_no_range"), F.max(COLS.game_date).alias("last_date"))
+
+
+@query("csv_header_columns")
+def q_csv_header_columns(spark, sf):
+    """S1 + Q3: columns of each layout against the expected schema."""
+    return IO.header_columns(spark, mixed_csv_dir(spark, sf) + "/*/part-*.csv", shots(spark, sf).schema) \
+        .select("layout", "column_name", "status", "position")
+
+
+@query("processing_accounting")
+def q_processing_accounting(spark, sf):
+    """Q12 + S7: rows by season and outcome, counted from the footers of the one write of the raw rows."""
+    path = scratch_path(spark, "staged")
+    PR.stage_rows(shots(spark, sf), path, COLS)
+    return PR.staged_counts(spark, path, COLS.season).select(F.col(PR.OUTCOME).alias("outcome"), COLS.season, "n")
+
+
 @query("result_csv")
 def q_result_csv(spark, sf):
     """S4 + S6: the zone table through a one-file CSV and back."""
@@ -73,10 +112,8 @@ def q_preview(spark, sf):
 
 @query("schema_table")
 def q_schema_table(spark, sf):
-    """Schema of the processed table after the Parquet round trip."""
-    path = scratch_path(spark, "processed-schema")
-    IO.write_partitioned(processed(spark, sf), path, COLS.season)
-    return IO.schema_table(IO.read_table(spark, path))
+    """Schema of the processed table as it is after the Parquet round trip."""
+    return IO.schema_table(spark, IO.written_schema(processed(spark, sf), COLS.season))
 
 
 @query("stream_ingest")

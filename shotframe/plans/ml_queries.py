@@ -14,17 +14,18 @@ from pyspark.sql import functions as F
 from ..functions.derive import add_action_group
 from ..operators import archetypes as C
 from ..operators import features as FE
+from ..operators import kmeans as KM
 from ..operators import path as PT
 from ..schema import CATEGORICAL_FEATURES, HEADLINE_PENALTY
 from . import clustering as CL
 from . import modelling as MO
-from .queries import COLS, SHARES, fingerprint, processed, query
+from .queries import COLS, ROW_KEYS, SHARES, fingerprint, processed, query
 
 # The split hashes a row key.  The view has no unique key column; these five
 # together are near-unique (rows sharing all five land on the same side,
 # which is harmless) and are cheap expressions of stored columns — hashing
 # derived CASE columns would inline the whole view into the split filter.
-SPLIT_KEYS = ["GAME_ID", "QUARTER", "PLAYER_ID", "SECS_LEFT", "LOC_X"]
+SPLIT_KEYS = ROW_KEYS
 
 
 def model_run(spark, sf):
@@ -85,6 +86,18 @@ def q_lasso_path(spark, sf):
     return model_run(spark, sf).path()
 
 
+@query("lasso_certificate")
+def q_lasso_certificate(spark, sf):
+    """M6 + M7: proof per penalty that the fitted path is at the optimum, from one aggregate of the training rows."""
+    return model_run(spark, sf).path_certificate().select("regParam", "n_rows", "n_slots", "optimal")
+
+
+@query("svm_certificate")
+def q_svm_certificate(spark, sf):
+    """Proof that the SVM fit is within 2 % of the optimum, by a dual bound over the training rows."""
+    return model_run(spark, sf).svm_certificate().select("n_rows", "n_slots", "optimal")
+
+
 @query("headline_coefs")
 def q_headline(spark, sf):
     return MO.headline(model_run(spark, sf), HEADLINE_PENALTY)
@@ -134,12 +147,16 @@ def q_coef_table(spark, sf):
 # ------------------------------------------------------------ clusters C1-C10
 @query("pca_loadings")
 def q_loadings(spark, sf):
-    return archetype_run(spark, sf).loadings()
+    """C2 + C4: loadings of the components, to nine digits."""
+    t = archetype_run(spark, sf).loadings()
+    return t.select("feature", *[F.round(c, 9).alias(c) for c in t.columns[1:]])
 
 
 @query("explained_variance")
 def q_explained(spark, sf):
-    return archetype_run(spark, sf).explained()
+    """C3 + W5: share of the variance per component, to nine digits."""
+    t = archetype_run(spark, sf).explained()
+    return t.select("component", *[F.round(c, 9).alias(c) for c in t.columns[1:]])
 
 
 @query("k_sweep")
@@ -147,6 +164,25 @@ def q_k_sweep(spark, sf):
     return archetype_run(spark, sf).sweep()
 
 
+@query("kmeans_certificate")
+def q_kmeans_certificate(spark, sf):
+    """Points nearer to another centre than their own, and whether every centre is the mean of its points."""
+    return archetype_run(spark, sf).certificate()
+
+
+@query("k_sweep_certificate")
+def q_k_sweep_certificate(spark, sf):
+    """For every k of the sweep, the same two properties of its fit."""
+    run = archetype_run(spark, sf)
+    out = None
+    for k in run.ks:
+        columns, fit = run.pca_model.components, run.fits[k]
+        one = KM.certificate(C.assign(run.points, columns, fit), columns, fit.centres)
+        one = one.select(F.lit(k).alias("k"), F.lit(fit.converged).alias("converged"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("cluster_profiles")
 def q_cluster_profiles(spark, sf):
     return archetype_run(spark, sf).profile()

@@ -8,7 +8,7 @@ integers is HUGEINT, so sums are cast to BIGINT).
 
 from __future__ import annotations
 
-from ..schema import ZONE_TO_BASE
+from ..schema import K_RANGE, LASSO_PENALTIES, N_PCA, ZONE_TO_BASE
 from ..sources.shot_view import (VIEW_COLUMNS, VIEW_POINT_SEASON, VIEW_RECENT_SEASON,
                                  VIEW_WINDOW, duckdb_view_sql)
 
@@ -298,16 +298,84 @@ ORACLE["documents_breakdown"] = """SELECT lang, n, round(CAST(n AS DOUBLE) / sum
 FROM (SELECT lang, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY lang)"""
 ORACLE["orders_first_dates"] = "SELECT DISTINCT o_orderdate FROM orders ORDER BY o_orderdate LIMIT 10"
 
-sql("verify_one_pass", """SELECT
+_VERIFY = """SELECT
  CASE WHEN GROUPING(BASIC_ZONE) = 0 THEN 'zone' WHEN GROUPING(SHOT_TYPE) = 0 THEN 'shot_type'
       WHEN GROUPING(SEASON_1) = 0 THEN 'season' ELSE 'all' END AS grouping,
  CASE WHEN GROUPING(BASIC_ZONE) = 0 THEN BASIC_ZONE WHEN GROUPING(SHOT_TYPE) = 0 THEN SHOT_TYPE
       WHEN GROUPING(SEASON_1) = 0 THEN CAST(SEASON_1 AS VARCHAR) END AS key,
  CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(SHOT_MADE AS INT)) AS BIGINT) AS made,
  CAST(count(SHOT_MADE) AS BIGINT) AS made_n
-FROM shots GROUP BY GROUPING SETS ((BASIC_ZONE), (SHOT_TYPE), (SEASON_1), ())""")
+FROM shots GROUP BY GROUPING SETS ((BASIC_ZONE), (SHOT_TYPE), (SEASON_1), ())"""
+sql("verify_one_pass", _VERIFY)
+sql("verify_cells", _VERIFY)
+sql("sketched_distincts", """SELECT SEASON_1, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT GAME_ID) AS BIGINT) AS n_games,
+ CAST(count(DISTINCT PLAYER_ID) AS BIGINT) AS n_players, true AS games_close, true AS players_close
+FROM shots GROUP BY SEASON_1""")
+ORACLE["price_quantiles"] = "SELECT min(l_extendedprice) AS min, " + ", ".join(
+    f"round(quantile_cont(l_extendedprice, {p}), 6) AS p{round(p * 100):02d}" for p in (0.01, 0.25, 0.5, 0.75, 0.99)) \
+    + ", max(l_extendedprice) AS max FROM lineitem"
+
+# ------------------------------------------------------------------ F4, F5
+_DRAW = ("CAST('0x' || substr(md5(concat_ws('|', '42', "
+         + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in ("GAME_ID", "QUARTER", "PLAYER_ID", "SECS_LEFT", "LOC_X"))
+         + ")), 1, 13) AS BIGINT)")
+sql("sampled_zone_efficiency", f"""SELECT BASIC_ZONE, CAST(count(*) AS BIGINT) AS attempts,
+ round(avg(SHOT_MADE_INT) * 100, 1) AS fg_pct, round(avg(EXPECTED_PTS), 3) AS pts_per_attempt
+FROM processed WHERE {_DRAW} < {round(0.05 * 2**52)} GROUP BY BASIC_ZONE""")
+sql("split_counts", f"""SELECT CASE WHEN {_DRAW} < {round(0.8 * 2**52)} THEN 'train' ELSE 'test' END AS part, SEASON_1,
+ CAST(count(*) AS BIGINT) AS n, CAST(sum(SHOT_MADE_INT) AS BIGINT) AS n_made FROM processed GROUP BY 1, 2""")
 
 
 def oracle_sql() -> dict[str, str]:
     from . import io_oracle  # noqa: F401  (registration of IO / feature queries)
     return dict(ORACLE)
+
+# ------------------------------------------------------------------ certificates of the fits
+# What an engine without the optimiser can say of a fit: how many rows and slots it had, and that its
+# optimality holds; the Spark side works the proof out from the fitted coefficients.
+_TRAIN = f"tr AS (SELECT * FROM pa WHERE {_DRAW} < {round(0.8 * 2**52)} AND {_ok})"
+_SLOTS = " + ".join([str(len(_num))] + [f"(SELECT count(DISTINCT {c}) FROM pa WHERE {_DRAW} < {round(0.8 * 2**52)})" for c in _CATS])
+sql("lasso_certificate", f""", {_PA}, {_TRAIN}
+SELECT CAST(p AS DOUBLE) AS "regParam", (SELECT count(*) FROM tr) AS n_rows, CAST({_SLOTS} AS INT) AS n_slots, true AS optimal
+FROM (VALUES {", ".join(f"({p})" for p in LASSO_PENALTIES)}) t(p)""")
+sql("svm_certificate", f""", {_PA}, {_TRAIN}
+SELECT (SELECT count(*) FROM tr) AS n_rows, CAST({_SLOTS} AS INT) AS n_slots, true AS optimal""")
+sql("kmeans_certificate", """SELECT CAST(count(*) AS BIGINT) AS n_points, CAST(0 AS BIGINT) AS n_nearer_elsewhere,
+ true AS centres_hold FROM fp""")
+sql("k_sweep_certificate", f"""SELECT CAST(k AS INT) AS k, true AS converged, CAST(n AS BIGINT) AS n_points,
+ CAST(0 AS BIGINT) AS n_nearer_elsewhere, true AS centres_hold
+FROM (SELECT count(*) AS n FROM fp), (VALUES {", ".join(f"({k})" for k in K_RANGE)}) t(k)""")
+
+
+# ------------------------------------------------------------------ PCA
+# Components of the correlation matrix one after the other: a matrix squared again and again tends to the
+# projection on its first component, which is then taken off.
+_D = len(_SHARES)
+
+
+def _pca_ctes(n: int) -> str:
+    corr = ", ".join("[" + ", ".join("1.0" if a == b else f"corr({a}, {b})" for b in _SHARES) + "]" for a in _SHARES)
+    ctes = [f"m0 AS MATERIALIZED (SELECT [{corr}] AS m FROM fp)"]
+    for c in range(n):
+        ctes.append(f"""q{c} AS MATERIALIZED (WITH RECURSIVE s(i, m) AS (SELECT 0, m FROM m{c} UNION ALL
+  SELECT i + 1, list_transform(p, lambda r: list_transform(r, lambda x: x / list_sum(list_transform(range(1, {_D + 1}), lambda t: p[t][t]))))
+  FROM (SELECT i, list_transform(m, lambda r: list_transform(range(1, {_D + 1}), lambda j:
+   list_sum(list_transform(range(1, {_D + 1}), lambda t: r[t] * m[t][j])))) AS p FROM s WHERE i < 24)) SELECT m FROM s WHERE i = 24)""")
+        ctes.append(f"""u{c} AS (SELECT list_transform(m, lambda r: r[list_position(d, list_max(d))]) AS u
+  FROM (SELECT m, list_transform(range(1, {_D + 1}), lambda t: m[t][t]) AS d FROM q{c}))""")
+        ctes.append(f"""v{c} AS MATERIALIZED (SELECT list_transform(u, lambda x: x / sqrt(list_dot_product(u, u))
+   * sign(u[list_position(a, list_max(a))])) AS v
+  FROM (SELECT u, list_transform(u, lambda x: round(abs(x) / sqrt(list_dot_product(u, u)), 9)) AS a FROM u{c}))""")
+        ctes.append(f"""e{c} AS MATERIALIZED (SELECT list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS e, v
+  FROM m0, v{c})""")
+        ctes.append(f"""m{c + 1} AS MATERIALIZED (SELECT list_transform(range(1, {_D + 1}), lambda a: list_transform(range(1, {_D + 1}), lambda b:
+  m[a][b] - e * v[a] * v[b])) AS m FROM m{c}, e{c})""")
+    return ",\n".join(ctes)
+
+
+sql("pca_loadings", f", {_pca_ctes(N_PCA)}\n" + _union(
+    [f"SELECT '{s}' AS feature, " + ", ".join(f"round(e{c}.v[{i + 1}], 9) AS \"PC{c + 1}\"" for c in range(N_PCA))
+     + " FROM " + ", ".join(f"e{c}" for c in range(N_PCA)) for i, s in enumerate(_SHARES)]))
+sql("explained_variance", f", {_pca_ctes(N_PCA)}\n" + f"""SELECT component, round(x, 9) AS explained_variance,
+ round(sum(x) OVER (ORDER BY component), 9) AS cumulative FROM (""" + _union(
+    [f"SELECT CAST({c + 1} AS INT) AS component, e{c}.e / {_D} AS x FROM e{c}" for c in range(N_PCA)]) + ")")

@@ -1,17 +1,22 @@
 """Entry 1: raw shots -> processed, season-partitioned Parquet + two report tables.
 
-One pass over the raw input:  filter -> rebalance by season -> derive (one
-projection) -> partitioned Parquet.  The removed-row accounting (Q12) is one
-aggregate that reads only the zone column (``Observation`` metrics would
-ride on the write job instead, but in Spark 4.1 they leave the session
-unable to serialize later RDD-backed evaluators).  The zone and season tables
-come from one grouped pass over the *written* Parquet (five columns read,
-columnar) through the additive cell table, which also gives the
-round-trip check its rows per season.
+The raw input is read once.  Every row is derived and written, into one
+staged folder partitioned by outcome and season: ``kept``, ``removed`` (back
+court), ``no_zone`` (a null zone) and ``malformed`` (lines with a value that
+did not parse).  The accounting (Q12) is a count over that folder's partition
+columns alone, which Parquet answers from the row counts in its footers.  Only
+if no line is malformed does the ``kept`` folder become the table, by renames;
+else the table that stood before is left as it was and the staged folder keeps
+the malformed lines for inspection.
+
+The zone and season tables come from one grouped pass over the *written*
+Parquet (five columns read, columnar) through the additive cell table, which
+also gives the rows per season as read back, held against the footers' (S7).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,6 +28,11 @@ from ..schema import BACKCOURT, DEFAULT_COLUMNS, ShotColumns
 from ..sources import files as IO
 
 
+#: What becomes of a raw row.
+KEPT, REMOVED, NO_ZONE, MALFORMED = "kept", "removed", "no_zone", "malformed"
+OUTCOME = "_outcome"
+
+
 @dataclass
 class ProcessingResult:
     table_path: str
@@ -35,6 +45,8 @@ class ProcessingResult:
     per_season: DataFrame       # S7: n_written, n_expected, matches per season
     n_malformed: int            # raw lines with a value that did not parse
     n_mismatched: int           # seasons whose written rows differ from the expected ones
+    published: bool             # whether table_path holds the new table
+    staged_path: str | None     # where the rows lie if they were not published
 
     @property
     def consistent(self) -> bool:
@@ -43,6 +55,28 @@ class ProcessingResult:
                 and not self.n_malformed and not self.n_mismatched)
 
 
+def outcome_of(cols: ShotColumns, malformed: bool):
+    """The outcome of a raw row: a malformed line goes first, then its zone decides."""
+    zone = F.col(cols.zone)
+    by_zone = F.when(zone.isNull(), NO_ZONE).when(zone == BACKCOURT, REMOVED).otherwise(KEPT)
+    return F.when(F.col(IO.MALFORMED).isNotNull(), MALFORMED).otherwise(by_zone) if malformed else by_zone
+
+
+def stage_rows(raw: DataFrame, path: str, cols: ShotColumns = DEFAULT_COLUMNS, rebalance: bool = True) -> None:
+    """Write every raw row, derived, partitioned by outcome and season: the one pass over the raw input."""
+    # Rebalance the raw rows, derive after the shuffle: it carries the raw
+    # columns only, and the derivations run in the post-shuffle write tasks,
+    # which AQE sizes to the advisory partition size.
+    src = raw.hint("rebalance", cols.season) if rebalance else raw
+    rows = derive_shots(src, cols).withColumn(OUTCOME, outcome_of(cols, IO.MALFORMED in raw.columns))
+    rows.write.mode("overwrite").partitionBy(OUTCOME, cols.season).parquet(path)
+
+
+def staged_counts(spark, path: str, season: str) -> DataFrame:
+    """``_outcome, season, n`` of a staged folder, a row per written folder; reads no column, so footers alone."""
+    return spark.read.parquet(path).groupBy(OUTCOME, season).agg(F.count(F.lit(1)).alias("n"))
+
+
 def run_processing(raw: DataFrame, table_path: str, cols: ShotColumns = DEFAULT_COLUMNS,
                    tables_path: str | None = None, rebalance: bool = True) -> ProcessingResult:
     """Write the processed table and build both report tables.
@@ -52,43 +86,52 @@ def run_processing(raw: DataFrame, table_path: str, cols: ShotColumns = DEFAULT_
     CSV per season): each task then writes about one file and the fact
     table is never shuffled.  For arbitrary layouts keep the default, which
     bounds the files per season directory.
+
+    With malformed lines nothing is published: ``published`` is false, the
+    report tables are not written, and ``staged_path`` holds all rows by outcome.
     """
     spark = raw.sparkSession
-    # Rebalance the raw rows, derive after the shuffle: the zone filter still
-    # runs before it (removed rows are never shuffled), the shuffle carries
-    # the raw columns only, and the derivations run in the post-shuffle
-    # write tasks, which AQE sizes to the advisory partition size.
-    src = raw.hint("rebalance", cols.season) if rebalance else raw
-    kept = derive_shots(src.drop(IO.MALFORMED), cols).filter(F.col(cols.zone) != BACKCOURT)
-    IO.write_partitioned(kept, table_path, cols.season, rebalance=False)
-    # one row per season, pre-aggregated in the scan
-    zone = F.col(cols.zone)
-    broken = F.col(IO.MALFORMED).isNotNull() if IO.MALFORMED in raw.columns else F.lit(False)
-    seasons = raw.groupBy(cols.season).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(zone == BACKCOURT).alias("n_removed"),
-        F.count_if(zone != BACKCOURT).alias("n_expected"), F.count_if(zone.isNull()).alias("n_null"),
-        F.count_if(broken).alias("n_malformed")).cache()
-    m = seasons.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
-                      for c in ("n_rows", "n_removed", "n_null", "n_malformed")]).first()
-
-    written = IO.read_table(spark, table_path)
+    staged = f"{table_path.rstrip('/')}.staged-{uuid.uuid4().hex[:12]}"
+    stage_rows(raw, staged, cols, rebalance)
+    season_type = raw.schema[cols.season].dataType.simpleString()
+    counts = staged_counts(spark, staged, cols.season).collect() if _has_rows(spark, staged) else []
+    n: dict[str, int] = {}
+    for r in counts:
+        n[r[OUTCOME]] = n.get(r[OUTCOME], 0) + r.n
+    kept_path = f"{staged}/{OUTCOME}={KEPT}"
+    if not n.get(KEPT):  # a table of no rows still has its columns
+        derive_shots(raw, cols).limit(0).write.mode("overwrite").parquet(kept_path)
+    published = not n.get(MALFORMED)
+    if published:
+        IO.publish(spark, kept_path, table_path)
+
+    written = IO.read_table(spark, table_path if published else kept_path)
     cells = A.zone_period_cells(written, cols.zone, cols.season, "IS_3PT", "SHOT_MADE_INT",
                                 "EXPECTED_PTS").cache()
     zone_t = A.efficiency_from_cells(cells, cols.zone)
     season_t = A.rate_from_cells(cells, cols.season)
-    # S7 from the same cells: rows per season as read back from the table
+    # Rows per season as read back from the table, against the footers of the write
     got = cells.groupBy(F.col(cols.season).alias("_s")).agg(F.sum("attempts").cast("long").alias("n_written"))
-    want = seasons.filter("n_expected > 0").select(cols.season, "n_expected")
+    want = spark.createDataFrame([(r[cols.season], r.n) for r in counts if r[OUTCOME] == KEPT],
+                                 f"`{cols.season}` {season_type}, n_expected bigint")
     per_season = (want.join(got, F.col(cols.season).eqNullSafe(F.col("_s")), "full")
                   .select(F.coalesce(cols.season, "_s").alias(cols.season),
                           F.coalesce("n_written", F.lit(0)).alias("n_written"),
                           F.coalesce("n_expected", F.lit(0)).alias("n_expected"))
-                  .withColumn("matches", F.col("n_written") == F.col("n_expected")).orderBy(cols.season))
+                  .withColumn("matches", F.col("n_written") == F.col("n_expected")).orderBy(cols.season).cache())
     n_mismatched = per_season.filter("NOT matches").count()
     n_written = cells.agg(F.sum("attempts")).first()[0] or 0
-    if tables_path:
-        IO.write_small_csv(zone_t, f"{tables_path}/fg_pct_by_zone")
-        IO.write_small_csv(season_t, f"{tables_path}/three_pt_rate_by_season")
-    return ProcessingResult(table_path, int(m["n_rows"]), int(m["n_removed"]),
-                            int(m["n_null"]), int(n_written), zone_t, season_t, per_season,
-                            int(m["n_malformed"]), n_mismatched)
+    if published:
+        IO.delete_path(spark, staged)
+        if tables_path:
+            IO.write_small_csv(zone_t, f"{tables_path}/fg_pct_by_zone")
+            IO.write_small_csv(season_t, f"{tables_path}/three_pt_rate_by_season")
+    return ProcessingResult(table_path, sum(n.values()), n.get(REMOVED, 0), n.get(NO_ZONE, 0), int(n_written), zone_t,
+                            season_t, per_season, n.get(MALFORMED, 0), n_mismatched, published,
+                            None if published else staged)
+
+
+def _has_rows(spark, path: str) -> bool:
+    """Whether a staged folder has a file: a write of no rows by partition leaves none."""
+    return not spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*") \
+        .load(path).select("path").isEmpty()

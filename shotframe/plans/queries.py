@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from ..functions import derive as D
 from ..functions import text as X
 from ..operators import aggregate as A
+from ..operators import cells as CE
 from ..operators import evaluate as E
 from ..operators import profile as Q
 from ..operators import select as S
 from ..operators import trend as W
 from ..schema import (ACTION_RULES, BACK_COURT_RANGE, BACKCOURT, CATEGORICAL_FEATURES,
                       NUMERIC_FEATURES, THREE_PT_TYPE, THREE_PT_ZONES)
+from ..session import ensure_checkpoint_dir
 from ..sources.shot_view import (VIEW_COLUMNS, VIEW_POINT_SEASON, VIEW_RECENT_SEASON,
                                  VIEW_WINDOW, read_table, shot_view)
 
@@ -149,6 +151,31 @@ def q_majority_floor(spark, sf):
     return A.majority_floor(processed(spark, sf), COLS.made_int)
 
 
+@query("verify_cells")
+def q_verify_cells(spark, sf):
+    """Q5 + Q7 + Q9 + Q1 from additive cells: one aggregate of the facts, grouping sets over its rows."""
+    dims = {"zone": COLS.zone, "shot_type": COLS.shot_type, "season": COLS.season}
+    made = F.col(COLS.made).cast("int")
+    cells = CE.value_cells(shots(spark, sf), dims.values(), {"made": made, "made_n": made.isNotNull().cast("int")})
+    return CE.profile_of_cells(cells, dims, ["made", "made_n"])
+
+
+@query("sketched_distincts")
+def q_sketched_distincts(spark, sf):
+    """Q11 for unbounded domains: games and players per season by sketches kept per (season, zone)
+    and merged, held against the exact counts."""
+    df = shots(spark, sf)
+    cells = CE.sketch_cells(df, [COLS.season, COLS.zone], ["GAME_ID", COLS.entity])
+    merged = CE.distincts_of_sketches(cells, [COLS.season], ["GAME_ID", COLS.entity])
+    exact = df.groupBy(COLS.season).agg(F.count_distinct("GAME_ID").alias("n_games"), F.count_distinct(COLS.entity).alias("n_players"))
+
+    def close(estimate, count):
+        return F.abs(F.col(estimate) - F.col(count)) <= F.greatest(F.lit(1.0), 0.03 * F.col(count))
+    return merged.join(exact, COLS.season).select(COLS.season, "n", "n_games", "n_players",
+                                                  close("GAME_ID", "n_games").alias("games_close"),
+                                                  close(COLS.entity, "n_players").alias("players_close"))
+
+
 @query("profile_distinct")
 def q_profile_distinct(spark, sf):
     df = D.add_action_group(processed(spark, sf), COLS, ACTION_RULES)
@@ -167,7 +194,9 @@ def q_share_invariant(spark, sf):
 
 @query("profile_quantiles")
 def q_profile_quantiles(spark, sf):
-    return Q.quantile_summary(fingerprint(spark, sf), "total_attempts", exact=True)
+    ensure_checkpoint_dir(spark)  # the passes of the selection read the fingerprint, not the facts
+    fp = fingerprint(spark, sf).select("total_attempts").checkpoint(eager=True)
+    return Q.quantile_summary(fp, "total_attempts", exact=True)
 
 
 @query("residual_check")
@@ -315,14 +344,12 @@ def q_point_lookup(spark, sf):
 
 @query("era_report")
 def q_era_report(spark, sf):
-    """E1 = A2 + W1 + W2 + F10: per season rate, change, window and steepest flags."""
-    y = q_yoy(spark, sf)
-    top = W.steepest_change(y, COLS.season).select(F.col(COLS.season).alias("_top"))
+    """E1 = A2 + W1 + W2 + F10: per season rate, change, window and steepest flags, from one yearly table."""
     lo, hi = VIEW_WINDOW
-    return (y.join(F.broadcast(top), F.col(COLS.season) == F.col("_top"), "left")
+    return (q_yoy(spark, sf)
             .select(COLS.season, "three_pt_rate_pct", "yoy_change",
                     S.window_flag(COLS.season, lo, hi).alias("in_window"),
-                    F.col("_top").isNotNull().alias("is_steepest"))
+                    W.is_steepest(COLS.season).alias("is_steepest"))
             .orderBy(COLS.season))
 
 
@@ -350,12 +377,23 @@ def q_zone_gap(spark, sf):
     return A.relative_to(q_zone_efficiency(spark, sf), COLS.zone, "pts_per_attempt", "Mid-Range")
 
 
+#: Columns that tell rows of the view apart, for samples and splits.
+ROW_KEYS = ["GAME_ID", "QUARTER", "PLAYER_ID", "SECS_LEFT", "LOC_X"]
+
+
 @query("sampled_zone_efficiency")
 def q_sampled(spark, sf):
     """the zone table on a repeatable 5 % sample (hash of the row key)."""
-    df = S.key_sample(processed(spark, sf), ["GAME_ID", "QUARTER", "PLAYER_ID", "SECS_LEFT", "LOC_X"],
-                      0.05, 42)
-    return A.efficiency_by(df, COLS.zone)
+    return A.efficiency_by(S.key_sample(processed(spark, sf), ROW_KEYS, 0.05, 42), COLS.zone)
+
+
+@query("split_counts")
+def q_split_counts(spark, sf):
+    """rows and makes of each part of the repeatable 80/20 split, per season."""
+    parts = S.key_split(processed(spark, sf), ROW_KEYS, (0.8, 0.2), 42)
+    counted = [p.groupBy(COLS.season).agg(F.count(F.lit(1)).alias("n"), F.sum(COLS.made_int).cast("long").alias("n_made"))
+               .select(F.lit(name).alias("part"), COLS.season, "n", "n_made") for name, p in zip(("train", "test"), parts)]
+    return counted[0].unionByName(counted[1])
 
 
 @query("events_breakdown")
@@ -376,6 +414,13 @@ def q_lineitem_quantiles(spark, sf):
     return Q.quantile_summary(read_table(spark, sf, "lineitem"), "l_quantity", exact=True)
 
 
+@query("price_quantiles")
+def q_price_quantiles(spark, sf):
+    """Q14 on nearly distinct values: exact quantiles of l_extendedprice by distributed selection."""
+    return Q.quantile_summary(read_table(spark, sf, "lineitem"), "l_extendedprice", probs=(0.01, 0.25, 0.5, 0.75, 0.99),
+                              exact=True, digits=6)
+
+
 @query("events_daily_trend")
 def q_events_trend(spark, sf):
     """W1 + W2 on ``events``: events per type and day, change from the
