@@ -196,9 +196,14 @@ class Index:
         bits[(values & np.uint64(0xFFFF)).astype(np.int64)] = True
         return bits
 
-    def candidates(self, words: np.ndarray, stops: np.ndarray) -> set[tuple[int, int]]:
-        """(item, word where the item would start) of all collisions; stops: end mark of each word's text."""
-        found: set[tuple[int, int]] = set()
+    def candidates(self, words: np.ndarray, stops: np.ndarray) -> set[tuple[int, int, int]]:
+        """(item, end mark of the text, word where the item would start) of all collisions.
+
+        ``stops`` are the end marks of the words' texts.  The text is that of
+        the walk's own words: an item whose first words are missing would start
+        before it, maybe inside another text.
+        """
+        found: set[tuple[int, int, int]] = set()
         starts = np.flatnonzero(words != _END).astype(np.int32)
         low = (words & np.uint64(0xFFFF)).astype(np.uint16)
         for walk, (firsts, keys, late), screen in zip(self.walks, self.tables, self.screen):
@@ -222,7 +227,7 @@ class Index:
                 right = np.searchsorted(full_keys, full, "right")
                 for i in np.flatnonzero(right > left):
                     for k in range(left[i], right[i]):
-                        found.add((int(items[k]), int(at[i] - offsets[k])))
+                        found.add((int(items[k]), int(stops[at[i]]), int(at[i] - offsets[k])))
         return found
 
 
@@ -268,23 +273,20 @@ def search(index: Index, buf: np.ndarray, offsets: np.ndarray, max_share: float
     sizes = np.diff(first)
     text = np.repeat(np.arange(n), sizes)
     words = np.zeros(len(hashes) + n, np.uint64)
-    place = np.arange(len(hashes)) + text
-    words[place] = hashes
-    marks = first[1:] + np.arange(n)
+    words[np.arange(len(hashes)) + text] = hashes
+    lows = first[:-1] + np.arange(n)
+    marks = lows + sizes
     stops = np.repeat(marks, sizes + 1).astype(np.int32)
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    tried: set[tuple[int, int]] = set()
-    for item, start in sorted(index.candidates(words, stops)):
+    tried: set[tuple[int, int, int]] = set()
+    for item, mark, start in sorted(index.candidates(words, stops)):
         m = len(index.words[item])
         slack = int(max_share * m)
-        anchor = min(max(start, 0), len(words) - 1)
-        owner = int(np.searchsorted(marks, max(start, 0) if start > 0 else 0, "left"))
-        owner = min(owner, n - 1)
-        low = int(first[owner]) + owner
-        a, b = max(low, anchor - slack), min(int(marks[owner]), anchor + m + slack)
-        if (item, a) in tried or b <= a or best.get((owner, item), (1, 0))[0] == 0:
+        owner = int(np.searchsorted(marks, mark))
+        a, b = max(int(lows[owner]), start - slack), min(mark, start + m + slack)
+        if (item, a, b) in tried or b <= a or best.get((owner, item), (1, 0))[0] == 0:
             continue
-        tried.add((item, a))
+        tried.add((item, a, b))
         distance, end = edit_distance_in(index.masks[item], m, words[a:b].tolist())
         if distance <= slack and (distance, a) < best.get((owner, item), (m + 1, 0)):
             best[owner, item] = (distance, a + max(end, 1) - 1)
@@ -343,7 +345,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``doc_id, contaminated, n_items, min_distance, item_ids``, one row per document row."""
+    """``doc_id, contaminated, n_items, min_distance, item_ids``, one row per document row.
+
+    Null and empty texts hold nothing; repeated rows repeat, a null id stays
+    null, other columns are ignored, whatever their names.  What is found in a
+    text does not depend on the texts beside it.
+    """
     m = matches(docs, benchmark, **options)
     return m.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), F.size("item_ids").alias("n_items"),
                     F.array_min("distances").alias("min_distance"), F.array_sort("item_ids").alias("item_ids"))
@@ -351,7 +358,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", max_share: float = MAX_EDIT_SHARE, repetitions: int = REPETITIONS) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found, all columns; null and empty texts stay."""
+    """The rows of ``docs`` in which no benchmark item is found, all columns, whatever their names.
+
+    Null and empty texts stay, of repeated rows all stay or go, texts of any
+    length are searched whole; an empty benchmark leaves everything.
+    """
     for index in _indexes(benchmark, item_col, item_text_col, repetitions):
         place = docs.columns.index(text_col)
 

@@ -79,6 +79,71 @@ def test_recall_at_the_largest_edit_share():
         assert np.mean([(k, k) in got for k, _ in items]) >= 0.99, m
 
 
+def found_in(index, texts):
+    """What a slice of all texts together gives: {(text, item): distance}."""
+    out = {}
+    for at, buf, offsets in slices(pa.array(texts, pa.string()), 1 << 30):
+        out |= {(at + owner, index.ids[i]): d for owner, i, d, _ in decontam.search(index, buf, offsets)}
+    return out
+
+
+def test_documents_that_begin_or_end_inside_an_item():
+    """The same found alone and between any neighbours, wherever up to a fifth of the item's words is missing."""
+    for m, missing in ((8, 1), (10, 2), (20, 2), (20, 4), (40, 6), (40, 8), (100, 10), (100, 20), (300, 60)):
+        rng = random.Random(m * missing)
+        vocabulary = [f"v{i}" for i in range(3000)]
+        draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+        items = [(k, " ".join(draw(m))) for k in range(100)]
+        index = decontam.Index(items)
+        for cut_start in (True, False):
+            texts = []
+            for _, text in items:
+                w = text.split()
+                texts.append(" ".join(w[missing:] + draw(rng.randint(0, 30)) if cut_start else draw(rng.randint(0, 30)) + w[:-missing]))
+            alone = {(k, i): d for k, t in enumerate(texts) for (_, i), d in found_in(index, [t]).items()}
+            assert np.mean([(k, k) in alone for k, _ in items]) >= 0.99, (m, missing, cut_start)
+            assert found_in(index, texts) == alone
+            order = rng.sample(range(100), 100)
+            between = found_in(index, [x for k in order for x in (" ".join(draw(rng.randint(0, 50))), texts[k])])
+            assert {(order[t // 2], i): d for (t, i), d in between.items() if t % 2} == alone
+
+
+def test_query_over_all_windows_by_brute_force(spark):
+    """Edited items among neighbouring documents, against the edit distance of every document, at any partition count."""
+    rng = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(400)]
+    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = {k: draw(rng.choice((8, 12, 20, 35))) for k in range(12)}
+    docs = {}
+    for d in range(300):
+        w = list(items[rng.randrange(12)])
+        for _ in range(rng.randint(0, len(w) // 5)):
+            at = rng.randrange(len(w))
+            w[at: at + 1] = rng.choice(([], [rng.choice(vocabulary)], [w[at], rng.choice(vocabulary)]))
+        docs[d] = rng.choice(([], draw(rng.randint(0, 40)))) + w[rng.randint(0, 1):] + rng.choice(([], draw(rng.randint(0, 40))))
+    want = {}
+    for d, w in docs.items():
+        for k, item in items.items():
+            row = [0] * (len(w) + 1)
+            for i, x in enumerate(item, 1):
+                new = [i]
+                for j, y in enumerate(w, 1):
+                    new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+                row = new
+            if min(row) <= int(decontam.MAX_EDIT_SHARE * len(item)):
+                want[d, k] = min(row)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id bigint, text string")
+    results = []
+    for parts in (1, 2, 7):
+        df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id bigint, text string").coalesce(1)
+        df = df if parts == 1 else df.repartition(parts, "doc_id")
+        results.append({(r.doc_id, i): x for r in decontam.matches(df, bench).collect() for i, x in zip(r.item_ids, r.distances)})
+        assert {r.doc_id for r in decontam.clean(df, bench).collect()} == set(docs) - {d for d, _ in results[-1]}
+    assert results[0] == results[1] == results[2]
+    assert set(results[0]) <= set(want) and len(results[0]) >= 0.99 * len(want)
+    assert all(results[0][x] == want[x] for x in results[0])
+
+
 def test_edge_rows(spark):
     df = edge_frame(spark)
     bench = spark.createDataFrame([(1, words(10, 40)), (1, words(10, 40)), (2, None), (None, words(0, 20)), (3, "too few words"),
