@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import bounded_sample
-from .shared import slices
+from .shared import cut, slices
 from .words import NOT_LETTER, word_hashes
 
 #: log2 of the embedding rows, and values in each; row 0 pads.
@@ -26,9 +26,9 @@ BUCKET_BITS = 16
 DIMS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-#: Labelled documents of each label that the fit may see, and their longest text in characters.
+#: Labelled documents of each label that the fit may see, and the words of all their texts together.
 DOCS_PER_LABEL = 4000
-MAX_CHARS = 8000
+MOST_WORDS = 20_000_000
 EPOCHS = 4
 #: A small sample is gone through more often, up to this many steps.
 LEAST_STEPS = 400
@@ -166,13 +166,16 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
 
 def train(texts: list[str], labels: list[int], languages: list[str | None], seed: int = 11,
           min_calibration: int = 50) -> TextCnn | None:
-    """A classifier with thresholds by language; None unless both labels occur."""
+    """A classifier of texts, with thresholds by language; None unless both labels occur."""
+    raw = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    return train_rows([word_buckets(r, np.array([0, len(r)]))[0] for r in raw], labels, languages, seed, min_calibration)
+
+
+def train_rows(rows: list[np.ndarray], labels: list[int], languages: list[str | None], seed: int = 11,
+               min_calibration: int = 50) -> TextCnn | None:
+    """As ``train``, from the embedding rows of each text."""
     if len(set(labels)) < 2:
         return None
-    rows = []
-    for t in texts:
-        raw = np.frombuffer(t.encode(), np.uint8)
-        rows.append(word_buckets(raw, np.array([0, len(raw)]))[0])
     rng = np.random.default_rng(seed)
     back = rng.random(len(rows)) < HELD_BACK
     ys = np.array(labels)
@@ -196,21 +199,39 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
         lang_col: str = "lang", label_col: str = "toxic", docs_per_label: int = DOCS_PER_LABEL) -> TextCnn | None:
     """Fit on at most ``docs_per_label`` (with a fifth of slack) labelled documents of each label where ``learn`` holds.
 
-    Texts longer than ``MAX_CHARS`` characters are left to others in the sample.
+    Whole texts of any length take part: the tasks turn those of the sample
+    into embedding rows, two bytes a word, and the documents are taken in the
+    order of the draw until their words would pass ``MOST_WORDS``.
     """
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(
         "id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
-    usable = docs.where(learn & F.col(text_col).isNotNull() & (F.length(text_col) <= MAX_CHARS))
-    # the sample is drawn without the texts; those of its rows, a bounded number, are fetched afterwards
-    rows = usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).join(marks, "id").distinct()
+    usable = docs.where(learn & F.col(text_col).isNotNull())
+    # the sample is drawn without the texts; those of its rows, a bounded number, are worked on afterwards
+    rows = usable.select(F.col(id_col).cast("bigint").alias("id"), F.col(lang_col).alias("lang")).join(marks, "id").distinct()
     sample = {r.id: r for r in bounded_sample(rows, "label", F.col("id"), docs_per_label)}
     if not sample:
         return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, buf, offsets in slices(batch.column(1)):
+                found, starts = word_buckets(buf, offsets)
+                found = found.astype(np.uint16)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(offsets) - 1),
+                     pa.array([found[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])], pa.binary())], ["id", "words"])
+
     ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(sample)], "id bigint")
-    texts = (usable.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-             .join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text")).collect())
-    found = sorted((sample[r.id].label, str(r.id), r.text, sample[r.id].lang) for r in texts)
-    return train([f[2] for f in found], [f[0] for f in found], [f[3] for f in found])
+    texts = cut(usable.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+                .join(F.broadcast(ids), "id").mapInArrow(run, "id bigint, words binary")
+                .groupBy("id").agg(F.min("words").alias("words")))
+    sizes = {r.id: r.n // 2 for r in texts.select("id", F.octet_length("words").alias("n")).collect()}
+    order = [i for i in sample if i in sizes]
+    total = np.cumsum([sizes[i] for i in order])
+    chosen = [i for i, t in zip(order, total.tolist()) if t <= MOST_WORDS]
+    found = sorted((sample[r.id].label, str(r.id), bytes(r.words), sample[r.id].lang)
+                   for r in texts.where(F.col("id").isin(chosen) if len(chosen) < len(order) else F.lit(True)).collect())
+    return train_rows([np.frombuffer(f[2], np.uint16).astype(np.int64) for f in found], [f[0] for f in found], [f[3] for f in found])
 
 
 def score(docs: DataFrame, model: TextCnn | None, id_col: str = "doc_id", text_col: str = "text",

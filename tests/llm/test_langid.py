@@ -48,3 +48,37 @@ def test_edge_rows(spark):
     assert {r.lang_pred for r in langid.identify(df, None).collect()} == {"und"}
     assert langid.fit(empty_frame(spark), F.lit(True)) is None
     assert langid.identify(empty_frame(spark), net).collect() == []
+
+
+def test_a_language_seen_only_late_in_long_texts_is_learned(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").where("lang IN ('en', 'de')").limit(120)
+    blank = "1 " * 15000
+    rows = [(r.doc_id, blank + " ".join([r.text or ""] * 10), r.lang) for r in docs.collect()]
+    net = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), F.lit(True))
+    out = langid.identify(docs.where("length(text) > 200"), net).collect()
+    assert np.mean([r.lang_pred == r.lang for r in out]) > 0.95
+
+
+def test_texts_of_no_learned_language_are_rejected_and_others_stay(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    rest = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    net = langid.fit(docs, rest == 0)
+    rng = np.random.default_rng(3)
+    noise = ["".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 300)) for _ in range(5)]
+    noise += [" ".join("".join(rng.choice(list("qwxzjkvbp"), 7)) for _ in range(60))]
+    other = ["今天天气很好我们去公园散步吧" * 20, "Сегодня хорошая погода и мы идём гулять " * 10, "Η θάλασσα είναι ήρεμη σήμερα " * 10]
+    strange = spark.createDataFrame([(i, t) for i, t in enumerate(noise + other)], "doc_id bigint, text string")
+    assert {r.lang_pred for r in langid.identify(strange, net, reject=True).collect()} == {"und"}
+    assert "und" not in {r.lang_pred for r in langid.identify(strange, net).collect()}
+    left = docs.where((rest == 1) & F.col("text").rlike("[A-Za-z]"))
+    kept = [r.lang_pred != "und" for r in langid.identify(left, net, reject=True).collect()]
+    assert np.mean(kept) >= 0.99
+
+
+def test_known_shares():
+    net = langid.Network(["en"], {})
+    texts = [b"abcd", b"", b"ab", b"ABCX", b"1234", b"xyz abcd"]
+    buf, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    assert langid.known_shares(net, buf, offsets).tolist() == [1.0] * 6
+    langid.learn_spelling(net, [[b"abcd"]] * 50)
+    assert langid.known_shares(net, buf, offsets).tolist() == [1.0, 1.0, 1.0, 0.5, 1.0, 2 / 5] and net.least_known > 0.7

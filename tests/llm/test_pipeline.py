@@ -20,7 +20,7 @@ def test_stages(spark):
     docs, _, before, after = seen["language"]
     assert {r.doc_id for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")} == after
     docs, _, before, after = seen["near_duplicates"]
-    assert after == {r.doc_id for r in minhash.near_duplicates(docs).collect() if r.kept}
+    assert after == {r.doc_id for r in minhash.near_duplicates(docs, percent=80).collect() if r.kept}
     docs, _, before, after = seen["decontamination"]
     bench = spark.read.parquet(f"{MIDDLE}/benchmark.parquet")
     assert before - after == {r.doc_id for r in decontam.contaminated(docs, bench).collect() if r.contaminated}

@@ -71,3 +71,28 @@ def test_decision_takes_the_threshold_of_the_language(spark):
     assert {r.doc_id: r.decision for r in toxicity.score(df, model, lang_col="lang").collect()} == {0: 1, 1: 0, 2: 1, 3: 1, 4: 1}
     assert {r.decision for r in toxicity.score(df, None, lang_col="lang").collect()} == {0}
     assert toxicity.score(df, model).columns == ["doc_id", "score"]
+
+
+def test_long_labelled_texts_take_part(spark):
+    learn, new = corpus(240, 6), corpus(120, 7)
+    filler = " ".join(f"zz{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(4000))
+    docs = spark.createDataFrame([(i, filler + " " + t, "en") for i, (t, _) in enumerate(learn)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(learn)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    got = toxicity.score(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(new)], "doc_id bigint, text string"), model).collect()
+    p, y = np.array([r.score for r in sorted(got, key=lambda r: r.doc_id)]), np.array([y for _, y in new])
+    assert (p[y == 1][:, None] > p[y == 0][None, :]).mean() > 0.9
+
+
+def test_sample_ends_at_its_words(spark, monkeypatch):
+    learn = corpus(60, 8)
+    docs = spark.createDataFrame([(i, t, "en") for i, (t, _) in enumerate(learn)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(learn)], "doc_id bigint, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train_rows", lambda rows, *a: seen.append(rows))
+    toxicity.fit(docs, labels, F.lit(True))
+    monkeypatch.setattr(toxicity, "MOST_WORDS", 2000)
+    toxicity.fit(docs, labels, F.lit(True))
+    assert len(seen[0]) == 60 and 0 < len(seen[1]) < 60 and sum(map(len, seen[1])) <= 2000
+    raw = np.frombuffer(learn[0][0].encode(), np.uint8)
+    assert any((r == toxicity.word_buckets(raw, np.array([0, len(raw)]))[0]).all() for r in seen[0] if len(r) == len(learn[0][0].split()) + 3)
