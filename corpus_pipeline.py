@@ -11,19 +11,21 @@ from pyspark.sql import functions as F
 from shotframe.llm import decontam, langid, minhash, mixing, sharding
 from shotframe.llm.shared import load, stored
 
-#: A document whose best language has less than this probability is rejected.
-MIN_LANGUAGE_SCORE = 0.3
 SHARDS = 8
-#: Documents of at least this similarity are near-duplicates; test_stages holds the stage to op1's 85.
-NEAR_PERCENT = 85
+#: Documents of at least this similarity (percent) are near-duplicates.
+NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; null, empty and letterless texts go."""
+    """Documents whose language can be told.
+
+    Null, empty and letterless texts go, and those whose spelling is of no
+    language that the labelled documents teach.  Repeated rows all stay or go,
+    columns of any name stay as they are.
+    """
     net = langid.fit(docs, F.lit(True))
-    found = langid.identify(docs, net, pred_col="_pred", score_col="_score")
-    return found.where((F.col("_pred") != langid.UNDETERMINED) & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select(
-        *docs.columns)
+    found = langid.identify(docs, net, pred_col="__told_language", score_col="__told_score", reject=True)
+    return found.where(F.col("__told_language") != langid.UNDETERMINED).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = NEAR_PERCENT) -> DataFrame:
