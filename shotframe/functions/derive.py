@@ -105,7 +105,7 @@ def derive_shots(df: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS) -> DataFram
     made_int = bool_to_int(cols.made)
     secs = clock_seconds(cols.mins_left, cols.secs_left)
     is3 = F.col(cols.shot_type) == THREE_PT_TYPE
-    shot_value = F.when(is3, 3).otherwise(2)
+    shot_value = value_map(cols.shot_type, {THREE_PT_TYPE: 3}, 2)
     return df.withColumns({
         "SHOT_MADE_INT": made_int,
         "GAME_DATE_PARSED": parse_date(cols.game_date, cols.date_format),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import era_label, row_sum, share
 from ..schema import DEFAULT_COLUMNS, ShotColumns
+from .select import min_support
 
 
 def pct(num: Column, den: Column, digits: int = 1) -> Column:
@@ -127,8 +128,7 @@ def share_fingerprint(df: DataFrame, cols: ShotColumns = DEFAULT_COLUMNS,
     cnt = [b + "_cnt" for b in bases]
     minimum = cols.min_attempts if min_attempts is None else min_attempts
     counts = pivot_counts(df, keys, cols.zone, zones, cnt)
-    out = (counts.withColumn("total_attempts", row_sum(cnt))
-           .filter(F.col("total_attempts") >= minimum))
+    out = min_support(counts.withColumn("total_attempts", row_sum(cnt)), "total_attempts", minimum)
     out = out.withColumns({b + "_share": share(b + "_cnt", "total_attempts") for b in bases})
     return out.withColumn("ERA", era_label(cols.season, [cols.era_split], ["pre", "post"]))
 

@@ -33,12 +33,12 @@ def value_cells(df: DataFrame, columns: Iterable[str], sums: dict[str, Column] |
         F.count(F.lit(1)).alias(N), *[F.sum(x).cast("long").alias(k) for k, x in (sums or {}).items()])
 
 
-def values_of_cells(cells: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """``column_name, level, n``: rows per value (as text, null included) of each column."""
+def values_of_cells(cells: DataFrame, columns: Iterable[str], sums: Iterable[str] = ()) -> DataFrame:
+    """``column_name, level, n`` and the sums: rows per value (as text, null included) of each column."""
     columns = list(columns)
     parts = ", ".join(f"{literal(c)}, CAST({quoted(c)} AS STRING)" for c in columns)
-    stacked = cells.select(N, F.expr(f"stack({len(columns)}, {parts}) AS (column_name, level)"))
-    return stacked.groupBy("column_name", "level").agg(F.sum(N).alias(N))
+    stacked = cells.select(N, *sums, F.expr(f"stack({len(columns)}, {parts}) AS (column_name, level)"))
+    return stacked.groupBy("column_name", "level").agg(*[F.sum(s).alias(s) for s in (N, *sums)])
 
 
 def profile_of_cells(cells: DataFrame, dims: dict[str, str], sums: Iterable[str] = ()) -> DataFrame:

@@ -8,10 +8,50 @@ are parameters, so the same operators summarise any long table.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import feature_category, replace_all
+from . import cells as CE
+from .select import magnitude_flag, nonzero, regex_exclude
+
+
+def screening_path(df: DataFrame, label: str, numeric: Iterable[str], categorical: Iterable[str], penalties: Iterable[float],
+                   digits: int = 9) -> DataFrame:
+    """The one-feature-at-a-time L1 path (regParam, feature, coefficient).
+
+    With standardised features that do not overlap, the L1 path has a closed
+    form: a feature's correlation with the 0/1 label, shrunk by the penalty.
+    It screens features before a joint fit.  Numeric features take one
+    aggregate of the facts, the levels of all categorical ones (named as the
+    one-hot slots are) the additive cells of another; a feature or a label
+    without variance gets 0.  Penalties go with the feature table, one row
+    each per feature.
+    """
+    numeric, categorical = list(numeric), list(categorical)
+    y = F.col(CE.quoted(label)).cast("int")
+    one = df.agg(*[F.coalesce(F.corr(F.col(CE.quoted(c)).cast("double"), y.cast("double")), F.lit(0.0)).alias(f"c{i}")
+                   for i, c in enumerate(numeric)])
+    parts = ", ".join(f"{CE.literal(c)}, c{i}" for i, c in enumerate(numeric))
+    found = one.select(F.expr(f"stack({len(numeric)}, {parts}) AS (feature, c)"))
+    cells = CE.value_cells(df.where(y.isNotNull()), categorical, {"made": y})
+    whole = Window.partitionBy("column_name")  # a column's levels: a bounded domain
+    levels = CE.values_of_cells(cells, categorical, ["made"]).withColumns(
+        {"all_n": F.sum(CE.N).over(whole), "all_made": F.sum("made").over(whole)}).where(F.col("level").isNotNull())
+    n, m, a, b = (F.col(c).cast("double") for c in (CE.N, "made", "all_n", "all_made"))
+    c = F.coalesce(F.try_divide(a * m - n * b, F.sqrt(n * (a - n)) * F.sqrt(b * (a - b))), F.lit(0.0))
+    found = found.unionByName(levels.select(F.concat("column_name", F.lit("_ohe_"), "level").alias("feature"), c.alias("c")))
+    shrunk = F.greatest(F.abs("c") - F.col("regParam"), F.lit(0.0))
+    return (found.withColumn("c", F.round("c", digits))
+            .withColumn("regParam", F.explode(F.array(*[F.lit(float(p)) for p in penalties])))
+            .select("regParam", "feature", (F.round(F.sign("c") * shrunk, digits) + 0.0).alias("coefficient")))  # no -0.0
+
+
+def active_features(path: DataFrame, param: str = "regParam", value: str = "coefficient", feature: str = "feature") -> DataFrame:
+    """F8: the features with a non-zero value at each param."""
+    return nonzero(path, value).select(param, feature)
 
 
 def active_counts(path: DataFrame, param: str = "regParam", value: str = "coefficient",
@@ -94,10 +134,7 @@ def coefficient_table(coefs: DataFrame, exclude=("Back Court",), threshold: floa
     kept = false), adds the report label and the feature category, sorted by
     coefficient ascending.
     """
-    rx = "(?i)" + "|".join(exclude)
-    return (coefs.filter(~F.col(feature).rlike(rx))
-            .select(feature, value,
-                    (F.abs(F.col(value)) >= threshold).alias("kept"),
-                    feature_category(feature).alias("category"),
-                    replace_all(feature).alias("label"))
+    kept = magnitude_flag(regex_exclude(coefs, feature, exclude), value, threshold)
+    return (kept.select(feature, value, "kept", feature_category(feature).alias("category"),
+                        replace_all(feature).alias("label"))
             .orderBy(value, feature))

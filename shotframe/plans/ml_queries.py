@@ -12,14 +12,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.derive import add_action_group
+from ..operators import aggregate as A
 from ..operators import archetypes as C
 from ..operators import features as FE
 from ..operators import kmeans as KM
 from ..operators import path as PT
-from ..schema import CATEGORICAL_FEATURES, HEADLINE_PENALTY
+from ..operators.models import headline_coefficients
+from ..schema import CATEGORICAL_FEATURES, HEADLINE_PENALTY, LASSO_PENALTIES, NUMERIC_FEATURES
 from . import clustering as CL
 from . import modelling as MO
-from .queries import COLS, ROW_KEYS, SHARES, fingerprint, processed, query
+from .queries import COLS, ROW_KEYS, SHARES, given_groups, fingerprint, processed, query
 
 # The split hashes a row key.  The view has no unique key column; these five
 # together are near-unique (rows sharing all five land on the same side,
@@ -211,3 +213,76 @@ def q_archetypes(spark, sf):
 @query("centroids")
 def q_centroids(spark, sf):
     return archetype_run(spark, sf).centroids()
+
+
+# ------------------------------------------------------------ path operators on a closed-form path
+# The joint fits have no SQL.  The operators over their tables are also run on the screening path, which has.
+def screening(spark, sf):
+    df = add_action_group(processed(spark, sf), COLS)
+    return PT.screening_path(df, COLS.made_int, NUMERIC_FEATURES, CATEGORICAL_FEATURES, LASSO_PENALTIES)
+
+
+@query("screen_path")
+def q_screen_path(spark, sf):
+    """M7 in closed form: correlations with the label, shrunk by each penalty."""
+    return screening(spark, sf)
+
+
+@query("screen_active_features")
+def q_screen_active(spark, sf):
+    """F8: features active at each penalty."""
+    return PT.active_features(screening(spark, sf))
+
+
+@query("screen_active_counts")
+def q_screen_counts(spark, sf):
+    """A10 + W11: active features per penalty and the change from the stronger one."""
+    return PT.monotone_steps(PT.active_counts(screening(spark, sf)))
+
+
+@query("screen_wide")
+def q_screen_wide(spark, sf):
+    """One column per numeric feature."""
+    return PT.path_wide(screening(spark, sf), NUMERIC_FEATURES)
+
+
+@query("screen_top_features")
+def q_screen_top(spark, sf):
+    """A12 + W9: the eight features of the largest peak."""
+    return PT.top_features(screening(spark, sf), 8)
+
+
+@query("screen_summary")
+def q_screen_summary(spark, sf):
+    """A12 + W9 + W10 + L1: peak, entry penalty, entry rank and top flag per feature."""
+    return PT.path_summary(screening(spark, sf), 8)
+
+
+@query("screen_coef_table")
+def q_screen_coefs(spark, sf):
+    """M8 + L2 + F6 + F7 + P18 + P19: the report table at the headline penalty."""
+    return PT.coefficient_table(headline_coefficients(screening(spark, sf), HEADLINE_PENALTY))
+
+
+# ------------------------------------------------------------ cluster tables on a given grouping
+def given_profile(spark, sf):
+    return A.mean_profile(given_groups(spark, sf), "cluster", SHARES, 3)
+
+
+@query("group_centroids")
+def q_group_centroids(spark, sf):
+    """A9 + F11: size and mean shares per group."""
+    return A.centroids(given_groups(spark, sf), "cluster", SHARES, digits=6)
+
+
+@query("group_names")
+def q_group_names(spark, sf):
+    """Names read off the groups' profile."""
+    return C.name_clusters(given_profile(spark, sf))
+
+
+@query("group_shift")
+def q_group_shift(spark, sf):
+    """R13 + J2 + P21: the era table with names, signed change and label height."""
+    era = A.group_comparison(given_groups(spark, sf), "cluster", "ERA", ("pre", "post"))
+    return C.archetype_shift(era, C.name_clusters(given_profile(spark, sf)))

@@ -8,7 +8,9 @@ integers is HUGEINT, so sums are cast to BIGINT).
 
 from __future__ import annotations
 
-from ..schema import K_RANGE, LASSO_PENALTIES, N_PCA, ZONE_TO_BASE
+from ..functions.text import ACTION_PREFIX, CONTEXT_FEATURES, LABEL_REPLACEMENTS
+from ..operators.archetypes import ARCHETYPE_SIGNATURES, VERSATILE_NAME
+from ..schema import HEADLINE_PENALTY, K_RANGE, LASSO_PENALTIES, N_PCA, ZONE_TO_BASE
 from ..sources.shot_view import (VIEW_COLUMNS, VIEW_POINT_SEASON, VIEW_RECENT_SEASON,
                                  VIEW_WINDOW, duckdb_view_sql)
 
@@ -379,3 +381,65 @@ sql("pca_loadings", f", {_pca_ctes(N_PCA)}\n" + _union(
 sql("explained_variance", f", {_pca_ctes(N_PCA)}\n" + f"""SELECT component, round(x, 9) AS explained_variance,
  round(sum(x) OVER (ORDER BY component), 9) AS cumulative FROM (""" + _union(
     [f"SELECT CAST({c + 1} AS INT) AS component, e{c}.e / {_D} AS x FROM e{c}" for c in range(N_PCA)]) + ")")
+
+
+# ------------------------------------------------------------------ path operators on the screening path
+def _screened(body: str) -> str:
+    numeric = [f"SELECT '{c}' AS feature, coalesce(corr(CAST({c} AS DOUBLE), CAST(SHOT_MADE_INT AS DOUBLE)), 0) AS c FROM pa" for c in _num]
+    levels = [f"""SELECT '{c}_ohe_' || {c} AS feature, coalesce((a * m - n * b) / nullif(sqrt(n * (a - n)) * sqrt(b * (a - b)), 0), 0) AS c
+FROM (SELECT {c}, CAST(n AS DOUBLE) AS n, CAST(m AS DOUBLE) AS m, CAST(sum(n) OVER () AS DOUBLE) AS a, CAST(sum(m) OVER () AS DOUBLE) AS b
+ FROM (SELECT {c}, count(*) AS n, sum(SHOT_MADE_INT) AS m FROM pa GROUP BY {c})) WHERE {c} IS NOT NULL""" for c in _CATS]
+    return f""", {_PA}, one AS (SELECT feature, round(c, 9) AS c FROM ({_union(numeric + levels)})),
+path AS (SELECT CAST(p AS DOUBLE) AS "regParam", feature, round(sign(c) * greatest(abs(c) - p, 0), 9) + 0.0 AS coefficient
+ FROM one, (VALUES {", ".join(f"(CAST({p} AS DOUBLE))" for p in LASSO_PENALTIES)}) t(p)),
+peaks AS (SELECT feature, max(abs(coefficient)) AS peak_abs,
+ max(CASE WHEN coefficient <> 0 THEN "regParam" END) AS entry_param FROM path GROUP BY feature)
+{body}"""
+
+
+_label = "feature"
+for _old, _new in LABEL_REPLACEMENTS:
+    _label = f"replace({_label}, '{_old}', '{_new}')"
+sql("screen_path", _screened("SELECT * FROM path"))
+sql("screen_active_features", _screened('SELECT "regParam", feature FROM path WHERE coefficient <> 0'))
+sql("screen_active_counts", _screened("""SELECT *, n_active - lag(n_active) OVER w AS change,
+ coalesce(n_active >= lag(n_active) OVER w, true) AS non_decreasing
+FROM (SELECT "regParam", CAST(count_if(coefficient <> 0) AS BIGINT) AS n_active, CAST(count(*) AS BIGINT) AS n_features
+ FROM path GROUP BY 1) WINDOW w AS (ORDER BY "regParam" DESC)"""))
+sql("screen_wide", _screened('SELECT "regParam", ' + ", ".join(
+    f"max(CASE WHEN feature = '{c}' THEN coefficient END) AS {c}" for c in _num) + " FROM path GROUP BY 1"))
+sql("screen_top_features", _screened("SELECT feature, peak_abs FROM peaks ORDER BY peak_abs DESC, feature LIMIT 8"))
+sql("screen_summary", _screened("""SELECT feature, peak_abs, entry_param,
+ CASE WHEN entry_param IS NOT NULL THEN CAST(dense_rank() OVER (ORDER BY entry_param DESC NULLS LAST) AS INT) END AS entry_rank,
+ row_number() OVER (ORDER BY peak_abs DESC, feature) <= 8 AS in_top FROM peaks"""))
+sql("screen_coef_table", _screened(f"""SELECT feature, coefficient, abs(coefficient) >= 0.02 AS kept,
+ CASE WHEN starts_with(feature, '{ACTION_PREFIX}') THEN 'Action'
+  WHEN feature IN ({", ".join(f"'{c}'" for c in CONTEXT_FEATURES)}) THEN 'Context' ELSE 'Location' END AS category, {_label} AS label
+FROM path WHERE "regParam" = {HEADLINE_PENALTY} AND NOT regexp_matches(feature, '(?i)Back Court')"""))
+
+# ------------------------------------------------------------------ cluster tables on a given grouping
+sql("group_centroids", "SELECT CAST(PLAYER_ID % 5 AS INT) AS cluster, CAST(count(*) AS BIGINT) AS n, "
+    + ", ".join(f"round(avg({s}), 6) AS {s}" for s in _SHARES) + " FROM fp GROUP BY 1")
+
+
+def _named(body: str) -> str:
+    """Signatures taken greedily by z-score: each round the best pair of a free name and a free group."""
+    z = [f"""SELECT '{name}' AS name, cluster, (v - avg(v) OVER ()) / coalesce(nullif(stddev_samp(v) OVER (), 0), 1) AS z
+FROM (SELECT cluster, {" + ".join(cols)} AS v FROM prof)""" for name, cols in ARCHETYPE_SIGNATURES]
+    ctes = ["prof AS (SELECT CAST(PLAYER_ID % 5 AS INT) AS cluster, " + ", ".join(f"round(avg({s}), 3) AS {s}" for s in _SHARES)
+            + " FROM fp GROUP BY 1)", f"marks AS ({_union(z)})"]
+    taken = []
+    for i in range(len(ARCHETYPE_SIGNATURES)):
+        free = " AND ".join(f"name <> (SELECT name FROM t{j}) AND cluster <> (SELECT cluster FROM t{j})" for j in taken) or "true"
+        ctes.append(f"t{i} AS MATERIALIZED (SELECT name, cluster FROM marks WHERE {free} ORDER BY z DESC, cluster, name LIMIT 1)")
+        taken.append(i)
+    ctes.append("named AS (" + _union([f"SELECT cluster, name AS archetype FROM t{i}" for i in taken])
+                + f" UNION ALL SELECT cluster, '{VERSATILE_NAME}' FROM prof WHERE "
+                + " AND ".join(f"cluster <> (SELECT cluster FROM t{i})" for i in taken) + ")")
+    return ", " + ",\n".join(ctes) + "\n" + body
+
+
+sql("group_names", _named("SELECT cluster, archetype FROM named"))
+_era_shift = ORACLE["era_shift"].split("AS tp FROM pred)", 1)[1]
+sql("group_shift", _named(f"""SELECT e.*, archetype, printf('%+.1f', delta_pct) AS delta_text, greatest(pre_pct, post_pct) AS label_at
+FROM ({_era_shift}) e LEFT JOIN named USING (cluster)"""))

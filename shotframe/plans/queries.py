@@ -291,7 +291,7 @@ def q_era_totals(spark, sf):
     return A.group_totals(fingerprint(spark, sf), "ERA")
 
 
-def _given_groups(spark, sf):
+def given_groups(spark, sf):
     # A given grouping for the profile/era operators (entity id mod 5),
     # so they can be checked without a clustering model.
     return fingerprint(spark, sf).withColumn("cluster", (F.col(COLS.entity) % 5).cast("int"))
@@ -299,12 +299,12 @@ def _given_groups(spark, sf):
 
 @query("group_profile")
 def q_group_profile(spark, sf):
-    return A.mean_profile(_given_groups(spark, sf), "cluster", SHARES, 3)
+    return A.mean_profile(given_groups(spark, sf), "cluster", SHARES, 3)
 
 
 @query("era_shift")
 def q_era_shift(spark, sf):
-    return A.group_comparison(_given_groups(spark, sf), "cluster", "ERA", ("pre", "post"))
+    return A.group_comparison(given_groups(spark, sf), "cluster", "ERA", ("pre", "post"))
 
 
 # ------------------------------------------------------------------ trend W

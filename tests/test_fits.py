@@ -158,3 +158,24 @@ def test_no_points_and_no_rows(spark):
         KM.fit_all(spark.createDataFrame([], "PC1 double"), ["PC1"], [2], seed=0)
     with pytest.raises(ValueError, match="no rows"):
         NW.pack(table(spark, np.ones((2, 1)), [0, 1]).limit(0), "features", "y", 1)
+
+
+def test_screening_path_by_hand(spark):
+    from shotframe.operators import path as PT
+    rng = np.random.default_rng(8)
+    n = 400
+    x, kind = rng.normal(size=n), rng.choice(["a", "b", "c"], n)
+    y = (x + (kind == "a") + rng.normal(size=n) > 0.5).astype(int)
+    rows = [(float(a), 1.0, str(k), int(b)) for a, k, b in zip(x, kind, y)] + [(0.0, 1.0, None, 1)]
+    df = spark.createDataFrame(rows, "x double, flat double, kind string, y int").repartition(3)
+    got = {(r.regParam, r.feature): r.coefficient for r in PT.screening_path(df, "y", ["x", "flat"], ["kind"], [0.2, 0.01]).collect()}
+    full = np.append(y, 1)
+    want = {"x": np.corrcoef(np.append(x, 0), full)[0, 1], "flat": 0.0}
+    want |= {f"kind_ohe_{k}": np.corrcoef(np.append(kind == k, False), full)[0, 1] for k in "abc"}
+    for p in (0.2, 0.01):
+        for f, c in want.items():
+            assert got[p, f] == pytest.approx(np.sign(c) * max(abs(c) - p, 0), abs=1e-8)
+    assert len(got) == 10
+    active = {(r.regParam, r.feature) for r in PT.active_features(spark.createDataFrame(
+        [(p, f, c) for (p, f), c in got.items()], "regParam double, feature string, coefficient double")).collect()}
+    assert active == {k for k, c in got.items() if c}
