@@ -32,8 +32,12 @@ def screening_path(df: DataFrame, label: str, numeric: Iterable[str], categorica
     """
     numeric, categorical = list(numeric), list(categorical)
     y = F.col(CE.quoted(label)).cast("int")
-    one = df.agg(*[F.coalesce(F.corr(F.col(CE.quoted(c)).cast("double"), y.cast("double")), F.lit(0.0)).alias(f"c{i}")
-                   for i, c in enumerate(numeric)])
+
+    def correlation(c):  # F.corr divides by zero where a column is constant
+        x = F.col(CE.quoted(c)).cast("double")
+        x, z = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y.cast("double"))
+        return F.coalesce(F.try_divide(F.covar_samp(x, z), F.stddev_samp(x) * F.stddev_samp(z)), F.lit(0.0))
+    one = df.agg(*[correlation(c).alias(f"c{i}") for i, c in enumerate(numeric)])
     parts = ", ".join(f"{CE.literal(c)}, c{i}" for i, c in enumerate(numeric))
     found = one.select(F.expr(f"stack({len(numeric)}, {parts}) AS (feature, c)"))
     cells = CE.value_cells(df.where(y.isNotNull()), categorical, {"made": y})
