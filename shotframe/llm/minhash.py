@@ -11,9 +11,13 @@
 4. Documents of buckets whose members, the smallest aside, the stars left in
    several components are compared once more, so that no link between different texts is lost to the
    star: by an exact prefix filter, in which linked sets share one of their
-   rarest shingles, then by place, size and bit counts.  Copies of a group
-   that lie close to, but under, the threshold differ in their rarest
-   shingles and never meet.
+   rarest shingles.  Where a shared shingle stands among a set's shared ones
+   bounds what the set can have in common with any other, and with that the
+   sizes of sets it can link with; sets meet by shingle and size band only
+   where both bounds allow it, then size, place and bit counts decide.  Many
+   documents of one template, each with enough text of its own, have no such
+   sizes and meet nobody.  A shingle and band with very many sets is dealt to
+   several tasks.
 5. Links give connected components; the smallest document id stays.
 
 Size of the bands, the estimate's cut and the prefixes follow the threshold:
@@ -48,6 +52,8 @@ PERCENT = 85
 MISSED = 3e-7
 #: Standard deviations of the estimate from the threshold down to its cut.
 DEVIATIONS = 6.0
+#: Ratio of neighbouring size bands; sets of a shingle and band that one task pairs at most; lanes of a hot key.
+BAND_RATIO, MOST_IN_TASK, LANES = 1.15, 1000, 16
 
 _RNG = np.random.default_rng(99173)
 _MULTIPLIERS = (_RNG.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -128,8 +134,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, buf, offsets in slices(batch.column(1)):
             hashes, first, _, _ = word_hashes(buf, offsets, SPACES)
             parts = [s.view(np.int64) for s in shingle_hashes(hashes, first, SHINGLE_WORDS)]
+            whole = [int(mix(s.view(np.uint64)).sum(dtype=np.uint64).view(np.int64)) for s in parts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, len(parts)), _lists(parts)], ["node", "shingles"])
+                [batch.column(0).slice(at, len(parts)), pa.array(whole, pa.int64()),
+                 pa.array([len(s) for s in parts], pa.int64()), _lists(parts)], ["node", "set", "n", "shingles"])
 
 
 def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -139,9 +147,9 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(node, shingles): the full set of each document as distinct 64-bit hashes."""
+    """(node, set, n, shingles): the full set of each document as distinct 64-bit hashes, a hash of the set, its size."""
     return (docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(_sets, "node bigint, shingles array<bigint>"))
+            .mapInArrow(_sets, "node bigint, set bigint, n bigint, shingles array<bigint>"))
 
 
 def estimated_similarity(left: Column, right: Column) -> Column:
@@ -167,10 +175,44 @@ def _close(left: str, right: str, percent: int) -> Column:
             & (estimated_similarity(F.col(f"{left}.signature"), F.col(f"{right}.signature")) >= estimate_cut(percent)))
 
 
-def _reachable(left: str, right: str, percent: int) -> Column:
-    """Whether sets that agree in no key before this one can still be linked."""
-    common = F.least(F.col(f"{left}.n_shingles") - F.col(f"{left}.place"), F.col(f"{right}.n_shingles") - F.col(f"{right}.place"))
-    return 100 * common >= percent * (F.col(f"{left}.n_shingles") + F.col(f"{right}.n_shingles") - common)
+def with_reach(keys: DataFrame, percent: int) -> DataFrame:
+    """Adds ``reach`` to (n, place): the largest set that a set can link with which agrees in no key before ``place``.
+
+    At most ``n - place`` shingles are common then, and 100 * common >=
+    percent * (n + m - common) bounds m.
+    """
+    left = F.col("n") - F.col("place")
+    return keys.withColumn("reach", F.floor((100 + percent) * left / percent).cast("bigint") - F.col("n"))
+
+
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(BAND_RATIO))).cast("int")
+
+
+def _meet(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets of a key where the smaller and the larger are within each other's reach and in two components.
+
+    The smaller look in the size bands that they can reach.  A key and band
+    that more than ``MOST_IN_TASK`` of the larger share is split by them into
+    several tasks, to which its smaller ones are copied.
+    """
+    most = F.least(F.col("reach"), F.floor(100 * F.col("n") / percent).cast("bigint"))
+    probes = small.where("reach >= n").withColumn("band", F.explode(F.sequence(_band(F.col("n")), _band(most))))
+    held = large.withColumn("band", _band(F.col("n")))
+    hot = (held.groupBy("key", "band").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > MOST_IN_TASK)
+           .select("key", "band", F.ceil(F.col("many") / MOST_IN_TASK).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    probes = (probes.join(hot, ["key", "band"], "left")
+              .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts").alias("s"))
+    held = (held.join(hot, ["key", "band"], "left")
+            .withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).drop("parts").alias("m"))
+    n, m = F.col("s.n"), F.col("m.n")
+    return (probes.join(held, (F.col("s.key") == F.col("m.key")) & (F.col("s.band") == F.col("m.band"))
+                        & (F.col("s.part") == F.col("m.part")))
+            .where((F.col("s.component") != F.col("m.component")) & (n <= m) & (m <= F.col("s.reach")) & (n <= F.col("m.reach"))
+                   & (100 * n >= percent * m)
+                   & (estimated_similarity(F.col("s.signature"), F.col("m.signature")) >= estimate_cut(percent)))
+            .select(F.least("s.node", "m.node").alias("a"), F.greatest("s.node", "m.node").alias("b")))
 
 
 def prefix_keys(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -181,8 +223,7 @@ def prefix_keys(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     ``place`` counts from 0 in the order of rarity; shingles of one set alone
     come first and are left out.
     """
-    grams = sets.select("node", F.xxhash64("shingles").alias("set"), F.size("shingles").cast("bigint").alias("n"),
-                        F.explode("shingles").alias("key"))
+    grams = sets.select("node", "set", "n", F.explode("shingles").alias("key"))
     often = grams.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     ranked = (grams.join(often, "key").groupBy("node", "set", "n")
               .agg(F.sort_array(F.collect_set(F.struct("held", "key"))).alias("ranked"))
@@ -199,7 +240,10 @@ def _divided(members: DataFrame) -> DataFrame:
              .groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
                                  F.count(F.lit(1)).alias("parts"))
              .where("parts > 1").select("key", "largest"))
-    return members.join(split, "key")
+    # a key that very many members share is dealt to several tasks
+    lanes = split.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
+    dealt = members.withColumn("lane", F.pmod(F.xxhash64("node"), F.lit(LANES)).cast("int"))
+    return dealt.join(lanes, ["key", "lane"]).drop("lane")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -256,24 +300,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = _sets_of(docs, few, id_col, text_col)
     keys = cut(prefix_keys(sets, percent).join(few, "node"))
     drop_stored(sets)
-    open_ = cut(_divided(keys)).join(facts.withColumnRenamed("n_shingles", "n"), ["node", "n"])
-    open_ = open_.withColumnRenamed("n", "n_shingles")
-    rest = open_.where("component <> largest").alias("s")
-    more = (rest.join(open_.alias("m"), F.col("s.key") == F.col("m.key"))
-            .where((F.col("s.component") != F.col("m.component"))
-                   & ((F.col("m.component") == F.col("m.largest")) | (F.col("s.node") < F.col("m.node")))
-                   & _reachable("s", "m", percent) & _close("s", "m", percent))
-            .select(F.least("s.node", "m.node").alias("a"), F.greatest("s.node", "m.node").alias("b")).distinct())
-    more = cut(more)
+    open_ = with_reach(cut(_divided(keys)), percent).join(facts.withColumnRenamed("n_shingles", "n"), ["node", "n"])
+    open_ = cut(open_.where("reach >= %d * n div 100" % percent))
+    rest = open_.where("component <> largest")
+    more = cut(_meet(rest, open_, percent).unionByName(_meet(open_, rest, percent)).distinct())
     if not more.isEmpty():
         links = cut(links.unionByName(_confirmed(more, docs, id_col, text_col, percent)).distinct())
         first = components(links)
     of_digest = nodes.select("digest", "node").join(first, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
-    return (signed.select("doc_id", "digest", "n_shingles").join(of_digest, "digest", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    found = cut(signed.select("doc_id", "digest", "n_shingles").join(of_digest, "digest", "left")
+                .select("doc_id", "n_shingles",
+                        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+                .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    drop_stored(signed, nodes, members)
+    return found
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -104,3 +104,71 @@ def test_percent_sets_the_links(spark):
         rows_ = minhash.band_rows(percent)
         assert (1 - (percent / 100) ** rows_) ** (minhash.HASHES // rows_) < minhash.MISSED
     assert minhash.band_rows(85) == 6 and minhash.band_rows(80) == 5 and 0.59 < minhash.estimate_cut(80) < 0.61
+
+
+def template_rows(n, common, own, changed=0):
+    """Documents of one template, each with words of its own, some with words of the template changed."""
+    rows = []
+    for k in range(n):
+        shared = [f"t{i}" for i in range(common)]
+        for j in range(k % (changed + 1)):
+            shared[(37 * k + 101 * j) % common] = f"c{k}x{j}"
+        rows.append((k, " ".join(shared + [f"d{k}x{i}" for i in range(own)])))
+    return rows
+
+
+@pytest.mark.parametrize("n, common, own, changed", [(300, 604, 75, 0), (120, 200, 12, 3), (80, 100, 8, 2)])
+def test_templates_equal_brute_force(spark, n, common, own, changed):
+    rows = template_rows(n, common, own, changed)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(minhash.near_duplicates(df)) == brute(rows)
+
+
+def test_documents_of_a_template_with_much_text_of_their_own_meet_nobody(spark):
+    sets = minhash.shingle_sets(spark.createDataFrame(template_rows(400, 604, 75), "doc_id bigint, text string"))
+    keys = minhash.with_reach(minhash.prefix_keys(sets, 85), 85)
+    assert keys.count() > 400 and keys.where("reach >= n").count() == 0
+
+
+def test_a_hot_key_is_split_without_losing_a_pair(spark, monkeypatch):
+    rows = template_rows(90, 150, 6, 4)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute(rows)
+    monkeypatch.setattr(minhash, "MOST_IN_TASK", 7)
+    assert found(minhash.near_duplicates(df)) == want
+
+
+def test_reach_bounds_the_partner():
+    for percent in (80, 85, 100):
+        for n in (5, 40, 679):
+            for place in range(0, n, max(1, n // 9)):
+                reach = (100 + percent) * (n - place) // percent - n
+                for m in range(1, 2 * n):
+                    common = min(n - place, m)
+                    if 100 * common >= percent * (n + m - common):
+                        assert m <= reach
+
+
+def test_long_texts_cost_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        rows = [(k, " ".join(f"w{i}" for i in range(n)) + f" end{k}") for k in range(2)]
+        sets = minhash.shingle_sets(spark.createDataFrame(rows, "doc_id bigint, text string")).cache()
+        sets.count()
+        began = time.time()
+        assert minhash.prefix_keys(sets, 85).count() > 0
+        return time.time() - began
+
+    seconds(20000)
+    assert seconds(160_000) < 8 * (seconds(20_000) + 0.5)
+
+
+def test_nothing_is_left_in_the_shared_folder(spark):
+    import os
+
+    from shotframe.session import shared_dir
+    folder = shared_dir(spark).removeprefix("file:")
+    before = {f for f in os.listdir(folder) if f.startswith("minhash")}
+    minhash.near_duplicates(spark.read.parquet(f"{SMALL}/documents.parquet")).count()
+    assert {f for f in os.listdir(folder) if f.startswith("minhash")} == before
