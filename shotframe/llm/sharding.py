@@ -3,22 +3,28 @@
 Records are ordered by the key (hash of the text, hash of the id), so that
 equal texts are neighbours.  A sample whose draws are weighted by size gives
 quantile boundaries; exact sizes of the ranges between them show in which
-range each shard ends, and inside those few ranges running sums give the
-exact splitter.  A text whose copies would overfill a shard is split among
-neighbours by the second part of the key; a small group of equal texts stays whole.  Only DataFrame
+range each shard ends.  Such a range that is overfull, with more records than
+one task should order, is subdivided by a sample of its own, again and again;
+inside the last, small ranges running sums give the exact splitter.  A text
+whose copies would overfill a shard is split among neighbours by the second
+part of the key; a small group of equal texts stays whole.  Only DataFrame
 operations.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut, drop_stored, stored
+from .shared import cut, drop_stored, stored, whole_row
 
-#: Ranges between sampled boundaries, and expected draws in each.
+#: Ranges between the sampled boundaries of one subdivision, and expected draws in each.
 RANGES = 256
 DRAWS = 40
+#: A range of more records than this is subdivided before its keys are put in order.
+MOST_IN_RANGE = 200_000
 #: Bytes of a piece of a shard; slots are numbered piece by piece.
 PIECE_BYTES = 32 << 20
 #: A group of equal texts up to this share of a shard is not cut by a splitter.
@@ -57,37 +63,86 @@ def shard_of(h: Column, d: Column, cuts: list[Key]) -> Column:
     return shard
 
 
-def sampled_bounds(keys: DataFrame, total: int, ranges: int = RANGES, draws: int = DRAWS) -> list[Key]:
-    """Quantile boundaries of a sample of about ``ranges * draws`` keys, drawn in proportion to size."""
-    u = F.pmod(F.xxhash64("h", "d", F.lit(17)), F.lit(2**40)) / F.lit(float(2**40))
-    times = F.floor(F.col("size") * F.lit(ranges * draws / total) + u).cast("int")
-    drawn = sorted((r.h, r.d) for r in keys.select("h", "d", times.alias("n")).where("n > 0").collect() for _ in range(r.n))
-    picks = [drawn[k * len(drawn) // ranges] for k in range(1, ranges)] if drawn else []
-    return sorted(set(picks))
+@dataclass(frozen=True)
+class Range:
+    """Keys from ``low`` (None: the first) to before ``high`` (None: the last), with the bytes before them."""
+
+    low: Key | None
+    high: Key | None
+    before: int
+    size: int
+    rows: int
+
+    def holds(self, h: Column, d: Column) -> Column:
+        inside = F.lit(True) if self.low is None else at_or_after(h, d, self.low)
+        return inside if self.high is None else inside & ~at_or_after(h, d, self.high)
+
 
+def _after(key: Key) -> Key:
+    return (key[0], key[1] + 1) if key[1] < 2**63 - 1 else (key[0] + 1, -(2**63))
 
-def splitters(keys: DataFrame, shards: int, ranges: int = RANGES, draws: int = DRAWS) -> list[Key]:
+
+def sampled_bounds(keys: DataFrame, total: int, ranges: int = RANGES, draws: int = DRAWS) -> list[Key]:
+    """Quantile boundaries of a sample of about ``ranges * draws`` keys, drawn in proportion to size.
+
+    A key that holds several quantiles by itself is set apart from its
+    neighbours.  Every row draws for itself, so that the copies of a key count
+    by their number; the splitters do not depend on the draws.
+    """
+    times = F.floor(F.col("size") * F.lit(ranges * draws / total) + F.rand(17)).cast("int")
+    drawn = keys.select("h", "d", times.alias("n")).where("n > 0").groupBy("h", "d").agg(F.sum("n").alias("n")).collect()
+    picks, at = [], 0
+    for h, d, n in sorted(map(tuple, drawn)):
+        picks += [(h, d)] * ((at + n - 1) // draws - (at - 1) // draws)
+        at += n
+    several = {a for a, b in zip(picks, picks[1:]) if a == b}
+    return sorted(set(picks) | {_after(k) for k in several})
+
+
+def _subdivided(keys: DataFrame, one: Range, targets: list[int], ranges: int, draws: int) -> list[Range]:
+    """The parts of a range, between boundaries sampled in it, that hold a target."""
+    h, d = F.col("h"), F.col("d")
+    inside = keys.where(one.holds(h, d))
+    bounds = [b for b in sampled_bounds(inside, one.size, ranges, draws) if one.low is None or b > one.low]
+    sums = inside.groupBy(place_in(h, d, bounds).alias("part")).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    edges, before, out = [one.low, *bounds, one.high], one.before, []
+    for r in sorted(sums.collect()):
+        if any(before <= t < before + r["size"] for t in targets):
+            out.append(Range(edges[r.part], edges[r.part + 1], before, r["size"], r.rows))
+        before += r["size"]
+    return out
+
+
+def splitters(keys: DataFrame, shards: int, ranges: int = RANGES, draws: int = DRAWS,
+              most_in_range: int = MOST_IN_RANGE) -> list[Key]:
     """The keys at which shards 1, 2, ... start, so that bytes are near-equal."""
-    total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
-    if not total:
+    whole = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    total = whole.n
+    targets = sorted({total * k // shards for k in range(1, shards)})
+    if not total or not targets:
         return []
-    bounds = sampled_bounds(keys, total, ranges, draws)
-    placed = keys.withColumn("range", place_in(F.col("h"), F.col("d"), bounds))
-    before, at = {}, 0
-    for r in sorted(placed.groupBy("range").agg(F.sum("size").alias("n")).collect()):
-        before[r.range] = (at, at + r.n)
-        at += r.n
-    targets = [total * k // shards for k in range(1, shards)]
-    inside = {t: next(r for r, (a, b) in before.items() if a <= t < b) for t in targets}
+    found: list[Range] = []
+    overfull = _subdivided(keys, Range(None, None, 0, total, whole.rows), targets, ranges, draws)
+    while overfull:
+        found += [r for r in overfull if r.rows <= most_in_range or r.high == (r.low and _after(r.low))]
+        parts = [(r, _subdivided(keys, r, targets, ranges, draws)) for r in overfull if r not in found]
+        found += [r for r, own in parts if own == [r]]  # no boundary fell inside
+        overfull = [part for r, own in parts if own != [r] for part in own]
+    h, d = F.col("h"), F.col("d")
+    place = F.lit(None).cast("int")
+    for k, r in enumerate(found):
+        place = F.when(r.holds(h, d), k).otherwise(place)
+    start = F.create_map(*[F.lit(x) for k, r in enumerate(found) for x in (k, r.before)])
     order = Window.partitionBy("range").orderBy("h", "d").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    start = F.create_map(*[F.lit(x) for r in set(inside.values()) for x in (r, before[r][0])])
-    near = cut(placed.where(F.col("range").isin(sorted(set(inside.values()))))
+    near = cut(keys.withColumn("range", place).where("range IS NOT NULL")
                .groupBy("range", "h", "d").agg(F.sum("size").alias("size"))
                .withColumn("upto", F.sum("size").over(order) + start[F.col("range")]))
     # the first key whose last byte lies beyond the target starts the next shard
-    firsts = near.agg(*[F.min(F.when((F.col("range") == inside[t]) & (F.col("upto") > t), F.struct("h", "d"))).alias(f"t{k}")
+    home = {t: next(k for k, r in enumerate(found) if r.before <= t < r.before + r.size) for t in targets}
+    firsts = near.agg(*[F.min(F.when((F.col("range") == home[t]) & (F.col("upto") > t), F.struct("h", "d"))).alias(f"t{k}")
                         for k, t in enumerate(targets)]).first()
-    cuts = [(x.h, x.d) for x in firsts]
+    of_target = {t: (x.h, x.d) for t, x in zip(targets, firsts)}
+    cuts = [of_target[total * k // shards] for k in range(1, shards)]
     groups = {r.h: r.n for r in keys.where(F.col("h").isin(sorted({c[0] for c in cuts})))
               .groupBy("h").agg(F.sum("size").alias("n")).collect()}
     small = WHOLE_SHARE * total / shards
@@ -101,8 +156,8 @@ def sharded(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col:
     Law ``bytes``: the shards' sizes (UTF-8 bytes plus 1 per record) differ by
     no more than a record and a small group of equal texts.  Null texts count 1 byte; null ids
     are a key like others.  Rows with equal text and id have the same key and
-    stay together.  An empty table gives an empty result.  Columns
-    of ``docs`` named shard or slot are replaced.
+    stay together.  An empty table gives an empty result.  Columns of ``docs``
+    named shard or slot are replaced, others may have any name.
     """
     h, d = key_of(F.col(id_col), F.col(text_col))
     keys = stored(docs.select(h.alias("h"), d.alias("d"), size_of(F.col(text_col)).alias("size")), "shard-keys")
@@ -116,9 +171,9 @@ def sharded(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col:
                 .select("shard", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin")))
     drop_stored(keys)
     names = [c for c in docs.columns if c not in ("shard", "slot")]
-    own = docs.select(*names, h.alias("_h"), d.alias("_d"))
-    own = (own.withColumn("shard", shard_of(F.col("_h"), F.col("_d"), cuts))
-           .withColumn("piece", piece(F.col("_h"), F.col("_d"))))
-    rank = F.row_number().over(Window.partitionBy("shard", "piece").orderBy("_h", "_d"))
+    own = docs.select(whole_row(names).alias("row"), h.alias("h"), d.alias("d"))
+    own = (own.withColumn("shard", shard_of(F.col("h"), F.col("d"), cuts))
+           .withColumn("piece", piece(F.col("h"), F.col("d"))))
+    rank = F.row_number().over(Window.partitionBy("shard", "piece").orderBy("h", "d"))
     return (own.withColumn("rank", rank).join(table, ["shard", "piece"])
-            .select(*names, "shard", (F.col("begin") + F.col("rank") - 1).alias("slot")))
+            .select("row.*", "shard", (F.col("begin") + F.col("rank") - 1).alias("slot")))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
 
@@ -42,6 +43,16 @@ def drop_stored(*tables: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def whole_row(names: list[str]) -> Column:
+    """All columns of a row as one struct.
+
+    Steps that add columns of their own carry a table's rows in one struct of a
+    name they choose, and so cannot meet a column of the table: ``name.*`` gives
+    the columns back, whatever they are called.
+    """
+    return F.struct(*[F.col("`" + n.replace("`", "``") + "`") for n in names])
+
+
 def slices(column: pa.Array, max_bytes: int = 1 << 20):
     """Slices of a string column of about ``max_bytes`` (a longer text stands alone).
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -64,3 +65,45 @@ def test_place_in_constant_bounds(spark):
     df = spark.range(2200).select((F.col("id") - 20).alias("h"), F.lit(50).cast("bigint").alias("d"))
     for r in df.withColumn("p", sharding.place_in(F.col("h"), F.col("d"), bounds)).collect():
         assert r.p == sum(b <= (r.h, r.d) for b in bounds)
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ("row", "h", "d", "_h", "_d", "piece", "rank", "begin", "n", "a.b", "part", "size")
+    df = edge_frame(spark).withColumns({c: F.lit(k) for k, c in enumerate(names)})
+    out = sharding.sharded(df, 3)
+    kept = [c for c in df.columns if c not in ("shard", "slot")]
+    assert out.columns == kept + ["shard", "slot"]
+    assert all([r[c] for c in names] == list(range(len(names))) for r in out.collect())
+
+
+def plain_splitters(rows, shards):
+    """Running sums over all keys in order."""
+    total, at, sums = sum(s for *_, s in rows), 0, {}
+    for h, d, s in rows:
+        sums[h, d] = sums.get((h, d), 0) + s
+    out = []
+    targets = [total * k // shards for k in range(1, shards)]
+    for key in sorted(sums):
+        while len(out) < len(targets) and at + sums[key] > targets[len(out)]:
+            out.append(key)
+        at += sums[key]
+    return out
+
+
+def test_subdivided_ranges_give_the_exact_splitters(spark, monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(sharding, "WHOLE_SHARE", 0.0)
+    rows = [(rng.randrange(-50, 50), rng.randrange(-10**6, 10**6), rng.randint(1, 200)) for _ in range(4000)]
+    rows += [(7, 7, 90)] * 1500 + [(7, 8, 1)] * 40
+    for data, most in ((rows, 60), (rows, 100_000), (rows[:5], 1), ([(1, 1, 5)] * 30, 4), ([(1, 2**63 - 1, 5)] * 30 + [(2, -(2**63), 1)], 1)):
+        df = spark.createDataFrame(data, "h bigint, d bigint, size bigint").coalesce(2).cache()
+        assert sharding.splitters(df, 4, ranges=16, draws=5, most_in_range=most) == plain_splitters(data, 4), (len(data), most)
+
+
+def test_every_range_in_order_is_small(spark, monkeypatch):
+    seen = []
+    subdivided = sharding._subdivided
+    monkeypatch.setattr(sharding, "_subdivided", lambda *a: seen.append(a[1]) or subdivided(*a))
+    df = spark.range(30_000).select(F.xxhash64("id").alias("h"), F.col("id").alias("d"), F.lit(3).cast("bigint").alias("size"))
+    sharding.splitters(df, 4, ranges=8, draws=20, most_in_range=200)
+    assert len(seen) > 3 and all(r.rows > 200 for r in seen)
