@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, whole_row
 
 MARGINS = ("source", "lang", "topic")
 #: Target shares are the corpus's own shares to this power, normalised: under 1 evens them out.
@@ -60,30 +60,46 @@ def smoothed_targets(cells: DataFrame, margin: str, power: float = SMOOTHING) ->
                       (F.pow("n", F.lit(power)) / F.sum(F.pow("n", F.lit(power))).over(every)).alias("target"))
 
 
+def given_targets(cells: DataFrame, margin: str, shares: dict[str, float]) -> DataFrame:
+    """(value, target) of given shares, scaled to 1."""
+    whole = sum(shares.values())
+    if whole <= 0 or min(shares.values()) < 0:
+        raise ValueError(f"the target shares of {margin} must not be negative and need a positive sum")
+    return cells.sparkSession.createDataFrame([(str(v), float(x) / whole) for v, x in shares.items()], "value string, target double")
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE,
          max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """``cells`` (margin columns, tokens > 0) with ``weight``: shares that meet every margin's targets.
 
     Values without a target, or with target 0, get weight 0.  One round scales the cells to each
-    margin in turn; rounds are checkpointed.
+    margin in turn; rounds are checkpointed.  ``deviation`` is the largest distance of a margin's share from its
+    target in the end: above ``tolerance`` where the targets contradict each other, or values that have a target
+    have no cells, so that no weights meet them all.
     """
     margins = list(targets)
+    wanted = {m: F.col(f"__{m}_target__") for m in margins}
     for m, t in targets.items():
-        cells = cells.join(t.select(F.col("value").alias(m), F.col("target").alias(f"_{m}")), m, "left").fillna(0.0, [f"_{m}"])
+        cells = cells.join(t.select(F.col("value").alias(m), F.col("target").cast("double").alias(f"__{m}_target__")), m, "left")
+    cells = cells.fillna(0.0, [f"__{m}_target__" for m in margins])
     n = cells.count()
     now = cut(cells.withColumn("weight", F.col("tokens").cast("double")).coalesce(max(1, -(-n // CELLS_PER_PARTITION))))
+    deviation = 0.0
     for _ in range(max_rounds):
         for m in margins:
             sums = F.sum("weight").over(Window.partitionBy(m))
-            now = now.withColumn("weight", F.when(sums > 0, F.col("weight") * F.col(f"_{m}") / sums).otherwise(0.0))
+            now = now.withColumn("weight", F.when(sums > 0, F.col("weight") * wanted[m] / sums).otherwise(0.0))
         now = cut(now)
         # the last margin fits exactly; how far are the others?
-        offs = [F.max(F.abs(F.col(f"_s{m}") - F.col(f"_{m}"))).alias(m) for m in margins]
-        off = now.select(*[F.sum("weight").over(Window.partitionBy(m)).alias(f"_s{m}") for m in margins],
-                         *[f"_{m}" for m in margins]).agg(*offs).first()
-        if max([x or 0.0 for x in off]) <= tolerance:
+        offs = [F.max(F.abs(F.col(f"__{m}_sum__") - wanted[m])).alias(f"o{i}") for i, m in enumerate(margins)]
+        off = now.withColumns({f"__{m}_sum__": F.sum("weight").over(Window.partitionBy(m)) for m in margins}).agg(*offs).first()
+        deviation = max([x or 0.0 for x in off])
+        if deviation <= tolerance:
             break
-    return now.drop(*[f"_{m}" for m in margins])
+    for m, t in targets.items():  # a target that no cell can take up
+        lost = t.join(now.select(F.col(m).alias("value")).distinct(), "value", "left_anti").agg(F.max("target")).first()[0]
+        deviation = max(deviation, lost or 0.0)
+    return now.drop(*[f"__{m}_target__" for m in margins]).withColumn("deviation", F.lit(float(deviation)))
 
 
 def calibrated(cells: DataFrame, keep_share: float = KEEP_SHARE, rounds: int = 60) -> DataFrame:
@@ -110,8 +126,13 @@ def draw_of(id_: Column, text: Column, seed: int = 0) -> Column:
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           lang_col: str = "lang", topic: Column | None = None, smoothing: float = SMOOTHING,
-          keep_share: float = KEEP_SHARE, seed: int = 0) -> DataFrame:
-    """All columns of ``docs`` and a struct ``mix`` of ``source, lang, topic, tokens, weight, probability, kept``.
+          keep_share: float = KEEP_SHARE, seed: int = 0, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
+    """All columns of ``docs`` and a struct ``mix`` of ``source, lang, topic, tokens, weight, probability, kept, converged``.
+
+    ``targets`` gives the share of tokens of each value of the margins ``source``, ``lang`` and ``topic``, scaled to
+    1; a margin that it does not name aims at the corpus's own shares to the power ``smoothing``.  A value that a
+    named margin leaves out gets no weight, and its documents are not kept.  ``converged`` tells whether
+    the weights meet all targets.
 
     Null sources and languages are the value ``unknown``.  Null and blank texts have no tokens
     and weight nothing in the fit; they are kept (probability 1).  Rows with
@@ -123,13 +144,15 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
              F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), own.alias("topic"),
              tokens_of(F.col(text_col)).alias("tokens")]
     cells = cut(docs.select(*named).groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")).where("tokens > 0"))
-    raked = rake(cells, {m: smoothed_targets(cells, m, smoothing) for m in MARGINS})
-    final = cut(calibrated(raked, keep_share).select(*[F.col(m).alias(f"_{m}") for m in MARGINS],
-                                                     F.col("weight").alias("_weight"), "probability"))
+    raked = rake(cells, {m: given_targets(cells, m, targets[m]) if m in (targets or {}) else smoothed_targets(cells, m, smoothing)
+                         for m in MARGINS})
+    final = cut(calibrated(raked, keep_share).select(*[F.col(m).alias(f"cell_{m}") for m in MARGINS], "weight", "probability",
+                                                     (F.col("deviation") <= TOLERANCE).alias("converged")))
     rest = [c for c in docs.columns if c != "mix"]
-    rows = docs.select(*rest, F.struct(*named).alias("mix"))
-    on = [F.col(f"mix.{m}") == F.col(f"_{m}") for m in MARGINS]
+    rows = docs.select(whole_row(rest).alias("row"), F.struct(*named).alias("own"),
+                       draw_of(F.col(id_col), F.col(text_col), seed).alias("draw"))
+    on = [F.col(f"own.{m}") == F.col(f"cell_{m}") for m in MARGINS]
     p = F.coalesce("probability", F.lit(1.0))
-    return rows.join(final, on, "left").select(*rest, F.struct(
-        "mix.*", F.coalesce("_weight", F.lit(0.0)).alias("weight"), p.alias("probability"),
-        (draw_of(F.col(id_col), F.col(text_col), seed) < p).alias("kept")).alias("mix"))
+    return rows.join(final, on, "left").select("row.*", F.struct(
+        "own.*", F.coalesce("weight", F.lit(0.0)).alias("weight"), p.alias("probability"), (F.col("draw") < p).alias("kept"),
+        F.coalesce("converged", F.lit(True)).alias("converged")).alias("mix"))

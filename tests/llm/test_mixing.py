@@ -65,3 +65,42 @@ def test_edge_rows(spark):
 def test_tokens(spark):
     df = spark.createDataFrame([("a b\tc",), (None,), ("",), (" \n",), ("one",)], "t string")
     assert [r[0] for r in df.select(mixing.tokens_of(F.col("t"))).collect()] == [3, 0, 0, 0, 1]
+
+
+def test_given_targets_are_met_or_said_not_to_be(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, "word " * int(rng.integers(5, 60)), str(rng.choice(["en", "de"])), str(rng.choice(["a", "b", "c"])), 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    aim = {"source": {"a": 6, "b": 3, "c": 1}, "lang": {"en": 0.8, "de": 0.2}}
+    out = mixing.mixed(df, targets=aim, keep_share=0.3).select("doc_id", "mix.*").collect()
+    cells = {(r.source, r.lang, r.topic): r.weight for r in out}
+    for at, want in ((0, {"a": 0.6, "b": 0.3, "c": 0.1}), (1, {"en": 0.8, "de": 0.2})):
+        got = Counter()
+        for k, w in cells.items():
+            got[k[at]] += w
+        assert all(abs(got[v] - x) < 1e-3 for v, x in want.items())
+    assert all(r.converged for r in out)
+    left_out = mixing.mixed(df, targets={"source": {"a": 1}}).select("mix.*").collect()
+    assert all(not r.kept and r.weight == 0 for r in left_out if r.source != "a") and any(r.kept for r in left_out)
+
+
+def test_impossible_targets_are_flagged(spark):
+    cells = spark.createDataFrame([("a", "x", 10), ("b", "y", 10)], "source string, lang string, tokens bigint")
+
+    def t(shares):
+        return spark.createDataFrame(list(shares.items()), "value string, target double")
+
+    out = mixing.rake(cells, {"source": t({"a": 0.9, "b": 0.1}), "lang": t({"x": 0.5, "y": 0.5})}, max_rounds=20).collect()
+    assert all(r.deviation > 0.3 for r in out)
+    gone = mixing.rake(cells, {"source": t({"a": 0.5, "b": 0.3, "c": 0.2})}).collect()
+    assert all(abs(r.deviation - 0.2) < 1e-9 for r in gone)
+    fine = mixing.rake(cells, {"source": t({"a": 0.5, "b": 0.5}), "lang": t({"x": 0.5, "y": 0.5})}).collect()
+    assert all(r.deviation <= 1e-4 for r in fine)
+
+
+def test_columns_of_any_name_stay(spark):
+    df = edge_frame(spark).withColumns({c: F.lit(k) for k, c in enumerate(
+        ("row", "own", "draw", "_weight", "_source", "cell_source", "weight", "probability", "deviation", "topic", "tokens", "converged"))})
+    out = mixing.mixed(df)
+    assert out.columns == [c for c in df.columns if c != "mix"] + ["mix"]
+    assert all((r["row"], r.own, r.draw, r.weight, r.converged) == (0, 1, 2, 6, 11) for r in out.collect())
