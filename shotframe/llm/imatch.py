@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop_stored, stored
+from .shared import whole_row
 
 #: Band of a term's share of documents.
 LOW, HIGH = 0.005, 0.3
@@ -59,26 +59,29 @@ def with_fingerprint(rows: DataFrame, text_col: str, words: list[int], out: str
                      subsets: int = SUBSETS, thin: int = THIN) -> DataFrame:
     """``rows`` with the hashes of the sorted lexicon terms in each random subset, as hexadecimal text.
 
+    Columns of ``rows`` may have any name; one named ``out`` is replaced.  Null
+    and empty texts have the hash of no terms; repeated rows repeat.
+
     Subset k holds the terms of ``words`` in lot k of ``thin``, the number that ``lexicon`` was given.
     A subset without any of the text's terms takes the hash of all its terms instead, so that
     different texts outside the lexicon stay apart.
     """
     table = _table(words)
+    names = [c for c in rows.columns if c != out]
     # columns of their own that the next step names twice, or the optimizer would move them into its lambda
-    step = rows.withColumn("_terms", terms_of(F.col(text_col)))
+    step = rows.select(whole_row(names).alias("row"), terms_of(F.col(text_col)).alias("terms"))
     step = step.withColumns({
-        "_known": F.array_sort(F.filter("_terms", lambda t: F.find_in_set(
+        "known": F.array_sort(F.filter("terms", lambda t: F.find_in_set(
             t.cast("string"), F.get(table, F.pmod(t, F.lit(CELLS)).cast("int"))) > 0)),
-        "_every": F.xxhash64(F.array_sort("_terms"), F.lit(-1))})
+        "every": F.xxhash64(F.array_sort("terms"), F.lit(-1))})
     numbers, none = F.sequence(F.lit(0), F.lit(subsets - 1)), F.xxhash64(F.array().cast("array<bigint>"))
     hashes = F.transform(numbers, lambda k: F.xxhash64(
-        F.filter("_known", lambda t: lot_of(t, thin) == k)))
-    step = step.withColumn("_parts", F.when(F.size("_known") == 0, F.transform(numbers, lambda k: none)).otherwise(hashes))
+        F.filter("known", lambda t: lot_of(t, thin) == k)))
+    step = step.withColumn("parts", F.when(F.size("known") == 0, F.transform(numbers, lambda k: none)).otherwise(hashes))
     text = lambda value, k: F.lpad(F.hex(F.shiftrightunsigned(F.xxhash64(value, k), 32)), 8, "0")
-    own = F.transform("_parts", lambda v, k: text(F.when(v == none, F.col("_every")).otherwise(v), k))
-    none_own = F.transform(numbers, lambda k: text(F.col("_every"), k))
-    return (step.withColumn(out, F.array_join(F.when(F.size("_known") == 0, none_own).otherwise(own), ""))
-            .drop("_terms", "_known", "_every", "_parts"))
+    own = F.transform("parts", lambda v, k: text(F.when(v == none, F.col("every")).otherwise(v), k))
+    none_own = F.transform(numbers, lambda k: text(F.col("every"), k))
+    return step.select("row.*", F.array_join(F.when(F.size("known") == 0, none_own).otherwise(own), "").alias(out))
 
 
 def likeness(a: Column, b: Column, subsets: int = SUBSETS) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, whole_row
 
 #: Fine ranges lie inside coarse ones; a range holds about this many bytes.
 COARSE = 64
@@ -21,34 +23,48 @@ def _tree(x: Column, bounds: list, low: int = 0) -> Column:
         _tree(x, bounds[:mid], low))
 
 
-def with_next(rows: DataFrame, id_col: str, text_col: str, out_col: str) -> DataFrame:
-    """``rows`` with ``out_col``: a struct of the next row's columns by ascending id; the first row's after the last.
+#: Carries a range beside a row's own columns while columns are derived for it.
+_RANGE = "__range_of_row__"
+
 
-    Ids come in ranges whose bounds are approximate quantiles over all rows.
-    Each range is a window; where a range ends, the first row of the next one
-    that has rows follows.  Rows that share an id follow each other in the order of their texts; null ids come first.
+def with_next(rows: DataFrame, id_col: str, text_col: str, out_col: str,
+              derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``derive(rows)`` with ``out_col``: a struct of the next row's columns by ascending id; the first row's after the last.
+
+    ``derive`` adds columns row by row, once for every row; the first rows of
+    the ranges are found without it.  Ids come in ranges whose bounds are
+    approximate quantiles over all rows.  Each range is a window; where a range
+    ends, the first row of the next one that has rows follows.  Rows that share
+    an id follow each other in the order of their texts; null ids come first.
+    Other columns may have any name; one named ``out_col`` is replaced.
     """
-    id_ = F.col(id_col)
+    names = derive(rows.limit(0)).columns
     facts = rows.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("bytes"),
-                     F.percentile_approx(id_, [k / COARSE for k in range(1, COARSE)], 10_000).alias("at")).first()
+                     F.percentile_approx(F.col(id_col), [k / COARSE for k in range(1, COARSE)], 10_000).alias("at")).first()
     coarse = sorted(set(facts["at"] or []))
     fine = max(1, min(MOST_FINE, -(-facts["bytes"] // (COARSE * RANGE_BYTES))))
-    placed = rows.withColumn("_coarse", F.when(id_.isNull(), -1).otherwise(_tree(id_, coarse)))
-    if fine > 1:
-        inner = cut(placed.groupBy("_coarse").agg(F.percentile_approx(
-            id_, [k / fine for k in range(1, fine)], 10_000).alias("_at")))
-        placed = (placed.join(inner, "_coarse").withColumn("_fine", F.size(F.filter("_at", lambda b: b <= id_)))
-                  .drop("_at"))
-    else:
-        placed = placed.withColumn("_fine", F.lit(0))
-    order = Window.partitionBy("_coarse", "_fine").orderBy(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
-    whole = F.struct(*rows.columns)
-    led = placed.withColumn("_next", F.lead(whole).over(order))
-    heads = cut(placed.groupBy("_coarse", "_fine").agg(F.min_by(whole, F.struct(id_col, text_col)).alias("first")))
+
+    def carried(df: DataFrame) -> DataFrame:
+        own = df.select(whole_row(df.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        return own.withColumn("coarse", F.when(F.col("id").isNull(), -1).otherwise(_tree(F.col("id"), coarse)))
+
+    inner = cut(carried(rows.select(id_col, text_col)).groupBy("coarse").agg(F.percentile_approx(
+        "id", [k / fine for k in range(1, fine)], 10_000).alias("at"))) if fine > 1 else None
+
+    def in_ranges(df: DataFrame) -> DataFrame:
+        out = carried(df)
+        if inner is None:
+            return out.withColumn("fine", F.lit(0))
+        return out.join(inner, "coarse").withColumn("fine", F.size(F.filter("at", lambda b: b <= F.col("id")))).drop("at")
+
+    order = Window.partitionBy("coarse", "fine").orderBy(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    led = in_ranges(derive(rows)).withColumn("next", F.lead("row").over(order))
+    firsts = cut(in_ranges(rows).groupBy("coarse", "fine").agg(F.min_by("row", F.struct("id", "text")).alias("row")))
+    heads = derive(firsts.select(F.struct("coarse", "fine").alias(_RANGE), "row.*")).select(
+        f"{_RANGE}.*", whole_row(names).alias("first"))
     # one row for each range, as many as the ranges: the first of the next range, and of the first after the last
-    ranges = Window.partitionBy(F.lit(0)).orderBy("_coarse", "_fine")
+    ranges = Window.partitionBy(F.lit(0)).orderBy("coarse", "fine")
     turn = ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follow = heads.select("_coarse", "_fine", F.coalesce(F.lead("first").over(ranges), F.first("first").over(turn)).alias("_head"))
-    return (led.join(follow, ["_coarse", "_fine"], "left")
-            .withColumn(out_col, F.coalesce("_next", "_head"))
-            .drop("_coarse", "_fine", "_next", "_head"))
+    follow = heads.select("coarse", "fine", F.coalesce(F.lead("first").over(ranges), F.first("first").over(turn)).alias("head"))
+    return led.join(follow, ["coarse", "fine"], "left").select(
+        *[F.col("row").getField(n).alias(n) for n in names if n != out_col], F.coalesce("next", "head").alias(out_col))

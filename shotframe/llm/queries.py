@@ -89,8 +89,8 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     lots = imatch.SUBSETS
     words = imatch.lexicon(docs.select(imatch.terms_of(F.col("text")).alias("terms")), thin=lots)
-    own = imatch.with_fingerprint(docs, "text", words, thin=lots)
-    pairs = neighbours.with_next(own, "doc_id", "text", "following")
+    pairs = neighbours.with_next(docs, "doc_id", "text", "following",
+                                 lambda df: imatch.with_fingerprint(df, "text", words, thin=lots))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("following.text"), F.lit(1), half))

@@ -95,3 +95,25 @@ def test_every_subset_is_its_share_of_the_band(spark):
 def test_native_plan(spark):
     plan = op10_imatch(spark, SMALL)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_columns_of_any_name_stay(spark):
+    from common import edge_frame
+    from shotframe.llm import neighbours
+    names = ("row", "terms", "_terms", "known", "_known", "every", "parts", "_parts", "id", "coarse", "_coarse", "fine", "next", "_next",
+             "head", "first", "at", "a.b")
+    df = edge_frame(spark).drop("fingerprint").withColumns({c: F.lit(k) for k, c in enumerate(names)})
+    out = neighbours.with_next(df, "doc_id", "text", "following", lambda x: imatch.with_fingerprint(x, "text", [1, 2, 3]))
+    assert out.columns == df.columns + ["fingerprint", "following"]
+    rows = out.collect()
+    assert len(rows) == 14 and all([r[c] for c in names] == list(range(len(names))) for r in rows)
+    assert all(r.following.fingerprint and r.following["a.b"] == len(names) - 1 for r in rows)
+
+
+def test_derived_columns_of_the_next_row(spark):
+    from shotframe.llm import neighbours
+    df = spark.range(500).select((F.col("id") * 7 % 500).alias("doc_id"), F.concat(F.lit("t"), F.col("id") * 7 % 500).alias("text"))
+    out = neighbours.with_next(df, "doc_id", "text", "n", lambda x: x.withColumn("twice", F.concat("text", "text")))
+    for r in out.collect():
+        k = (r.doc_id + 1) % 500
+        assert (r.twice, r.n.doc_id, r.n.twice) == (f"t{r.doc_id}" * 2, k, f"t{k}t{k}")
