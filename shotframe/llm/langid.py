@@ -266,8 +266,9 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
 
 
 def identify(docs: DataFrame, net: Network | None, text_col: str = "text",
-             pred_col: str = "lang_pred", score_col: str = "score", reject: bool = False) -> DataFrame:
-    """All columns of ``docs`` and the predicted language and its score, 0 to 1.
+             pred_col: str = "lang_pred", score_col: str = "score", reject: bool = False,
+             text_back: bool = True) -> DataFrame:
+    """All columns of ``docs`` and the predicted language and its score, 0 to 1; without ``text_back`` all but the text.
 
     With ``reject`` a text whose spelling training has hardly seen, in
     whatever language or none, is ``und`` with score 0 too: the best of the
@@ -280,7 +281,8 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text",
     """
     docs = docs.drop(pred_col, score_col)
     names = docs.columns
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    back = [n for n in names if text_back or n != text_col]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in back)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,7 +301,7 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text",
                     else:
                         preds.append(UNDETERMINED)
                         scores.append(0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(preds, pa.string()),
-                                              pa.array(scores, pa.float64())], [*names, pred_col, score_col])
+            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(n)) for n in back), pa.array(preds, pa.string()),
+                                              pa.array(scores, pa.float64())], [*back, pred_col, score_col])
 
-    return docs.mapInArrow(run, f"{fields}, `{pred_col}` string, `{score_col}` double")
+    return docs.mapInArrow(run, f"{fields}{', ' if fields else ''}`{pred_col}` string, `{score_col}` double")

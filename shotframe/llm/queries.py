@@ -66,7 +66,7 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = remainder(F.col("doc_id"), 5)
     net = langid.fit(docs, rest != 0)
     held = docs.select("doc_id", "text", F.coalesce(rest == 0, F.lit(False)).alias("held_out"))
-    return langid.identify(held, net).select("doc_id", "held_out", "lang_pred", "score")
+    return langid.identify(held, net, text_back=False).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
