@@ -29,22 +29,37 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = NEAR_PERCENT) -> DataFrame:
-    """One document of each near-duplicate group."""
+    """One document of each near-duplicate group, that with the smallest id.
+
+    Null and empty texts have no shingles and stay, as do rows without an id.  Of rows that share an id the one with
+    the smallest text stays.  Texts of any length are compared whole; an empty table stays empty.
+    """
     return minhash.deduplicated(docs, percent=percent)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark items."""
+    """Documents without benchmark items.
+
+    Null and empty texts stay, of repeated rows all stay or go, whole texts are searched; columns may have any name.
+    """
     return decontam.clean(docs, load(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of the documents that meets the target weights."""
+    """A sample of the documents that meets the target weights.
+
+    Null sources and languages are a value like others; texts without words weigh nothing and stay.  Equal rows
+    share their draw.  A column ``mix`` of the table stays as it is.
+    """
     return mixing.mixed(docs.withColumnRenamed("mix", "_mix")).where("mix.kept").drop("mix").withColumnRenamed("_mix", "mix")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its shard and its slot there."""
+    """Every document with its shard and its slot there.
+
+    Null texts count one byte, null ids are a key like others, equal rows lie together; columns ``shard`` and
+    ``slot`` of the table are replaced.
+    """
     return sharding.sharded(docs, SHARDS)
 
 
