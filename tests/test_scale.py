@@ -59,3 +59,19 @@ def test_write_rebalances_by_partition_key(spark):
     from shotframe.plans.queries import processed
     df = processed(spark, SF_SMALL).hint("rebalance", "SEASON_1")
     assert "REBALANCE_PARTITIONS_BY_COL" in _plan(df)
+
+
+def test_model_input_grows_in_partitions(spark, tmp_path, monkeypatch):
+    """A task's share of the model input is bounded, however many rows there are."""
+    from shotframe.plans import modelling as MO
+    from shotframe.plans.ml_queries import model_run
+    spark.range(3000).selectExpr(
+        "id AS l_orderkey", "id * 7 AS l_partkey", "id % 5 AS l_suppkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber",
+        "CAST(id % 50 AS DOUBLE) AS l_quantity", "timestamp'1997-03-01' + make_interval(0, 0, 0, id % 300) AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(5).selectExpr("id AS s_suppkey", "'s' AS s_name", "1 AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(MO, "PARTITION_ROWS", 200, raising=False)
+    run = model_run(spark, str(tmp_path))
+    sizes = [len(p) for part in (run.train, run.test) for p in part.rdd.glom().collect()]
+    assert len(sizes) == 2 * 15 and max(sizes) <= 300 and 2900 < sum(sizes) <= 3000
+    run.release()
