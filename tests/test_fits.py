@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from shotframe.operators import archetypes as C
@@ -179,3 +179,51 @@ def test_screening_path_by_hand(spark):
     active = {(r.regParam, r.feature) for r in PT.active_features(spark.createDataFrame(
         [(p, f, c) for (p, f), c in got.items()], "regParam double, feature string, coefficient double")).collect()}
     assert active == {k for k, c in got.items() if c}
+
+
+def test_a_fit_takes_over_the_last_pass_of_its_start(spark, monkeypatch):
+    x, y = logistic_rows(900, 9)
+    m = NW.pack(table(spark, x, y), "features", "y", x.shape[1])
+    taken, one = [], NW.log_loss
+    monkeypatch.setattr(NW, "log_loss", lambda matrix, at: taken.append(tuple(at)) or one(matrix, at))
+    fits = NW.l1_path(m, [0.05, 0.005])
+    assert len(set(taken)) == len(taken) == sum(f.passes for f in fits) and all(f.converged for f in fits)
+    m.release()
+
+
+def test_blocks_are_small_and_give_back_every_number(spark):
+    from shotframe.operators import blocks as B
+    rng = np.random.default_rng(10)
+    x = np.column_stack([rng.normal(size=5000), np.eye(30)[rng.integers(0, 30, 5000)]])
+    x[:3, 0] = [np.inf, -0.0, 5e-324]
+
+    def marks(values):
+        return float((np.ascontiguousarray(values).view(np.uint64) % 65521).sum())
+
+    m = B.packed(table(spark, x, x[:, 0], 2), vector_to_array("features"), F.col("y"), 31)
+    bits = B.added_up(m, 31, lambda a, b: np.array([marks(a[:, 0]), marks(b), a[:, 1:].sum(), len(b)]), 4)
+    want = marks(x[:, 0])
+    assert list(bits) == [want, want, 5000, 5000]
+    assert m.agg(F.sum(F.length("x"))).first()[0] < x.nbytes / 4
+    m.unpersist()
+
+
+def test_sums_are_added_up_in_tasks_of_their_own_number(spark):
+    """A vector of sums is not written out for every shuffle partition of the session."""
+    from shotframe.operators import blocks as B
+    m = NW.pack(table(spark, np.ones((50, 2)), np.ones(50)), "features", "y", 2)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spark.sparkContext.setJobGroup("sums", "sums")
+        assert list(B.added_up(m.blocks, 2, lambda x, y: np.full(600, float(len(y))), 600)) == [50.0] * 600
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("sums")
+        tracker = spark.sparkContext.statusTracker()
+        tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+        assert tasks and max(tasks) <= 4
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    m.release()
